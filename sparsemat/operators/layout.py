@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_SEGMENT, DEFAULT_WIDTH, VECTOR, as_cells, resolve_duplicates
-from .skew import skew_join
+from .skew import one_cell, skew_join
 
 # replicate() builds its index lists in chunks, so a list never holds more than this.
 _CHUNK = 4096
@@ -96,8 +96,8 @@ def _outer(a, b, la, lb, how, duplicates, skew):
         bv,
         ["k"],
         how,
-        left_load=F.sum(F.size("av")),
-        right_load=F.sum(F.size("bv")),
+        left_cells=F.size("av"),
+        right_cells=F.size("bv"),
         left_split=["sa"],
         right_split=["sb"],
         skew=skew,
@@ -171,8 +171,8 @@ def scaled_rows(
         _pieces(b, "k", "j", "bv", "sb", duplicates, width),
         ["k"],
         "left",
-        left_load=F.count("p"),
-        right_load=F.sum(F.size("bv")),
+        left_cells=one_cell("p"),
+        right_cells=F.size("bv"),
         left_split=["i"],
         right_split=["sb"],
         skew=skew,

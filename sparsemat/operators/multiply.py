@@ -39,7 +39,7 @@ from ..schema import (
     wrap_int32 as wrap,
 )
 from .layout import segment_pairs, to_row_vectors
-from .skew import shuffle_tasks, skew_join
+from .skew import one_cell, shuffle_tasks, skew_join
 
 
 def operand(
@@ -71,14 +71,12 @@ def _operands(a, b, duplicates, dims, wrap_int32):
 
 
 def _join_cells(a: DataFrame, b: DataFrame, skew: str) -> DataFrame:
-    # The loads count v, not rows: with v in use, the counting pass reads the very exchange
-    # that the join reads when a factor is itself an aggregate, and Spark runs it once.
     return skew_join(
         a.select("i", "k", F.col("v").alias("av")),
         b.select("k", "j", F.col("v").alias("bv")),
         ["k"],
-        left_load=F.count("av"),
-        right_load=F.count("bv"),
+        left_cells=one_cell("av"),
+        right_cells=one_cell("bv"),
         left_split=["i"],
         right_split=["j"],
         skew=skew,
@@ -205,8 +203,8 @@ def row_matmul(
         cells,
         b_vec,
         ["k"],
-        left_load=F.count("av"),
-        right_load=F.sum(F.size("bv")),
+        left_cells=one_cell("av"),
+        right_cells=F.size("bv"),
         left_split=["i"],
         right_split=["bv"],
         skew=skew,
@@ -302,8 +300,8 @@ def masked_matmul(
         wanted,
         a.select("i", "k", F.col("v").alias("av")),
         ["i"],
-        left_load=F.count("j"),
-        right_load=F.count("av"),
+        left_cells=one_cell("j"),
+        right_cells=one_cell("av"),
         left_split=["j"],
         right_split=["k"],
         skew=skew,
@@ -312,8 +310,8 @@ def masked_matmul(
         probes,
         b.select("k", "j", F.col("v").alias("bv")),
         ["k", "j"],
-        left_load=F.count("av"),
-        right_load=F.count("bv"),
+        left_cells=one_cell("av"),
+        right_cells=one_cell("bv"),
         left_split=["i"],
         right_split=["j"],
         skew=skew,

@@ -53,12 +53,22 @@ def shuffle_tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def one_cell(value: str) -> Column:
+    """Weight of a row that is a single cell.
+
+    It looks at the value on purpose. When a factor is itself an aggregate, counting rows
+    would prune the value and need an exchange of its own; with the value in use, the
+    counting pass reads the very exchange the join reads, and Spark runs it once.
+    """
+    return F.when(F.col(value).isNotNull(), 1).otherwise(0)
+
+
 def hot_keys(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
-    left_load: Column,
-    right_load: Column,
+    left_cells: Column,
+    right_cells: Column,
 ) -> DataFrame:
     """Keys above the share, with the number of slices for each side.
 
@@ -67,14 +77,15 @@ def hot_keys(
     broadcast.
     """
     slices = SLICES_PER_TASK * shuffle_tasks(left)
-    nl = left.groupBy(*on).agg(left_load.cast("double").alias("_cl"))
-    nr = right.groupBy(*on).agg(right_load.cast("double").alias("_cr"))
-    load = nl.join(nr, list(on), "full_outer").select(
-        *on,
-        F.coalesce("_cl", F.lit(0.0)).alias("_cl"),
-        F.coalesce("_cr", F.lit(0.0)).alias("_cr"),
+    none = F.lit(0).cast("bigint")
+    # One aggregation over both sides, summed before its shuffle; the total reads it again.
+    counts = left.select(*on, left_cells.cast("bigint").alias("_cl"), none.alias("_cr")).unionByName(
+        right.select(*on, none.alias("_cl"), right_cells.cast("bigint").alias("_cr"))
     )
     # Double: a product of two counts can pass the BIGINT range, and only its size matters.
+    load = counts.groupBy(*on).agg(
+        F.sum("_cl").cast("double").alias("_cl"), F.sum("_cr").cast("double").alias("_cr")
+    )
     load = load.withColumn("_w", F.col("_cl") * F.col("_cr") + F.col("_cl") + F.col("_cr"))
     total = load.agg(F.sum("_w").alias("_total")).scalar()
     want = F.ceil(F.col("_w") * slices / total)
@@ -118,15 +129,15 @@ def skew_join(
     on: Sequence[str],
     how: str = "inner",
     *,
-    left_load: Column,
-    right_load: Column,
+    left_cells: Column,
+    right_cells: Column,
     left_split: Sequence[str],
     right_split: Sequence[str],
     skew: str = "auto",
 ) -> DataFrame:
     """Join `left` and `right` on the columns `on` (``inner``, ``left`` or ``full``).
 
-    `left_load`/`right_load` are aggregates giving a key's cells on that side;
+    `left_cells`/`right_cells` give the number of cells in a row (a vector has many);
     `left_split`/`right_split` name the columns that tell the rows of one key apart.
     Other column names must not occur on both sides.
 
@@ -143,8 +154,13 @@ def skew_join(
     if plain:
         return left.join(right, on, "full_outer" if how == "full" else how)
 
+    # The join implies these filters. Said here, they reach the counting pass too, whose
+    # exchanges then equal the join's and are shared with it.
+    for key in on:
+        left = left.where(F.col(key).isNotNull()) if how == "inner" else left
+        right = right.where(F.col(key).isNotNull()) if how != "full" else right
     out = [*on, *(c for c in left.columns if c not in on), *(c for c in right.columns if c not in on)]
-    hot = hot_keys(left, right, on, left_load, right_load)
+    hot = hot_keys(left, right, on, left_cells, right_cells)
     ls = _spread(left, hot, on, "_ls", "_rs", F.col("_nl"), F.col("_nr"), left_split)
     rs = _spread(right, hot, on, "_rs", "_ls", F.col("_nr"), F.col("_nl"), right_split)
     keys = [*on, "_ls", "_rs"]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..schema import require, resolve_duplicates, wrap_int32 as wrap
 from .layout import from_blocks, to_blocks
 from .multiply import operand
-from .skew import skew_join
+from .skew import one_cell, skew_join
 
 KERNELS = ("cells", "tiles")
 
@@ -157,8 +157,8 @@ def _by_cells(a, b, size, wrap_int32, skew):
         left.withColumnRenamed("v", "av"),
         right.withColumnRenamed("v", "bv"),
         ["kb", "kl"],
-        left_load=F.count("av"),
-        right_load=F.count("bv"),
+        left_cells=one_cell("av"),
+        right_cells=one_cell("bv"),
         left_split=["ib", "il"],
         right_split=["jb", "jl"],
         skew=skew,
@@ -181,8 +181,8 @@ def _by_tiles(a, b, size, wrap_int32, skew):
         left.withColumnRenamed("tile", "at"),
         right.withColumnRenamed("tile", "bt"),
         ["kb"],
-        left_load=F.sum(F.size("at")),
-        right_load=F.sum(F.size("bt")),
+        left_cells=F.size("at"),
+        right_cells=F.size("bt"),
         left_split=["ib"],
         right_split=["jb"],
         skew=skew,

@@ -10,6 +10,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("sparsemat-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
