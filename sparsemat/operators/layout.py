@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_SEGMENT, DEFAULT_WIDTH, VECTOR, as_cells, resolve_duplicates
-from .skew import one_cell, skew_join
+from .skew import one_cell, shuffle_tasks, skew_join
 
 # replicate() builds its index lists in chunks, so a list never holds more than this.
 _CHUNK = 4096
@@ -236,6 +236,20 @@ def replicate(df: DataFrame, n: int, name: str) -> DataFrame:
     return df.withColumn("_chunk", chunks).withColumn(name, within).drop("_chunk")
 
 
+def gather_blocks(pairs: DataFrame, row_block: str, col_block: str, inner: str) -> DataFrame:
+    """Lay the pairs that add to one block of C side by side.
+
+    Unfolded in the order of k, pairs touch all of C at once: sums made before the shuffle
+    find few partners and their hash table outgrows the caches. Side by side, a task works
+    on one block of C at a time. Ranges are cut on the whole key, so a block with many
+    pairs is split between tasks along k, and its parts are summed later. The number of
+    partitions is given because merging partitions by their bytes would be wrong here: the
+    work of a pair is the product of its sides.
+    """
+    keys = (row_block, col_block, inner)
+    return pairs.repartitionByRange(shuffle_tasks(pairs), *keys).sortWithinPartitions(*keys)
+
+
 def sorted_by(df: DataFrame, *keys: str) -> DataFrame:
     """Range-partition on the composite key and sort inside each partition.
 

@@ -22,8 +22,6 @@ Values are BIGINT. Spark's ANSI mode (on by default) turns an overflow into an e
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +36,7 @@ from ..schema import (
     resolve_duplicates,
     wrap_int32 as wrap,
 )
-from .layout import segment_pairs, to_row_vectors
+from .layout import gather_blocks, segment_of, segment_pairs, to_row_vectors
 from .skew import one_cell, shuffle_tasks, skew_join
 
 
@@ -113,19 +111,40 @@ def merge_partials(
     return cells.where(F.col("v") != 0) if zeros == "drop" else cells
 
 
-def _support_zeros(a: DataFrame, b: DataFrame) -> DataFrame:
-    """A zero ``(i, j, p)`` for each non-empty row i of A and non-empty column j of B.
+def _fill_support(c: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """C with a zero for each missing (i, j) whose row i of A and column j of B are non-empty.
 
-    That many rows is what a dense result has. Both index sets are spread over a grid, and
-    an equi-join on the grid cell pairs them, so that each task makes its share of the
-    pairs from a slice of each set.
+    The zeros are as many as a dense result has, so they are made in the last step and never
+    shuffled. What meets before are records per row and range of columns: C's cells there
+    (if any) and the list of B's columns there. A salt of the row splits every range over
+    all tasks, and the short lists of columns are repeated once per salt.
     """
-    side = max(1, math.isqrt(shuffle_tasks(a)))
-    rows = a.select("i").distinct().withColumn("_r", F.pmod(F.xxhash64("i"), F.lit(side)))
-    cols = b.select("j").distinct().withColumn("_c", F.pmod(F.xxhash64("j"), F.lit(side)))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(side - 1).cast("bigint")))
-    grid = rows.withColumn("_c", every).join(cols.withColumn("_r", every), ["_r", "_c"])
-    return grid.select("i", "j", F.lit(0).cast("bigint").alias("p"))
+    salts = shuffle_tasks(c)
+    zero = F.lit(0).cast("bigint")
+    salt = F.pmod(F.xxhash64("i"), F.lit(salts))
+    each_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    columns = (
+        b.select("j")
+        .distinct()
+        .withColumn("seg", segment_of("j", DEFAULT_SEGMENT))
+        .groupBy("seg")
+        .agg(F.collect_list("j").alias("js"))
+        .withColumn("_s", each_salt)
+    )
+    rows = a.select("i").distinct().withColumn("_s", salt)
+    grid = rows.join(columns.select("seg", "_s"), "_s").select("i", "seg")
+    filled = grid.join(
+        to_row_vectors(c, "i", "j", duplicates="unique", width=DEFAULT_SEGMENT), ["i", "seg"], "left"
+    )
+    cells = F.coalesce("vec", F.array().cast(VECTOR))
+    missing = F.array_except("js", F.transform(cells, lambda e: e["x"]))
+    zeros = F.transform(missing, lambda j: F.struct(j.alias("x"), zero.alias("v")))
+    return (
+        filled.withColumn("_s", salt)
+        .join(columns, ["seg", "_s"])
+        .select("i", F.inline(F.concat(cells, zeros)))
+        .toDF("i", "j", "v")
+    )
 
 
 def matmul(
@@ -151,11 +170,9 @@ def matmul(
     require(zeros, ZEROS, "zeros")
     a, b = _operands(a, b, duplicates, dims, wrap_int32)
     products = _join_cells(a, b, skew).select("i", "j", _product("av", "bv", wrap_int32).alias("p"))
-    if zeros == "dense_support":
-        products = products.unionByName(_support_zeros(a, b))
-    return merge_partials(
-        products, zeros="drop" if zeros == "drop" else "structural", wrap_int32=wrap_int32
-    )
+    kept = "structural" if zeros == "structural" else "drop"
+    c = merge_partials(products, zeros=kept, wrap_int32=wrap_int32)
+    return _fill_support(c, a, b) if zeros == "dense_support" else c
 
 
 def _as_rows(cells: DataFrame, width: int) -> DataFrame:
@@ -239,9 +256,12 @@ def outer_matmul(
     """Sum of outer products over records with vectors `av` (of A) and `bv` (of B).
 
     The two vectors are unfolded one after the other, so no task ever holds a list of all
-    pairs. Several records per k, as `segment_pairs` makes them, simply add up.
+    pairs. Several records per k, as `segment_pairs` makes them, simply add up. Where the
+    segment numbers are known, the records of one block of C are laid side by side first.
     """
     require(zeros, ("structural", "drop"), "zeros")
+    if {"sa", "sb", "k"} <= set(records.columns):
+        records = gather_blocks(records.select("sa", "sb", "k", "av", "bv"), "sa", "sb", "k")
     unfolded = records.select(F.inline("av"), "bv").toDF("i", "p", "bv")
     return _result(_expand(unfolded, "p", wrap_int32), result, zeros, wrap_int32, width)
 
@@ -282,47 +302,70 @@ def masked_matmul(
     b: DataFrame,
     pairs: DataFrame,
     *,
+    via: str = "products",
     zeros: str = "structural",
     duplicates: str = "sum",
     wrap_int32: bool = False,
     skew: str = "auto",
 ) -> DataFrame:
-    """Only the cells listed in `pairs` ``(i, j)``: dot products of row i and column j.
+    """Only the cells listed in `pairs` ``(i, j)``.
+
+    ``via="products"`` multiplies the rows and columns that occur in `pairs` and keeps the
+    listed cells; it never costs more than the whole product. ``via="probes"`` works through
+    the listed cells one by one, looking up the shorter of row i and column j in the other
+    factor; it is cheaper when few cells are listed over many rows and columns.
 
     ``structural`` and ``drop`` as in :func:`matmul`; ``dense_support`` returns every
     listed pair whose row of A and column of B are non-empty.
     """
     require(zeros, ZEROS, "zeros")
+    require(via, ("products", "probes"), "via")
     a, b = _operands(a, b, duplicates, None, wrap_int32)
     wanted = pairs.select(F.col("i").cast("bigint"), F.col("j").cast("bigint")).distinct()
-    # Row i's cells, once per wanted column: keyed by (k, j), they look up single B cells.
-    probes = skew_join(
-        wanted,
-        a.select("i", "k", F.col("v").alias("av")),
-        ["i"],
-        left_cells=one_cell("j"),
-        right_cells=one_cell("av"),
-        left_split=["j"],
-        right_split=["k"],
-        skew=skew,
-    )
-    products = skew_join(
-        probes,
-        b.select("k", "j", F.col("v").alias("bv")),
-        ["k", "j"],
-        left_cells=one_cell("av"),
-        right_cells=one_cell("bv"),
-        left_split=["i"],
-        right_split=["j"],
-        skew=skew,
-    ).select("i", "j", _product("av", "bv", wrap_int32).alias("p"))
-    if zeros == "dense_support":
-        listed = wanted.join(a.select("i").distinct(), "i", "left_semi").join(
-            b.select("j").distinct(), "j", "left_semi"
-        )
-        products = products.unionByName(
-            listed.select("i", "j", F.lit(0).cast("bigint").alias("p"))
+    kept = "structural" if zeros == "structural" else "drop"
+    if via == "products":
+        products = _join_cells(
+            a.join(wanted.select("i").distinct(), "i", "left_semi"),
+            b.join(wanted.select("j").distinct(), "j", "left_semi"),
+            skew,
+        ).select("i", "j", _product("av", "bv", wrap_int32).alias("p"))
+        # Summed first: both sides of the semi-join then hold a cell at most once.
+        c = merge_partials(products, zeros=kept, wrap_int32=wrap_int32)
+        c = c.join(wanted, ["i", "j"], "left_semi")
+    else:
+        products = _probe(a, b, wanted, skew).select(
+            "i", "j", _product("av", "bv", wrap_int32).alias("p")
         )
-    return merge_partials(
-        products, zeros="drop" if zeros == "drop" else "structural", wrap_int32=wrap_int32
+        c = merge_partials(products, zeros=kept, wrap_int32=wrap_int32)
+    if zeros != "dense_support":
+        return c
+    listed = wanted.join(a.select("i").distinct(), "i", "left_semi")
+    listed = listed.join(b.select("j").distinct(), "j", "left_semi")
+    filled = listed.join(c, ["i", "j"], "left")
+    return filled.select("i", "j", F.coalesce("v", F.lit(0).cast("bigint")).alias("v"))
+
+
+def _look_up(left: DataFrame, right: DataFrame, on: list[str], cell: str, skew: str) -> DataFrame:
+    return skew_join(
+        left,
+        right,
+        on,
+        left_cells=F.lit(1),
+        right_cells=one_cell(cell),
+        left_split=[c for c in ("i", "j", "k") if c in left.columns],
+        right_split=[c for c in ("i", "j", "k") if c in right.columns],
+        skew=skew,
     )
+
+
+def _probe(a: DataFrame, b: DataFrame, wanted: DataFrame, skew: str) -> DataFrame:
+    """``(i, j, k, av, bv)`` for the wanted pairs, unfolding the shorter side of each."""
+    a = a.select("i", "k", F.col("v").alias("av"))
+    b = b.select("k", "j", F.col("v").alias("bv"))
+    sized = _look_up(wanted, a.groupBy("i").agg(F.count("av").alias("na")), ["i"], "na", skew)
+    sized = _look_up(sized, b.groupBy("j").agg(F.count("bv").alias("nb")), ["j"], "nb", skew)
+    by_row = sized.where("na <= nb").select("i", "j")
+    by_col = sized.where("na > nb").select("i", "j")
+    by_row = _look_up(_look_up(by_row, a, ["i"], "av", skew), b, ["k", "j"], "bv", skew)
+    by_col = _look_up(_look_up(by_col, b, ["j"], "bv", skew), a, ["k", "i"], "av", skew)
+    return by_row.unionByName(by_col)

@@ -7,18 +7,23 @@ of k. The only Python here is the arithmetic on one pair of tiles, which sees at
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import require, resolve_duplicates, wrap_int32 as wrap
-from .layout import from_blocks, to_blocks
+from .layout import from_blocks, gather_blocks, to_blocks
 from .multiply import operand
 from .skew import one_cell, skew_join
 
+# The kernel travels inside the task, so executors need numpy and pyarrow but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 KERNELS = ("cells", "tiles")
 
 # A tile pair goes through dense arrays when its products are more than 1/64 of the dense
@@ -54,44 +59,58 @@ def _magnitude(values: np.ndarray) -> int:
     return max(abs(int(values.min())), abs(int(values.max())))
 
 
-def _multiply_pair(ax, av, bx, bv, size, modular):
-    """Non-zero cells (row, col, value) of one tile product, exact or failing."""
+def _add_pair(total, seen, ax, av, bx, bv, size, modular):
+    """Add one tile product to the flat C tile `total`; returns it with its new bound.
+
+    `seen` bounds every number added up so far. It picks the type of `total`, so that no
+    sum is rounded or wrapped unnoticed.
+    """
     ib, kb, jb = size
     ar, ac = np.divmod(ax, kb)
     br, bc = np.divmod(bx, jb)
     per_k = np.bincount(br, minlength=kb)
     products = int(per_k[ac].sum())
     if products == 0:
-        none = np.empty(0, dtype=np.int64)
-        return none, none, none
-    # No sum of at most kb products can exceed this.
-    bound = _magnitude(av) * _magnitude(bv) * kb
-    if not modular and bound >= 1 << 63:
-        kind = object
-    elif bound < 1 << 53 and products * _DENSE_SHARE > ib * kb * jb:
-        kind = np.float64  # whole numbers below 2^53 are exact in a double
-    else:
+        return total, seen
+    bound = _magnitude(av) * _magnitude(bv) * kb  # of any sum of at most kb products
+    seen += bound
+    if seen < 1 << 53:
+        kind = np.float64  # exact for whole numbers of this size
+    elif modular or seen < 1 << 63:
         kind = np.int64  # wraps at 2^64, which modular arithmetic allows
-    if kind is np.float64:
-        left = np.zeros((ib, kb), dtype=kind)
-        right = np.zeros((kb, jb), dtype=kind)
+    else:
+        kind = object
+    if total is None:
+        total = np.zeros(ib * jb, dtype=kind)
+    elif total.dtype != kind:
+        total = total.astype(np.int64).astype(kind)
+    if bound < 1 << 53 and products * _DENSE_SHARE > ib * kb * jb:
+        left = np.zeros((ib, kb))
+        right = np.zeros((kb, jb))
         left[ar, ac] = av
         right[br, bc] = bv
-        flat = (left @ right).ravel()
-    else:
-        order = np.argsort(br, kind="stable")
-        start = np.cumsum(per_k) - per_k
-        times = per_k[ac]
-        first = np.cumsum(times) - times
-        pick = order[np.repeat(start[ac] - first, times) + np.arange(products)]
-        value = np.repeat(av.astype(kind), times) * bv.astype(kind)[pick]
-        flat = np.zeros(ib * jb, dtype=kind)
-        np.add.at(flat, np.repeat(ar, times) * jb + bc[pick], value)
-    at = np.flatnonzero(flat)
-    found = flat[at]
-    if kind is object and any(not -(1 << 63) <= x < 1 << 63 for x in found):
+        dense = (left @ right).ravel()
+        return total + (dense if kind is np.float64 else dense.astype(np.int64)), seen
+    order = np.argsort(br, kind="stable")
+    start = np.cumsum(per_k) - per_k
+    times = per_k[ac]
+    first = np.cumsum(times) - times
+    pick = order[np.repeat(start[ac] - first, times) + np.arange(products)]
+    value = np.repeat(av.astype(kind), times) * bv.astype(kind)[pick]
+    np.add.at(total, np.repeat(ar, times) * jb + bc[pick], value)
+    return total, seen
+
+
+def _cells_of(tile, total, ib, jb):
+    """The non-zero cells of a finished C tile as a batch ``(i, j, p)``."""
+    at = np.flatnonzero(total)
+    found = total[at]
+    if total.dtype == object and any(not -(1 << 63) <= x < 1 << 63 for x in found):
         raise OverflowError("sum of products outside the BIGINT range in block_matmul")
-    return *np.divmod(at, jb), found.astype(np.int64)
+    r, c = np.divmod(at, jb)
+    return pa.RecordBatch.from_pydict(
+        {"i": tile[0] * ib + r + 1, "j": tile[1] * jb + c + 1, "p": found.astype(np.int64)}
+    )
 
 
 def _lists(column: pa.ListArray):
@@ -104,23 +123,23 @@ def _lists(column: pa.ListArray):
 
 def _tile_kernel(ib: int, kb: int, jb: int, modular: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, total, seen = None, None, 0
         for batch in batches:
-            row_block = batch.column("ib").to_numpy()
-            col_block = batch.column("jb").to_numpy()
+            blocks = list(zip(batch.column("ib").to_pylist(), batch.column("jb").to_pylist()))
             ao, ax, av = _lists(batch.column("at"))
             bo, bx, bv = _lists(batch.column("bt"))
-            for t in range(batch.num_rows):
+            for t, block in enumerate(blocks):
+                if block != tile:
+                    if total is not None:
+                        yield _cells_of(tile, total, ib, jb)
+                    tile, total, seen = block, None, 0
                 a = slice(ao[t], ao[t + 1])
                 b = slice(bo[t], bo[t + 1])
-                r, c, p = _multiply_pair(ax[a], av[a], bx[b], bv[b], (ib, kb, jb), modular)
-                if len(p):
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "i": row_block[t] * ib + r + 1,
-                            "j": col_block[t] * jb + c + 1,
-                            "p": p,
-                        }
-                    )
+                total, seen = _add_pair(
+                    total, seen, ax[a], av[a], bx[b], bv[b], (ib, kb, jb), modular
+                )
+        if total is not None:
+            yield _cells_of(tile, total, ib, jb)
 
     return run
 
@@ -140,8 +159,9 @@ def block_matmul(
     """C = A * B over tiles of ``ib x kb`` and ``kb x jb`` cells; zeros are dropped.
 
     ``kernel="cells"`` joins addressed cells and sums per place in C's tile, all in the
-    JVM; it suits sparse tiles. ``kernel="tiles"`` joins whole tiles and multiplies each
-    pair with numpy, so only sums per tile pair are shuffled; it suits dense tiles.
+    JVM; it suits sparse tiles. ``kernel="tiles"`` joins whole tiles and lays the pairs of
+    one C tile side by side, where numpy adds up their products, so that only finished
+    tiles (or the few parts a tile was split into) are shuffled; it suits dense tiles.
     """
     require(kernel, KERNELS, "kernel")
     a = operand(a, "i", "k", duplicates, None, wrap_int32)
@@ -188,7 +208,8 @@ def _by_tiles(a, b, size, wrap_int32, skew):
         skew=skew,
     )
     kernel = _tile_kernel(ib, kb, jb, wrap_int32)
-    cells = pairs.select("ib", "jb", "at", "bt").mapInArrow(kernel, "i long, j long, p long")
+    pairs = gather_blocks(pairs, "ib", "jb", "kb").select("ib", "jb", "at", "bt")
+    cells = pairs.mapInArrow(kernel, "i long, j long, p long")
     p = F.col("p")
     total = F.sum(wrap(p) if wrap_int32 else p)
     merged = cells.groupBy("i", "j").agg((wrap(total) if wrap_int32 else total).alias("v"))

@@ -71,7 +71,7 @@ def _vectors(src: str, key: str, x: str, width: int, seg: str) -> str:
 
 _TAB = "chr(9)"
 _WIDTH = 65536
-_SEGMENT = 4096
+_SEGMENT = 1024
 
 
 def _ab(spark, sf):
@@ -517,21 +517,30 @@ def block_matmul_tiles(spark, sf):
 _RETURNED = "SELECT DISTINCT l_suppkey + 1 AS i, o_custkey + 1 AS j FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"
 
 
-@_query(
-    f"""{_ORDERS}, w AS ({_RETURNED})
+_MASKED = f"""{_ORDERS}, w AS ({_RETURNED})
     SELECT a.i, b.j, CAST(SUM(a.v * b.v) AS BIGINT) AS v
     FROM a JOIN b ON a.k = b.k JOIN w ON w.i = a.i AND w.j = b.j GROUP BY 1, 2"""
-)
-def masked_matmul(spark, sf):
+
+
+def _masked(spark, sf, via):
     """Total quantity for the supplier/customer pairs with a returned line."""
     returned = t.table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
     orders = t.table(spark, sf, "orders")
     pairs = returned.join(orders, returned.l_orderkey == orders.o_orderkey).select(
         (F.col("l_suppkey") + 1).alias("i"), (F.col("o_custkey") + 1).alias("j")
     )
-    return sm.masked_matmul(
-        t.supplier_order(spark, sf), t.order_customer(spark, sf), pairs, duplicates="unique"
-    )
+    a, b = t.supplier_order(spark, sf), t.order_customer(spark, sf)
+    return sm.masked_matmul(a, b, pairs, via=via, duplicates="unique")
+
+
+@_query(_MASKED)
+def masked_matmul(spark, sf):
+    return _masked(spark, sf, "products")
+
+
+@_query(_MASKED)
+def masked_matmul_probes(spark, sf):
+    return _masked(spark, sf, "probes")
 
 
 # ---------------------------------------------------------------- generator

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import VECTOR, assert_rows, coo_schema, require
+from ..schema import assert_rows, coo_schema, require
 
 MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
 CORRUPT = "_corrupt_record"
@@ -98,35 +98,47 @@ def parse_coo(
     return _by_mode(parsed, ok, columns, mode, corrupt)
 
 
-def _numbers(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        "value", F.transform(_tokens(F.col("value")), lambda t: _number(t)).alias("_n")
-    )
+def _pairs(tokens: Column, skip: Column, count: Column) -> Column:
+    """Vector from `count` pairs of number tokens after the first `skip` tokens."""
+    zero = F.lit(0).cast("bigint")
+    places = F.when(count > 0, F.sequence(zero, count - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    def pair(q: Column) -> Column:
+        at = (q * 2 + skip).cast("int")
+        return F.struct(_number(F.get(tokens, at)).alias("x"), _number(F.get(tokens, at + 1)).alias("v"))
+
+    return F.transform(places, pair)
+
 
+def _whole(vec: str) -> Column:
+    return F.forall(vec, lambda e: e["x"].isNotNull() & e["v"].isNotNull())
 
-def _pairs(numbers: Column) -> Column:
-    """Flat ``x v x v ...`` to a vector; a trailing odd number is the caller's to reject."""
-    at = F.filter(numbers, lambda n, pos: pos % 2 == 0)
-    val = F.filter(numbers, lambda n, pos: pos % 2 == 1)
-    return F.zip_with(at, val, lambda x, v: F.struct(x.alias("x"), v.alias("v"))).cast(VECTOR)
 
+def _parse_once(lines: DataFrame, fields) -> DataFrame:
+    """Columns made from a line's tokens by `fields`, beside ``value``.
 
-def _all_numbers() -> Column:
-    return ~F.exists("_n", lambda n: n.isNull())
+    Splitting and converting are the cost of a text job. The generator makes them a step
+    that filters and projections further up read from instead of repeating it.
+    """
+    tokens = F.array(_tokens(F.col("value")))
+    return lines.select("value", F.inline(F.transform(tokens, lambda t: F.struct(*fields(t)))))
 
 
 def _parse_vectors(lines, heads, vec, mode, corrupt):
-    numbers = _numbers(lines)
-    skip = len(heads)
-    size = F.size("_n")
-    rest = F.slice("_n", skip + 1, F.greatest(size - skip, F.lit(0)))
-    parsed = numbers.select(
-        "value",
-        *(F.get("_n", F.lit(at)).alias(name) for at, name in enumerate(heads)),
-        _pairs(rest).alias(vec),
-        (_all_numbers() & (size >= skip) & ((size - skip) % 2 == 0)).alias("_ok"),
-    )
-    return _by_mode(parsed, F.col("_ok"), [*heads, vec], mode, corrupt)
+    skip = F.lit(len(heads)).cast("bigint")
+
+    def fields(t):
+        rest = F.size(t).cast("bigint") - skip
+        return [
+            *(_number(F.get(t, F.lit(at))).alias(name) for at, name in enumerate(heads)),
+            _pairs(t, skip, F.floor(rest / 2)).alias(vec),
+            (rest % 2 == 0).alias("_ok"),
+        ]
+
+    ok = F.col("_ok") & _whole(vec)
+    for name in heads:
+        ok = ok & F.col(name).isNotNull()
+    return _by_mode(_parse_once(lines, fields), ok, [*heads, vec], mode, corrupt)
 
 
 def parse_row_vectors(
@@ -152,20 +164,23 @@ def parse_outer_records(
     lines: DataFrame, *, mode: str = "FAILFAST", corrupt: str = CORRUPT
 ) -> DataFrame:
     """``n [A column: n pairs] [B row: the rest]`` to ``(n, av, bv)``."""
-    numbers = _numbers(lines)
-    size = F.size("_n").cast("bigint")
-    n = F.coalesce(F.get("_n", F.lit(0)), F.lit(-1))
-    ok = _all_numbers() & (n >= 0) & (size >= 1 + 2 * n) & (size % 2 == 1)
-    # Lengths are clipped so that a malformed line reaches the mode check instead of slice's own.
-    cut = F.least(F.greatest(n, F.lit(0).cast("bigint")) * 2, size - 1).cast("int")
-    parsed = numbers.select(
-        "value",
-        F.get("_n", F.lit(0)).alias("n"),
-        _pairs(F.slice("_n", F.lit(2), cut)).alias("av"),
-        _pairs(F.slice("_n", cut + 2, size.cast("int") - 1 - cut)).alias("bv"),
-        ok.alias("_ok"),
-    )
-    return _by_mode(parsed, F.col("_ok"), ["n", "av", "bv"], mode, corrupt)
+    one = F.lit(1).cast("bigint")
+    none = F.lit(0).cast("bigint")
+
+    def fields(t):
+        n = _number(F.get(t, F.lit(0)))
+        pairs = F.floor((F.size(t) - one) / 2)
+        # Kept within the line, so that a wrong n reaches the mode check.
+        first = F.greatest(none, F.least(F.coalesce(n, none), pairs))
+        return [
+            n.alias("n"),
+            _pairs(t, one, first).alias("av"),
+            _pairs(t, first * 2 + 1, pairs - first).alias("bv"),
+            ((F.size(t) % 2 == 1) & (n == first)).alias("_ok"),
+        ]
+
+    ok = F.coalesce("_ok", F.lit(False)) & _whole("av") & _whole("bv")
+    return _by_mode(_parse_once(lines, fields), ok, ["n", "av", "bv"], mode, corrupt)
 
 
 def read_row_vectors(spark: SparkSession, path: str | Sequence[str], row: str = "i", **options) -> DataFrame:

@@ -32,6 +32,11 @@ STRATEGIES = {
     "segmented": lambda a, b, s: rows(sm.segmented_matmul(a, b, 4, 3, zeros="drop", skew=s)),
     "blocks": lambda a, b, s: rows(sm.block_matmul(a, b, 5, 4, 3, skew=s)),
     "tiles": lambda a, b, s: rows(sm.block_matmul(a, b, 5, 4, 3, kernel="tiles", skew=s)),
+    "probes": lambda a, b, s: rows(
+        sm.masked_matmul(
+            a, b, a.select("i").distinct().join(b.select("j").distinct()), via="probes", zeros="drop", skew=s
+        )
+    ),
     "masked": lambda a, b, s: rows(
         sm.masked_matmul(a, b, a.select("i").distinct().join(b.select("j").distinct()), zeros="drop", skew=s)
     ),
@@ -196,13 +201,14 @@ def test_dims_are_checked(spark):
         sm.matmul(zero_based, b, dims=(4, 3, 2)).collect()
 
 
-def test_masked_policies(spark):
+@pytest.mark.parametrize("via", ("products", "probes"))
+def test_masked_policies(spark, via):
     a = matrix_a(spark, [(1, 1, 2), (2, 1, 1), (2, 2, -1), (3, 5, 1)])
     b = matrix_b(spark, [(1, 1, 3), (2, 1, 3), (2, 2, 4)])
     pairs = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (3, 1), (4, 1), (1, 1)], "i int, j int")
-    assert rows(sm.masked_matmul(a, b, pairs)) == [(1, 1, 6), (2, 1, 0)]
-    assert rows(sm.masked_matmul(a, b, pairs, zeros="drop")) == [(1, 1, 6)]
-    dense = sm.masked_matmul(a, b, pairs, zeros="dense_support")
+    assert rows(sm.masked_matmul(a, b, pairs, via=via)) == [(1, 1, 6), (2, 1, 0)]
+    assert rows(sm.masked_matmul(a, b, pairs, via=via, zeros="drop")) == [(1, 1, 6)]
+    dense = sm.masked_matmul(a, b, pairs, via=via, zeros="dense_support")
     assert rows(dense) == [(1, 1, 6), (1, 2, 0), (2, 1, 0), (3, 1, 0)]
 
 
