@@ -22,7 +22,9 @@ Values are BIGINT. Spark's ANSI mode (on by default) turns an overflow into an e
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import (
@@ -37,7 +39,7 @@ from ..schema import (
     wrap_int32 as wrap,
 )
 from .layout import gather_blocks, segment_of, segment_pairs, to_row_vectors
-from .skew import one_cell, shuffle_tasks, skew_join
+from .skew import SLICES_PER_TASK, one_cell, shuffle_tasks, skew_join
 
 
 def operand(
@@ -111,37 +113,49 @@ def merge_partials(
     return cells.where(F.col("v") != 0) if zeros == "drop" else cells
 
 
+def _numbers_to(n: Column) -> Column:
+    """One row per number ``0 .. n-1``."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+
+
 def _fill_support(c: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     """C with a zero for each missing (i, j) whose row i of A and column j of B are non-empty.
 
     The zeros are as many as a dense result has, so they are made in the last step and never
     shuffled. What meets before are records per row and range of columns: C's cells there
-    (if any) and the list of B's columns there. A salt of the row splits every range over
-    all tasks, and the short lists of columns are repeated once per salt.
+    (if any), then the list of B's columns there.
     """
-    salts = shuffle_tasks(c)
+    tasks = shuffle_tasks(c)
     zero = F.lit(0).cast("bigint")
-    salt = F.pmod(F.xxhash64("i"), F.lit(salts))
-    each_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    columns = (
+    lists = (
         b.select("j")
         .distinct()
         .withColumn("seg", segment_of("j", DEFAULT_SEGMENT))
         .groupBy("seg")
         .agg(F.collect_list("j").alias("js"))
-        .withColumn("_s", each_salt)
     )
-    rows = a.select("i").distinct().withColumn("_s", salt)
-    grid = rows.join(columns.select("seg", "_s"), "_s").select("i", "seg")
+    # Rows and ranges are spread over a grid of tasks; each pair meets in one place of it.
+    side = F.lit(math.isqrt(tasks - 1) + 1).cast("bigint")
+    rows = a.select("i").distinct().withColumn("_r", F.pmod(F.xxhash64("i"), side))
+    ranges = lists.select("seg").withColumn("_c", F.pmod(F.xxhash64("seg"), side))
+    grid = (
+        rows.withColumn("_c", _numbers_to(side))
+        .join(ranges.withColumn("_r", _numbers_to(side)), ["_r", "_c"])
+        .select("i", "seg")
+    )
     filled = grid.join(
         to_row_vectors(c, "i", "j", duplicates="unique", width=DEFAULT_SEGMENT), ["i", "seg"], "left"
     )
+    # Few ranges must still keep all tasks busy: each is then split by a salt of the row, and
+    # its list repeated per salt. Many ranges need no salt.
+    count = F.greatest(lists.agg(F.count("seg").alias("n")).scalar(), F.lit(1))
+    salts = F.ceil(F.lit(SLICES_PER_TASK * tasks) / count)
     cells = F.coalesce("vec", F.array().cast(VECTOR))
     missing = F.array_except("js", F.transform(cells, lambda e: e["x"]))
     zeros = F.transform(missing, lambda j: F.struct(j.alias("x"), zero.alias("v")))
     return (
-        filled.withColumn("_s", salt)
-        .join(columns, ["seg", "_s"])
+        filled.withColumn("_s", F.pmod(F.xxhash64("i"), salts))
+        .join(lists.withColumn("_s", _numbers_to(salts)), ["seg", "_s"])
         .select("i", F.inline(F.concat(cells, zeros)))
         .toDF("i", "j", "v")
     )
@@ -345,27 +359,35 @@ def masked_matmul(
     return filled.select("i", "j", F.coalesce("v", F.lit(0).cast("bigint")).alias("v"))
 
 
-def _look_up(left: DataFrame, right: DataFrame, on: list[str], cell: str, skew: str) -> DataFrame:
-    return skew_join(
-        left,
-        right,
-        on,
-        left_cells=F.lit(1),
-        right_cells=one_cell(cell),
-        left_split=[c for c in ("i", "j", "k") if c in left.columns],
-        right_split=[c for c in ("i", "j", "k") if c in right.columns],
-        skew=skew,
-    )
-
-
 def _probe(a: DataFrame, b: DataFrame, wanted: DataFrame, skew: str) -> DataFrame:
     """``(i, j, k, av, bv)`` for the wanted pairs, unfolding the shorter side of each."""
     a = a.select("i", "k", F.col("v").alias("av"))
     b = b.select("k", "j", F.col("v").alias("bv"))
-    sized = _look_up(wanted, a.groupBy("i").agg(F.count("av").alias("na")), ["i"], "na", skew)
-    sized = _look_up(sized, b.groupBy("j").agg(F.count("bv").alias("nb")), ["j"], "nb", skew)
-    by_row = sized.where("na <= nb").select("i", "j")
-    by_col = sized.where("na > nb").select("i", "j")
-    by_row = _look_up(_look_up(by_row, a, ["i"], "av", skew), b, ["k", "j"], "bv", skew)
-    by_col = _look_up(_look_up(by_col, b, ["j"], "bv", skew), a, ["k", "i"], "av", skew)
-    return by_row.unionByName(by_col)
+    # Joins on a unique key only widen rows; adaptive execution splits their large partitions.
+    # Unfolding multiplies rows, so it is the join that needs its keys counted.
+    sized = wanted.join(a.groupBy("i").agg(F.count("av").alias("na")), "i")
+    sized = sized.join(b.groupBy("j").agg(F.count("bv").alias("nb")), "j")
+    by_row = skew_join(
+        sized.where("na <= nb").select("i", "j"),
+        a,
+        ["i"],
+        left_cells=F.lit(1),
+        right_cells=one_cell("av"),
+        left_split=["j"],
+        right_split=["k"],
+        skew=skew,
+    )
+    by_col = skew_join(
+        sized.where("na > nb").select("i", "j"),
+        b,
+        ["j"],
+        left_cells=F.lit(1),
+        right_cells=one_cell("bv"),
+        left_split=["i"],
+        right_split=["k"],
+        skew=skew,
+    )
+    columns = ("i", "j", "k", "av", "bv")
+    return by_row.join(b, ["k", "j"]).select(*columns).unionByName(
+        by_col.join(a, ["k", "i"]).select(*columns)
+    )
