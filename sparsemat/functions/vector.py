@@ -45,21 +45,25 @@ def vec_to_dense(vec: _Col, n: Column | int, offset: Column | int = 0) -> Column
     """
     n = (n if isinstance(n, Column) else F.lit(n)).cast("bigint")
     offset = (offset if isinstance(offset, Column) else F.lit(offset)).cast("bigint")
-    s = F.sort_array(_col(vec))
     zero = F.lit(0).cast("bigint")
 
-    def step(e: Column, at: Column) -> Column:
-        before = F.coalesce(F.get(s, at - 1)["x"], offset)
-        gap = (e["x"] - before - 1).cast("int")
-        return F.concat(F.array_repeat(zero, gap), F.array(e["v"]))
-
-    last = F.coalesce(F.get(s, F.size(s) - 1)["x"], offset)
-    tail = F.array_repeat(zero, (offset + n - last).cast("int"))
-    dense = F.flatten(F.concat(F.transform(s, step), F.array(tail)))
-    first = F.coalesce(F.get(s, F.lit(0))["x"], offset + 1)
-    inside = (first > offset) & (last <= offset + n)
-    failure = F.raise_error(F.lit("vector index outside the dense range")).cast("array<bigint>")
-    return F.when(inside, dense).otherwise(failure)
+    def fill(s: Column) -> Column:
+        def step(e: Column, at: Column) -> Column:
+            before = F.coalesce(F.get(s, at - 1)["x"], offset)
+            gap = (e["x"] - before - 1).cast("int")
+            return F.concat(F.array_repeat(zero, gap), F.array(e["v"]))
+
+        last = F.coalesce(F.get(s, F.size(s) - 1)["x"], offset)
+        tail = F.array_repeat(zero, (offset + n - last).cast("int"))
+        dense = F.flatten(F.concat(F.transform(s, step), F.array(tail)))
+        first = F.coalesce(F.get(s, F.lit(0))["x"], offset + 1)
+        inside = (first > offset) & (last <= offset + n)
+        failure = F.raise_error(F.lit("vector index outside the dense range")).cast("array<bigint>")
+        return F.when(inside, dense).otherwise(failure)
+
+    # Bound by a transform of one element: named inside a lambda, the sort would be done
+    # again for every entry.
+    return F.transform(F.array(F.sort_array(_col(vec))), fill)[0]
 
 
 def vec_from_dense(values: _Col, offset: Column | int = 0) -> Column:

@@ -9,13 +9,14 @@ Operators that read vectors accept any number of records per row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_SEGMENT, DEFAULT_WIDTH, VECTOR, as_cells, resolve_duplicates
-from .skew import one_cell, shuffle_tasks, skew_join
+from .skew import SLICES_PER_TASK, one_cell, shuffle_tasks, skew_join
 
 # replicate() builds its index lists in chunks, so a list never holds more than this.
 _CHUNK = 4096
@@ -241,13 +242,15 @@ def gather_blocks(pairs: DataFrame, row_block: str, col_block: str, inner: str)
 
     Unfolded in the order of k, pairs touch all of C at once: sums made before the shuffle
     find few partners and their hash table outgrows the caches. Side by side, a task works
-    on one block of C at a time. Ranges are cut on the whole key, so a block with many
-    pairs is split between tasks along k, and its parts are summed later. The number of
-    partitions is given because merging partitions by their bytes would be wrong here: the
-    work of a pair is the product of its sides.
+    on one block of C at a time. A block is dealt out in slices of k, so one with many pairs
+    is work for many tasks, and its parts are summed later. Hashes need no sample of the
+    join that made the pairs. The number of partitions is given because merging partitions
+    by their bytes would be wrong here: the work of a pair is the product of its sides.
     """
-    keys = (row_block, col_block, inner)
-    return pairs.repartitionByRange(shuffle_tasks(pairs), *keys).sortWithinPartitions(*keys)
+    tasks = shuffle_tasks(pairs)
+    slices = F.lit(max(1, math.isqrt(SLICES_PER_TASK * tasks)))
+    dealt = pairs.repartition(tasks, row_block, col_block, F.pmod(F.xxhash64(inner), slices))
+    return dealt.sortWithinPartitions(row_block, col_block, inner)
 
 
 def sorted_by(df: DataFrame, *keys: str) -> DataFrame:

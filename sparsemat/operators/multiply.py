@@ -39,7 +39,7 @@ from ..schema import (
     wrap_int32 as wrap,
 )
 from .layout import gather_blocks, segment_of, segment_pairs, to_row_vectors
-from .skew import SLICES_PER_TASK, one_cell, shuffle_tasks, skew_join
+from .skew import SLICES_PER_TASK, fits_broadcast, one_cell, shuffle_tasks, skew_join
 
 
 def operand(
@@ -153,9 +153,11 @@ def _fill_support(c: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     cells = F.coalesce("vec", F.array().cast(VECTOR))
     missing = F.array_except("js", F.transform(cells, lambda e: e["x"]))
     zeros = F.transform(missing, lambda j: F.struct(j.alias("x"), zero.alias("v")))
+    # Dealt out by a given number: merged by bytes, a few tasks would make all the zeros.
+    salted = filled.withColumn("_s", F.pmod(F.xxhash64("i"), salts)).repartition(tasks, "seg", "_s")
+    repeated = lists.withColumn("_s", _numbers_to(salts)).repartition(tasks, "seg", "_s")
     return (
-        filled.withColumn("_s", F.pmod(F.xxhash64("i"), salts))
-        .join(lists.withColumn("_s", _numbers_to(salts)), ["seg", "_s"])
+        salted.join(repeated, ["seg", "_s"])
         .select("i", F.inline(F.concat(cells, zeros)))
         .toDF("i", "j", "v")
     )
@@ -244,11 +246,11 @@ def row_matmul(
     rows = _as_rows(merge_partials(products, zeros=zeros, wrap_int32=wrap_int32), width)
     if empty_rows == "drop":
         return rows
-    ids = a_rows.select("i").distinct()
-    empty = ids.join(rows.select("i").distinct(), "i", "left_anti").select(
-        "i", F.lit(0).cast("bigint").alias("seg"), F.array().cast(VECTOR).alias("vec")
+    kept = a_rows.select("i").distinct().join(rows, "i", "left")
+    zero = F.lit(0).cast("bigint")
+    return kept.select(
+        "i", F.coalesce("seg", zero).alias("seg"), F.coalesce("vec", F.array().cast(VECTOR)).alias("vec")
     )
-    return rows.unionByName(empty)
 
 
 def _expand(scaled: DataFrame, factor: str, wrap_int32: bool) -> DataFrame:
@@ -259,6 +261,29 @@ def _expand(scaled: DataFrame, factor: str, wrap_int32: bool) -> DataFrame:
     return flat.select("i", F.col("x").alias("j"), _product("_f", "v", wrap_int32).alias("p"))
 
 
+# Entries of a vector that a piece of a record may hold.
+_PIECE = 1024
+
+
+def _pieces(vec: str) -> Column:
+    """The vector in pieces, at least one."""
+    zero = F.lit(0).cast("int")
+    starts = F.sequence(zero, F.greatest(F.size(vec) - 1, zero), F.lit(_PIECE))
+    return F.explode(F.transform(starts, lambda at: F.slice(F.col(vec), at + 1, F.lit(_PIECE))))
+
+
+def _cut(records: DataFrame, *vectors: str) -> DataFrame:
+    """Records with their vectors cut into pieces that are dealt out by content.
+
+    A line that was written elsewhere may hold a whole column and a whole row of a matrix,
+    the work of many tasks. The records themselves are small beside the products they make.
+    """
+    rest = [c for c in records.columns if c not in vectors]
+    for vec in vectors:
+        records = records.select(*(c for c in records.columns if c != vec), _pieces(vec).alias(vec))
+    return records.repartition(shuffle_tasks(records), *rest, *vectors)
+
+
 def outer_matmul(
     records: DataFrame,
     *,
@@ -276,6 +301,8 @@ def outer_matmul(
     require(zeros, ("structural", "drop"), "zeros")
     if {"sa", "sb", "k"} <= set(records.columns):
         records = gather_blocks(records.select("sa", "sb", "k", "av", "bv"), "sa", "sb", "k")
+    else:
+        records = _cut(records.select("av", "bv"), "av", "bv")
     unfolded = records.select(F.inline("av"), "bv").toDF("i", "p", "bv")
     return _result(_expand(unfolded, "p", wrap_int32), result, zeros, wrap_int32, width)
 
@@ -290,7 +317,8 @@ def scaled_matmul(
 ) -> DataFrame:
     """Product from scaled rows ``(i, p, bv)``."""
     require(zeros, ("structural", "drop"), "zeros")
-    return _result(_expand(scaled, "p", wrap_int32), result, zeros, wrap_int32, width)
+    cut = _cut(scaled.select("i", "p", "bv"), "bv")
+    return _result(_expand(cut, "p", wrap_int32), result, zeros, wrap_int32, width)
 
 
 def segmented_matmul(
@@ -343,9 +371,14 @@ def masked_matmul(
             b.join(wanted.select("j").distinct(), "j", "left_semi"),
             skew,
         ).select("i", "j", _product("av", "bv", wrap_int32).alias("p"))
-        # Summed first: both sides of the semi-join then hold a cell at most once.
-        c = merge_partials(products, zeros=kept, wrap_int32=wrap_int32)
-        c = c.join(wanted, ["i", "j"], "left_semi")
+        if fits_broadcast(wanted):
+            # Products that nobody asked for need not be summed, let alone shuffled.
+            products = products.join(wanted, ["i", "j"], "left_semi")
+            c = merge_partials(products, zeros=kept, wrap_int32=wrap_int32)
+        else:
+            # Summed first: both sides of the semi-join then hold a cell at most once.
+            c = merge_partials(products, zeros=kept, wrap_int32=wrap_int32)
+            c = c.join(wanted, ["i", "j"], "left_semi")
     else:
         products = _probe(a, b, wanted, skew).select(
             "i", "j", _product("av", "bv", wrap_int32).alias("p")

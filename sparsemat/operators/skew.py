@@ -115,12 +115,15 @@ def hot_keys(
 def _spread(df: DataFrame, hot: DataFrame, on, own, other, own_count, other_count, split):
     one = F.lit(1).cast("bigint")
     zero = F.lit(0).cast("bigint")
-    return (
+    sliced = (
         df.join(F.broadcast(hot), list(on), "left")
         .withColumn(own, F.pmod(F.xxhash64(*split), F.coalesce(own_count, one)))
         .withColumn(other, F.explode(F.sequence(zero, F.coalesce(other_count, one) - 1)))
         .drop("_nl", "_nr")
     )
+    # The number is given: adaptive execution would merge slices again by their bytes, which
+    # say nothing about the pairs they make.
+    return sliced.repartition(shuffle_tasks(df), *on, *sorted((own, other)))
 
 
 def skew_join(
@@ -163,7 +166,7 @@ def skew_join(
     hot = hot_keys(left, right, on, left_cells, right_cells)
     ls = _spread(left, hot, on, "_ls", "_rs", F.col("_nl"), F.col("_nr"), left_split)
     rs = _spread(right, hot, on, "_rs", "_ls", F.col("_nr"), F.col("_nl"), right_split)
-    keys = [*on, "_ls", "_rs"]
+    keys = [*on, "_ls", "_rs"]  # the order in which _spread deals them out
     if how == "inner":
         # A hot key of one side only has no partner: its rows need not travel.
         ls = ls.where(F.coalesce("_both", F.lit(True))).drop("_both")

@@ -72,7 +72,9 @@ def _add_pair(total, seen, ax, av, bx, bv, size, modular):
     products = int(per_k[ac].sum())
     if products == 0:
         return total, seen
-    bound = _magnitude(av) * _magnitude(bv) * kb  # of any sum of at most kb products
+    # A cell may occur several times; its copies add up. So many products meet at most in a sum.
+    copies = int(np.bincount(ax).max()) * int(np.bincount(bx).max())
+    bound = _magnitude(av) * _magnitude(bv) * kb * copies
     seen += bound
     if seen < 1 << 53:
         kind = np.float64  # exact for whole numbers of this size
@@ -87,8 +89,8 @@ def _add_pair(total, seen, ax, av, bx, bv, size, modular):
     if bound < 1 << 53 and products * _DENSE_SHARE > ib * kb * jb:
         left = np.zeros((ib, kb))
         right = np.zeros((kb, jb))
-        left[ar, ac] = av
-        right[br, bc] = bv
+        np.add.at(left, (ar, ac), av)
+        np.add.at(right, (br, bc), bv)
         dense = (left @ right).ravel()
         return total + (dense if kind is np.float64 else dense.astype(np.int64)), seen
     order = np.argsort(br, kind="stable")
@@ -151,17 +153,17 @@ def block_matmul(
     kb: int,
     jb: int,
     *,
-    kernel: str = "cells",
+    kernel: str = "tiles",
     duplicates: str = "sum",
     wrap_int32: bool = False,
     skew: str = "auto",
 ) -> DataFrame:
     """C = A * B over tiles of ``ib x kb`` and ``kb x jb`` cells; zeros are dropped.
 
-    ``kernel="cells"`` joins addressed cells and sums per place in C's tile, all in the
-    JVM; it suits sparse tiles. ``kernel="tiles"`` joins whole tiles and lays the pairs of
-    one C tile side by side, where numpy adds up their products, so that only finished
-    tiles (or the few parts a tile was split into) are shuffled; it suits dense tiles.
+    ``kernel="tiles"`` joins whole tiles and lays the pairs of one C tile side by side,
+    where numpy adds up their products, so that only finished tiles (or the few parts a
+    tile was split into) are shuffled. ``kernel="cells"`` is `matmul` on tile addresses: it
+    joins on k and sums per place in C's tile, all in the JVM, for nearly empty tiles.
     """
     require(kernel, KERNELS, "kernel")
     a = operand(a, "i", "k", duplicates, None, wrap_int32)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 import sparsemat as sm
@@ -401,7 +402,7 @@ def vec_scale(spark, sf):
 
 @_query(f"{_A} SELECT * FROM a WHERE v <> 0")
 def vec_dense_roundtrip(spark, sf):
-    width = 1024
+    width = _WIDTH
     offset = F.col("seg") * width
     dense = _rows(spark, sf, width).withColumn("d", sm.vec_to_dense("vec", width, offset))
     return sm.from_row_vectors(dense.select("i", sm.vec_from_dense("d", offset).alias("vec")))
@@ -511,7 +512,38 @@ def block_matmul(spark, sf):
 
 @_query(f"{_with(a='signed', b='part_line')} {_PRODUCT} HAVING SUM(a.v * b.v) <> 0")
 def block_matmul_tiles(spark, sf):
-    return sm.block_matmul(*_signed_ab(spark, sf), 17, 70, 4, duplicates="unique", kernel="tiles")
+    return sm.block_matmul(*_signed_ab(spark, sf), 64, 512, 8, duplicates="unique", kernel="tiles")
+
+
+@_query(f"{_with(a='signed', b='part_line')} {_PRODUCT} HAVING SUM(a.v * b.v) <> 0")
+def block_matmul_cells(spark, sf):
+    return sm.block_matmul(*_signed_ab(spark, sf), 17, 70, 4, duplicates="unique", kernel="cells")
+
+
+@_query(f"{_with(a='raw', b='part_line')} {_PRODUCT} HAVING SUM(a.v * b.v) <> 0")
+def block_matmul_repeated(spark, sf):
+    """Cells that occur several times go into the tiles as they are and add up there."""
+    return sm.block_matmul(t.raw_cells(spark, sf), t.part_line(spark, sf), 32, 256, 7, duplicates="unique")
+
+
+@_query(f"{_with(a='raw', b='part_line')} {_PRODUCT} HAVING SUM(a.v * b.v) <> 0")
+def block_matmul_summed(spark, sf):
+    return sm.block_matmul(t.raw_cells(spark, sf), t.part_line(spark, sf), 32, 256, 7)
+
+
+@_query(f"{_with(a='raw', b='part_line')} {_PRODUCT}")
+def segmented_matmul_summed(spark, sf):
+    return sm.segmented_matmul(t.raw_cells(spark, sf), t.part_line(spark, sf), 64, 4)
+
+
+@_query(
+    f"""{_A} SELECT (i - 1) // 16 AS ib, (k - 1) // 64 AS kb,
+    {_line('((i - 1) % 16 * 64 + (k - 1) % 64)', '(i - 1) % 16 * 64 + (k - 1) % 64')} AS tile
+    FROM a GROUP BY 1, 2"""
+)
+def to_tiles(spark, sf):
+    tiles = sm.to_tiles(t.supplier_part(spark, sf), "i", "k", 16, 64, duplicates="unique")
+    return tiles.select("ib", "kb", sm.functions.vec_text(F.sort_array("tile")).alias("tile"))
 
 
 _RETURNED = "SELECT DISTINCT l_suppkey + 1 AS i, o_custkey + 1 AS j FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"
@@ -522,7 +554,7 @@ _MASKED = f"""{_ORDERS}, w AS ({_RETURNED})
     FROM a JOIN b ON a.k = b.k JOIN w ON w.i = a.i AND w.j = b.j GROUP BY 1, 2"""
 
 
-def _masked(spark, sf, via):
+def _masked(spark, sf, via, **options):
     """Total quantity for the supplier/customer pairs with a returned line."""
     returned = t.table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
     orders = t.table(spark, sf, "orders")
@@ -530,7 +562,7 @@ def _masked(spark, sf, via):
         (F.col("l_suppkey") + 1).alias("i"), (F.col("o_custkey") + 1).alias("j")
     )
     a, b = t.supplier_order(spark, sf), t.order_customer(spark, sf)
-    return sm.masked_matmul(a, b, pairs, via=via, duplicates="unique")
+    return sm.masked_matmul(a, b, pairs, via=via, **({"duplicates": "unique"} | options))
 
 
 @_query(_MASKED)
@@ -543,6 +575,33 @@ def masked_matmul_probes(spark, sf):
     return _masked(spark, sf, "probes")
 
 
+@_query(_MASKED)
+def masked_matmul_summed(spark, sf):
+    return _masked(spark, sf, "products", duplicates="sum")
+
+
+_SMALL = f"""w AS (SELECT s_suppkey + 1 AS i, c_custkey + 1 AS j FROM supplier JOIN customer
+    ON s_nationkey = c_nationkey WHERE s_acctbal < 5000)"""
+
+
+@_query(
+    f"""{_ORDERS}, {_SMALL}, c AS (SELECT a.i, b.j, CAST(SUM(a.v * b.v) AS BIGINT) AS v
+      FROM a JOIN b ON a.k = b.k GROUP BY 1, 2)
+    SELECT w.i, w.j, coalesce(c.v, 0) AS v FROM (SELECT DISTINCT * FROM w) w
+    JOIN (SELECT DISTINCT i FROM a) r ON r.i = w.i JOIN (SELECT DISTINCT j FROM b) s ON s.j = w.j
+    LEFT JOIN c ON c.i = w.i AND c.j = w.j"""
+)
+def masked_matmul_dense(spark, sf):
+    """Suppliers with a small balance and the customers of their nation, with 0 where nothing was sold."""
+    supplier = t.table(spark, sf, "supplier").where("s_acctbal < 5000")
+    customer = t.table(spark, sf, "customer")
+    pairs = supplier.join(customer, supplier.s_nationkey == customer.c_nationkey).select(
+        (F.col("s_suppkey") + 1).alias("i"), (F.col("c_custkey") + 1).alias("j")
+    )
+    a, b = t.supplier_order(spark, sf), t.order_customer(spark, sf)
+    return sm.masked_matmul(a, b, pairs, zeros="dense_support", duplicates="unique")
+
+
 # ---------------------------------------------------------------- generator
 
 
@@ -558,7 +617,30 @@ def _generated(seed: int, columns: int, density: float, names: tuple[str, str])
 @_query(f"SELECT * FROM {_generated(7, 64, 0.25, ('i', 'k'))} g")
 def generate_sparse(spark, sf):
     """A random row of 64 columns for every part."""
-    return sm.generate_sparse(spark, t.part_count(spark, sf), 64, 0.25, 7)
+    column = F.explode(F.expr("sequence(1L, 64L)"))
+    grid = t.table(spark, sf, "part").select((F.col("p_partkey") + 1).alias("i"), column.alias("k"))
+    return sm.sample_cells(grid, 0.25, 7)
+
+
+@_query(
+    f"""WITH a AS {_generated(5, 32, 0.25, ('i', 'k'))}, b AS (
+      SELECT r.range AS k, c.range AS j,
+        CAST('0x' || substr(md5('6,' || r.range || ',' || c.range), 9, 8) AS BIGINT) % 100 AS v
+      FROM range(1, 33) r CROSS JOIN range(1, (SELECT count(*) FROM part) + 1) c
+      WHERE CAST('0x' || substr(md5('6,' || r.range || ',' || c.range), 1, 8) AS BIGINT) < 1073741824)
+    SELECT k, count(va) AS na, count(vb) AS nb, CAST(sum(va) AS BIGINT) AS sa, CAST(sum(vb) AS BIGINT) AS sb
+    FROM (SELECT k, v AS va, NULL::BIGINT AS vb FROM a UNION ALL SELECT k, NULL, v FROM b) u GROUP BY k"""
+)
+def generate_pair(spark, sf):
+    """Two factors that fit together, summed up per shared index."""
+    a, b = sm.generate_pair(spark, t.part_count(spark, sf), 32, 0.25, 5)
+    none = F.lit(None).cast("bigint")
+    both = a.select("k", F.col("v").alias("a"), none.alias("b")).unionByName(
+        b.select("k", none.alias("a"), F.col("v").alias("b"))
+    )
+    return both.groupBy("k").agg(
+        F.count("a").alias("na"), F.count("b").alias("nb"), F.sum("a").alias("sa"), F.sum("b").alias("sb")
+    )
 
 
 @_query(f"{_A}, b AS {_generated(11, 16, 0.5, ('k', 'j'))} {_PRODUCT}")
@@ -584,6 +666,39 @@ def coo_files_pair_sorted(spark, sf):
     return sm.parse_coo(sm.read_lines(spark, path))
 
 
+_IN_ORDER = f"{_A} SELECT count(*) AS cells, 0 AS descents, 0 AS overlaps FROM a"
+
+
+@_query(_IN_ORDER)
+def sorted_files(spark, sf):
+    """Order inside each file and over the files of a sorted matrix, read off the files."""
+    path = scratch_path(spark, "coo-sorted")
+    sm.write_coo(t.supplier_part(spark, sf), path, sort=True)
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("part"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    token = F.split("value", "\t")
+    key = F.struct(token[0].cast("bigint").alias("i"), token[1].cast("bigint").alias("k"))
+    keyed = lines.select("file", "part", "line", key.alias("key"))
+    before = F.lag("key").over(W.partitionBy("file").orderBy("part", "line"))
+    files = keyed.withColumn("down", (before >= F.col("key")).cast("bigint")).groupBy("file").agg(
+        F.count("key").alias("cells"),
+        F.coalesce(F.sum("down"), F.lit(0)).alias("downs"),
+        F.min("key").alias("first"),
+        F.max("key").alias("last"),
+    )
+    # One row per file from here on.
+    over = (F.lag("last").over(W.orderBy("first")) >= F.col("first")).cast("bigint")
+    return files.withColumn("over", over).agg(
+        F.sum("cells").alias("cells"),
+        F.sum("downs").cast("int").alias("descents"),
+        F.coalesce(F.sum("over"), F.lit(0)).cast("int").alias("overlaps"),
+    )
+
+
 @_query(f"{_A} SELECT * FROM a")
 def row_vector_files(spark, sf):
     path = scratch_path(spark, "rows")
@@ -601,6 +716,31 @@ def outer_matmul_two_files(spark, sf):
     return sm.outer_matmul(records)
 
 
+@_query(_PRODUCT_SQL)
+def outer_matmul_long_records(spark, sf):
+    """Lines that hold a whole column of A and a whole row of B."""
+    path = scratch_path(spark, "outer-long")
+    width = 1 << 40
+    sm.write_outer_records(sm.cogroup_outer(*_ab(spark, sf), la=width, lb=width, duplicates="unique"), path)
+    return sm.outer_matmul(sm.read_outer_records(spark, path))
+
+
+@_query(
+    f"""{_ONE_SIDED}, av AS {_vectors('a', 'k', 'i', 16, 'sa')}, bv AS {_vectors('b', 'k', 'j', 3, 'sb')}
+    SELECT CASE WHEN coalesce(av.k, bv.k) <= (SELECT count(*) FROM part) // 2 THEN 'A' ELSE 'B' END AS half,
+      coalesce(av.n, 0) || {_TAB} || coalesce(av.line, '') || coalesce(bv.line, '') AS value
+    FROM av FULL OUTER JOIN bv ON av.k = bv.k"""
+)
+def cogroup_halves_files(spark, sf):
+    """Every k of either side, written in two folders by half of k and read back."""
+    path = scratch_path(spark, "halves")
+    records = sm.cogroup_outer(
+        t.supplier_part(spark, sf), t.customer_priority(spark, sf), la=16, lb=3, duplicates="unique"
+    )
+    sm.write_outer_records(records, path, acol=t.part_count(spark, sf))
+    return spark.read.text(path).select("half", "value")
+
+
 @_query(f"{_ONE_SIDED} {_PRODUCT}")
 def scaled_row_files(spark, sf):
     path = scratch_path(spark, "scaled")

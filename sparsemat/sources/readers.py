@@ -89,8 +89,8 @@ def parse_coo(
 ) -> DataFrame:
     """Lenient reader: three integers apart by any blanks; what follows them is ignored."""
     columns = [*names, "v"]
-    parsed = lines.withColumn("_t", _tokens(F.col("value"))).select(
-        "value", *(_number(F.get("_t", F.lit(at))).alias(c) for at, c in enumerate(columns))
+    parsed = _parse_once(
+        lines, lambda t: [_number(F.get(t, F.lit(at))).alias(c) for at, c in enumerate(columns)]
     )
     ok = F.lit(True)
     for c in columns:

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from sparsemat import plans
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -22,7 +23,7 @@ def db():
     connection.close()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(plans.queries()))
 def test_query_matches_sql(spark, db, name):
     ours = contract.queries()[name](spark, SF_DIR)
     cursor = db.execute(contract.oracle_sql()[name])

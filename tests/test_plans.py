@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 import sparsemat as sm
 from helpers import matrix_a, matrix_b, rows
+from sparsemat import plans
+from sparsemat.operators.multiply import _cut
 from sparsemat.operators.skew import SLICES_PER_TASK, fits_broadcast, hot_keys, one_cell
 from sparsemat.plans.scratch import scratch_path
 
@@ -48,7 +50,7 @@ def stored(spark, tmp_path):
     return spark.read.parquet(str(tmp_path / "a")), spark.read.parquet(str(tmp_path / "b"))
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(plans.queries()))
 def test_no_query_pairs_rows_without_a_key(spark, name):
     text = plan(contract.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text
@@ -104,6 +106,62 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert rows(salted) == rows(sm.matmul(a, b, duplicates="unique", skew="off"))
 
 
+def made_per_task(df):
+    """Rows that each task of the last stage before `df` makes, the largest first."""
+    counts = df.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    return sorted((r["count"] for r in counts), reverse=True)
+
+
+def test_slices_stay_apart_when_partitions_may_be_merged(spark):
+    """All products of a single k are made by tasks with about even shares."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    a = spark.range(4000).select((F.col("id") + 1).alias("i"), F.lit(1).alias("k"), F.col("id").alias("v"))
+    b = spark.range(1000).select(F.lit(1).alias("k"), (F.col("id") + 1).alias("j"), F.col("id").alias("v"))
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    made = made_per_task(sm.partial_products(a, b, duplicates="unique", skew="salt"))
+    assert sum(made) == 4_000_000
+    assert made[0] <= 3 * sum(made) / tasks
+
+
+def test_dense_fill_is_spread_when_partitions_may_be_merged(spark):
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    a = spark.range(1500).select((F.col("id") + 1).alias("i"), (F.col("id") + 1).alias("k"), F.lit(1).alias("v"))
+    b = spark.range(2000).select((F.col("id") % 50 + 1).alias("k"), (F.col("id") + 1).alias("j"), F.lit(1).alias("v"))
+    made = made_per_task(sm.matmul(a, b, zeros="dense_support", duplicates="unique"))
+    assert sum(made) == 3_000_000
+    assert made[0] <= 3 * sum(made) / tasks
+
+
+def test_long_records_are_cut_and_spread(spark):
+    """One line with a whole column and a whole row: several tasks unfold it."""
+    long = ("transform(sequence(1L, {}L), x -> named_struct('x', x, 'v', 1L)) AS {}".format(n, c) for n, c in ((20000, "av"), (5000, "bv")))
+    record = spark.range(1).selectExpr(*long)
+    cut = _cut(record, "av", "bv")
+    made = cut.select((F.size("av").cast("long") * F.size("bv")).alias("n"), F.spark_partition_id().alias("task"))
+    loads = sorted(r["n"] for r in made.groupBy("task").agg(F.sum("n").alias("n")).collect())
+    assert sum(loads) == 20000 * 5000
+    assert loads[-1] <= 3 * sum(loads) / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_pairs_are_gathered_without_a_sample(spark, stored):
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        assert "rangepartitioning" not in plan(sm.segmented_matmul(*stored, 16, 8, duplicates="unique"), "simple")
+        assert "rangepartitioning" not in plan(sm.block_matmul(*stored, 16, 8, 4, duplicates="unique"), "simple")
+
+
+def test_kept_rows_take_one_product(spark, stored):
+    a, b = (sm.to_row_vectors(m, *n, duplicates="unique") for m, n in zip(stored, (("i", "k"), ("k", "j"))))
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        count = [plan(sm.row_matmul(a, b, empty_rows=e, skew="off"), "simple").count("Join") for e in ("drop", "keep")]
+    assert count[1] == count[0] + 1
+
+
+def test_lines_are_split_once(spark):
+    lines = spark.range(10).select(F.concat_ws(" ", "id", "id", "id").alias("value"))
+    for mode in ("FAILFAST", "PERMISSIVE", "DROPMALFORMED"):
+        assert plan(sm.parse_coo(lines, mode=mode), "simple").count("split(") == 1
+
+
 def test_number_of_hot_keys_is_bounded(spark):
     """Whatever the keys hold, fewer than slices-many can pass the share."""
     slices = SLICES_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
