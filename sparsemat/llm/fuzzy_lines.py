@@ -6,6 +6,7 @@ Everything here is DataFrame and SQL functions.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -18,6 +19,9 @@ SHINGLE = 12
 #: a bin with probability 0.8 and one of six bands in all but 0.36 ** 6 = 0.2 % of cases.
 BINS, ROWS = 12, 2
 
+#: Lines of a band that each of its lines is compared with.
+NEIGHBOURS = 8
+
 #: Least Jaccard similarity of the sets of shingles.
 SIMILARITY = 0.8
 
@@ -71,17 +75,19 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     Equal lines are one, the first by document and place. Different ones are linked if their
     shingle sets have similarity ``SIMILARITY``. Candidates share a band; each is compared
-    with the band's first line, so a band of any size gives as many pairs as it has lines,
-    and lines that are alike mostly meet in another of the bands if this one's first line is
-    not like them. A class is what links connect and its first line is kept.
+    with the ``NEIGHBOURS`` lines before it in the band and with the band's first one. So all
+    pairs are compared in a band of up to ``NEIGHBOURS`` + 1 lines, and one of any size gives
+    pairs in proportion to its lines, which a cluster of lines that are alike connects. A
+    class is what links connect and its first line is kept.
     """
     rows = _named(lines(docs, key, text))
     signed = rows.select("a", "b", F.struct("node", bands(shingles(F.col("line"))).alias("bands")).alias("m"))
     unique = signed.groupBy("a", "b").agg(F.min("m").alias("m")).select("a", "b", "m.*")
     unique = materialize(unique, "lines")
     banded = unique.select("node", F.explode("bands").alias("band"))
-    first = banded.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    pairs = banded.join(first, "band").filter("node != first").select("node", "first").distinct()
+    order = W.partitionBy("band").orderBy("node")
+    before = F.array_compact(F.array(F.first("node").over(order), *(F.lag("node", k).over(order) for k in range(1, NEIGHBOURS + 1))))
+    pairs = banded.select("node", before.alias("before")).select("node", F.explode("before").alias("first")).filter("node != first").distinct()
     pairs = materialize(pairs, "candidates")
     wanted = pairs.select("node").unionAll(pairs.select(F.col("first").alias("node"))).distinct()
     # the sets of candidates only: their lines are looked up in the documents again
