@@ -31,7 +31,10 @@ FAN_OUT, RARE = 32, 8
 #: and the smoothed share of blocked urls from which a template is rejected.
 PRIOR, ALIKE, REJECT = 8.0, 2.0, 0.6
 
-#: Share of blocked urls that a host without labels is taken to have.
+#: A url that no rule decides counts as so much of an allowed one: rules mostly name what is bad.
+UNDECIDED = 0.5
+
+#: Share of blocked urls that a host is taken to have before its urls are seen.
 BACKGROUND = 0.2
 
 
@@ -78,21 +81,22 @@ def _tree(nodes: DataFrame) -> DataFrame:
     their parent's are merged under a wildcard too; each branch's share is smoothed towards
     its parent's. All of it is sums by parent and branch, joined back.
     """
-    hosts = nodes.groupBy("host").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
+    weight = F.sum(F.col("labelled") + UNDECIDED * (F.col("n") - F.col("labelled")))
+    hosts = nodes.groupBy("host").agg(weight.alias("l"), F.sum("blocked").alias("b"))
     purity = (F.col("b") + PRIOR * BACKGROUND) / (F.col("l") + PRIOR)
     nodes = nodes.join(hosts.select("host", purity.alias("purity")), "host").withColumn("template", F.col("host"))
     one = F.lit(1)
     for k in range(LEVELS):
         key = ["template", f"s{k}"]
         branch = nodes.groupBy(*key).agg(
-            F.sum("n").alias("n"), F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.max("purity").alias("above")
+            F.sum("n").alias("n"), weight.alias("l"), F.sum("blocked").alias("b"), F.max("purity").alias("above")
         )
         branch = materialize(branch, "branches")
         fan = branch.groupBy("template").agg(F.count("*").alias("fan"))
         rare = (F.col("fan") > FAN_OUT) & (F.col("n") < RARE)
         error = F.sqrt(F.greatest(F.col("above") * (1 - F.col("above")), F.lit(0.01)) / F.greatest("l", one))
         alike = F.abs(F.col("b") / F.greatest("l", one) - F.col("above")) <= ALIKE * error
-        name = F.when(F.col(f"s{k}") == "", F.lit("")).when(rare | (F.col("l") == 0) | alike, F.lit("/*"))
+        name = F.when(F.col(f"s{k}") == "", F.lit("")).when(rare | alike, F.lit("/*"))
         name = name.otherwise(F.concat(F.lit("/"), F.col(f"s{k}")))
         branch = branch.join(fan, "template").withColumn("t", name)
         merged = branch.groupBy("template", "t").agg(F.sum("l").alias("l"), F.sum("b").alias("b"), F.max("above").alias("above"))
@@ -108,8 +112,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, key: str =
 
     The longest rule that fits decides. The urls that rules decide are the labels by which
     the tree judges the others: a template is rejected if its smoothed share of blocked urls
-    reaches ``REJECT``. A host without any label keeps the background share, so its urls are
-    allowed. Null urls and urls without ``://`` have empty host and path and are allowed;
+    reaches ``REJECT``; a host without any label is allowed. Null urls and urls without ``://`` have empty host and path and are allowed;
     rows keep their number, empty input gives no rows.
     """
     host, path = split_url(F.col(url))
