@@ -25,13 +25,11 @@ LEAST_GROUP = 60
 
 #: Standard deviations below which a statistic is not told apart, added to each variance:
 #: ln words, ln word length, ln(1 + symbols %), ln(1 + repeated lines %), ln(1 + repeated words %).
-FLOORS = (0.5, 0.08, 0.5, 0.5, 0.5)
+FLOORS = (1.0, 0.1, 0.5, 1.0, 1.0)
 
-#: Squared distances beyond this many times the median's expected value are outliers.
-CUTOFF = 50.0
-
-#: Median of chi-squared with five degrees of freedom.
-MEDIAN = 4.351460191096
+#: Squared distances beyond the 0.9999 quantile of chi-squared with five degrees of freedom
+#: are outliers; its median calibrates the distances.
+CUTOFF, MEDIAN = 25.745, 4.351
 
 #: Width of the classes in which values and logarithms of distances are counted.
 STEP = 1 / 32
@@ -196,7 +194,7 @@ def outliers(rows: DataFrame) -> DataFrame:
     Minimum covariance determinant by concentration: from medians and quartiles on, each
     step keeps the ``SHARE`` of a group's rows that are nearest and estimates mean and
     covariance from them. Quantiles are taken from counts per class of distance, so rows
-    only meet in sums. ``scale`` makes the median distance what a normal sample would have.
+    only meet in sums. ``scale`` brings a median distance above a normal sample's down to it.
     """
     params = _start(rows)
     for _ in range(STEPS):
@@ -207,7 +205,7 @@ def outliers(rows: DataFrame) -> DataFrame:
     far = _distances(rows, params)
     middle = _reached(_classes(far), ["group"], "class", 0.5)
     scale = F.expm1((F.col("class") + 0.5) * STEP) / MEDIAN
-    middle = materialize(middle.select("group", scale.alias("scale")), "scales")
+    middle = materialize(middle.select("group", F.greatest(scale, F.lit(1.0)).alias("scale")), "scales")
     return far.drop("class").join(middle, "group")
 
 
@@ -215,7 +213,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     """Statistics, ``base_failed`` and ``kept`` of every row.
 
     The estimates are made of the rows that pass the base rules; such a row is rejected if
-    its squared distance is over ``CUTOFF`` times the median's. A group (language and
+    its calibrated squared distance is over ``CUTOFF``. A group (language and
     source, null being a value) of under ``LEAST_GROUP`` rows is judged with the other small
     ones of its language, and these with all others if they are still too few. Rows keep
     their number whatever is null or repeated; empty input gives no rows.
