@@ -1,0 +1,162 @@
+"""Near-duplicates, decontamination, repeats and components against plain Python."""
+
+from __future__ import annotations
+
+import random
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sparsemat.llm import components, decontaminate, fuzzy_lines, simhash, substrings
+
+
+def test_components_on_chains_stars_and_loops(spark):
+    rng = random.Random(1)
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 200), (None, 3), (300, 299), (300, 299)]
+    rng.shuffle(edges)
+    got = dict(tuple(r) for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    expected = {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)} | {300: 299}
+    assert got == expected
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_partners_within_three_bits_meet_at_an_anchor():
+    rng = np.random.default_rng(5)
+    fp = rng.integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2)
+    fp[:3] = 0, 1 << 63, (1 << 64) - 1
+    other = fp.copy()
+    for n in range(len(fp)):
+        for b in rng.choice(64, n % 4, replace=False):
+            other[n] ^= np.uint64(1) << np.uint64(b)
+    for a, b in zip(simhash.anchors(fp), simhash.anchors(other), strict=True):
+        assert set(a.tolist()) & set(b.tolist())
+
+
+def test_large_cells_are_compared_in_blocks(spark, monkeypatch):
+    """With a tiny limit every cell goes the way of a hot one and the groups stay the same."""
+    rng = random.Random(2)
+    centre = [rng.getrandbits(64) for _ in range(3)]
+    prints = {}
+    for n in range(300):
+        v = centre[n % 3]
+        for b in rng.sample(range(64), rng.randrange(4)):
+            v ^= 1 << b
+        prints[n] = v
+    rows = {v: n for n, v in reversed(prints.items())}
+    signed = [(v - (1 << 64) if v >> 63 else v, n) for v, n in rows.items()]
+    df = spark.createDataFrame(signed, "fp long, node long")
+    expected = brute.groups({n: v for v, n in rows.items()})
+    for cell in (2048, 7):
+        monkeypatch.setattr(simhash, "CELL", cell)
+        roots = dict(tuple(r) for r in components.components(simhash.links(df)).collect())
+        assert {n: roots.get(n, n) for n in rows.values()} == expected
+
+
+def test_near_duplicates(docs, rows, none, same):
+    prints = {}
+    for r in rows:
+        prints.setdefault(r[0], brute.fingerprint(r[1]))
+    ids = {k: v for k, v in prints.items() if k is not None}
+    group = brute.groups(ids)
+    expected = [(r[0], f"{brute.fingerprint(r[1]):016x}", group.get(r[0])) for r in rows]
+    same(simhash.near_duplicates(docs), expected, "doc_id", "fingerprint", "component_id")
+    assert simhash.near_duplicates(none).count() == 0
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    expected = [(r[0], r[1]) for r in rows if r[0] is None or group[r[0]] == r[0]]
+    same(kept, expected, "doc_id", "text")
+
+
+ITEMS = [(1, "every bright old house"), (2, None), (3, "..."), (10, "One"), (2, "under the Green LIGHT song of stone")]
+
+
+def test_contamination(spark, docs, rows, none, same):
+    passage = rows[12][1].split()
+    items = [*ITEMS, (7, " ".join(passage[3:40])), (8, ", ".join(passage[10:30]).upper()), (None, "one two")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    pairs = [(r[0], r[1]) for r in rows]
+    expected = brute.contamination(pairs, [i for i in items if i[0] is not None])
+    same(decontaminate.contamination(docs, bench), expected)
+    bad = {r[0] for r in expected if r[5]}
+    clean = decontaminate.clean(docs, bench)
+    assert clean.columns == docs.columns
+    same(clean, [(r[0], r[1]) for r in rows if r[0] is None or r[0] not in bad], "doc_id", "text")
+    assert decontaminate.contamination(none, bench).count() == 0
+    same(decontaminate.contamination(docs, bench.limit(0)), brute.contamination(pairs, []))
+
+
+def test_a_benchmark_in_blocks_gives_the_same(spark, docs, rows, same, monkeypatch):
+    passage = rows[12][1].split()
+    items = [*ITEMS, (7, " ".join(passage[3:40])), (8, " ".join(passage[10:30]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 150)
+    same(decontaminate.contamination(docs, bench), brute.contamination([(r[0], r[1]) for r in rows], items))
+
+
+@pytest.mark.parametrize("group", (4 << 20, 3000))
+def test_repeats_are_removed(docs, rows, none, same, monkeypatch, group):
+    monkeypatch.setattr(substrings, "GROUP_BYTES", group)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", group)
+    same(substrings.remove_repeats(docs).drop("kept"), brute.without_repeats([(r[0], r[1]) for r in rows]))
+    if group < 4 << 20:
+        kept = {r["kept_sha256"]: r["kept"] for r in substrings.remove_repeats(docs).collect()}
+        assert all(brute.sha(v) == k for k, v in kept.items())
+        assert substrings.remove_repeats(none).count() == 0
+
+
+def test_windows_of_one_hash_are_told_apart(docs, rows, same, monkeypatch):
+    """Even if all hashes are the same the bytes decide."""
+    import sparsemat.llm.substrings as module
+
+    table = {"part": [0, 0], "bucket": [0, 0]}
+    import pyarrow as pa
+    import zstandard
+
+    squeeze = zstandard.ZstdCompressor().compress
+    texts = ["a b c\nb c d\n", "a b c\nx y z\n"]
+    least = [[5, 5], [3, 9]]
+    table |= {"least": [squeeze(np.array(x, np.int64).tobytes()) for x in least], "packed": [squeeze(t.encode()) for t in texts]}
+    monkeypatch.setattr(module, "gram_hashes", lambda w, k: np.zeros(max(0, len(w) - k + 1), np.uint64))
+    out = module._count(3)(pa.table(table))
+    bits = [np.unpackbits(np.frombuffer(b, np.uint8), count=2).tolist() for b in out.column("bits").to_pylist()]
+    assert bits == [[1, 0]]
+
+
+def test_fuzzy_lines(spark, none):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**6)}x" for _ in range(400)]
+    lines = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(12)]
+    near = [l.rsplit(" ", 1)[0] + " changed" for l in lines[:6]]
+    texts = [(1, "\n".join(lines)), (2, "\n".join(near)), (3, None), (4, "\n \n"), (5, lines[7] + "\n" + lines[7]), (None, lines[8]), (6, "")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").withColumn("line", F.lit(1)).withColumn("band", F.lit(2))
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["removed"]) for r in fuzzy_lines.dedup_lines(df).collect()}
+    assert got[2] == (6, 6, list(range(6)))
+    assert got[5] == (2, 2, [0, 1])
+    assert got[3] == got[4] == got[6] == (0, 0, [])
+    assert got[None] == (1, 0, [])  # a null id comes first
+    assert got[1] == (12, 1, [8])
+    assert fuzzy_lines.dedup_lines(none).count() == 0
+
+
+def test_fuzzy_lines_find_nearly_all_links(spark):
+    """Recall against brute force over all pairs of lines at the stated similarity."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 8))) for _ in range(300)]
+    base = [[rng.choice(words) for _ in range(rng.randrange(12, 60))] for _ in range(60)]
+    lines = []
+    for b in base:
+        for _ in range(4):
+            copy = list(b)
+            for _ in range(rng.randrange(3)):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            lines.append(" ".join(copy))
+    lines = sorted(set(lines))
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    sets = {r["doc_id"]: set(r["s"]) for r in df.select("doc_id", fuzzy_lines.shingles(F.col("text")).alias("s")).collect()}
+    kept = {r["node"]["doc"]: r["kept"]["doc"] for r in fuzzy_lines.line_classes(df).collect()}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(links) > 50
+    assert sum(kept[a] == kept[b] for a, b in links) >= 0.95 * len(links)
+    assert all(any(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for b in sets if b != a and kept[b] == kept[a]) for a in kept if kept[a] != a)

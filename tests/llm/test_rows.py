@@ -1,0 +1,209 @@
+"""Operators on single documents, and the mix, against plain Python."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+
+import brute
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from sparsemat.llm import langid, mixing, quality, token_counts, token_ids, url_filter
+
+IDS, COUNTS = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+
+
+def test_mix(docs, rows, none):
+    got = mixing.mix(docs).collect()
+    size = defaultdict(int)
+    for r in rows:
+        size[r[3]] += len(brute.PLAIN.findall(r[1] or ""))
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, open_, left = {}, set(order), float(sum(size.values()))
+    while open_:
+        share = left / sum(weight[s] for s in open_)
+        above = {s for s in open_ if weight[s] * share > 3 * size[s]}
+        for s in above or open_:
+            target[s] = 3.0 * size[s] if above else weight[s] * share
+            left -= target[s]
+        open_ -= above or open_
+    assert len(got) == len(rows)
+    taken = defaultdict(int)
+    by_id = {r[0]: r[3] for r in rows}
+    for r in got:
+        source = by_id[r["doc_id"]]
+        assert r["source_size"] == size[source]
+        assert r["target"] == pytest.approx(target[source])
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[source] += r["taken"]
+    for s in order:  # copies of the row at the cut share what is left
+        assert int(target[s]) - 2 <= taken[s] <= target[s] + 1e-6
+    again = mixing.mix(docs.repartition(7)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    assert mixing.mix(none).count() == 0
+
+
+def test_mixed_copies_have_the_words_that_are_taken(docs, rows, none):
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns
+    words = sum(len(brute.PLAIN.findall(r["text"] or "")) for r in got.select("text").collect())
+    assert words == mixing.mix(docs).agg(F.sum("taken")).first()[0]
+    assert mixing.mixed(none).count() == 0
+
+
+def test_better_documents_are_taken_first(spark):
+    texts = [(i, ("word " if i % 2 else "word# ") * 50, "en", "s" if i < 1000 else "t", 1) for i in range(1010)]
+    got = mixing.mix(spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long"), weights=(1.0, 1.0))
+    share = {r["odd"]: r["n"] for r in got.filter("doc_id < 1000").groupBy((F.col("doc_id") % 2 == 1).alias("odd")).agg(F.sum("taken").alias("n")).collect()}
+    assert share[True] > share[False]
+
+
+def test_token_counts(docs, rows, none, same):
+    tokenizer = Tokenizer.from_file(COUNTS)
+    expected = []
+    for r in rows:
+        n = len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids)
+        expected.append((r[0], len((r[1] or "").encode()), n, n > 512))
+    same(token_counts.token_counts(docs, COUNTS), expected)
+    assert token_counts.token_counts(none, COUNTS).count() == 0
+
+
+def test_proven_strings_are_one_token():
+    counter = token_counts.Counter(COUNTS)
+    tokenizer = Tokenizer.from_file(COUNTS)
+    sample = sorted(counter.whole)[::97]
+    assert len(counter.whole) > 20_000
+    assert all(len(tokenizer.encode(t, add_special_tokens=False).ids) == 1 for t in sample)
+
+
+def test_token_files(docs, rows, none, same):
+    tokenizer = Tokenizer.from_file(IDS)
+    expected = brute.token_digests([(r[0], r[1]) for r in rows], lambda t: tokenizer.encode(t, add_special_tokens=False).ids)
+    same(token_ids.token_files(docs, IDS), expected)
+    assert token_ids.token_files(none, IDS).count() == 0
+
+
+def test_small_blocks_and_random_access(docs, rows, same, monkeypatch):
+    monkeypatch.setattr(token_ids, "BLOCK_IDS", 300)
+    tokenizer = Tokenizer.from_file(IDS)
+    expected = brute.token_digests([(r[0], r[1]) for r in rows], lambda t: tokenizer.encode(t, add_special_tokens=False).ids)
+    same(token_ids.token_files(docs, IDS), expected)
+
+
+@pytest.mark.parametrize("n", (0, 1, 2, 5000))
+def test_grammar_round_trip(n):
+    rng = np.random.default_rng(n)
+    ids = np.concatenate([rng.integers(0, 9, n), np.zeros(n, int), np.tile([1, 2, 3], n)]).astype(np.uint32)
+    rules, seq = token_ids.compress(ids, 10)
+    assert np.array_equal(token_ids.expand(seq, rules, 10), ids)
+    lengths = token_ids.expansion_lengths(rules, 10)
+    assert sum(lengths[s - 10] if s >= 10 else 1 for s in seq.tolist()) == len(ids)
+    if n > 5:
+        assert len(seq) < len(ids) / 2
+    batch = token_ids._block(0, 0, [1], [ids], 10)
+    row = batch.to_pylist()[0]
+    for a, b in ((0, 3), (n // 2, n + 7), (0, 5 * n), (n, n), (3 * n, 9 * n)):
+        assert np.array_equal(token_ids.read_range(row, a, b), ids[a:b])
+
+
+def test_quality_statistics(docs, rows, none, same):
+    expected = [brute.base_statistics(r[0], r[1]) for r in rows]
+    judged = quality.judge(docs)
+    same(judged, expected, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert judged.filter("kept AND base_failed").count() == 0
+    assert quality.judge(none).count() == 0
+
+
+def test_outliers_go_and_others_stay(spark):
+    import random
+
+    rng = random.Random(1)
+    text = lambda n, mark="": " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) + (mark if rng.random() < 0.5 else "") for _ in range(n))
+    rows = [(i, text(int(rng.lognormvariate(5.5, 0.6)) + 60), "en", f"s{i % 2}", 1) for i in range(300)]
+    rows += [(1000 + i, text(200, "###"), "en", "s0", 1) for i in range(12)]
+    rows += [(2000, rows[0][1], None, "tiny", 1)]
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    assert not any(got[1000 + i] for i in range(12))
+    assert sum(got[i] for i in range(300)) >= 299
+    assert len(got) == len(rows)
+
+
+URLS = [
+    None, "", "no scheme/path", "http://", "http://a.com", "HTTP://WWW.Example.COM/en/1", "https://example.com/en/x?y#z", "https://sub.example.com/en/",
+    "ftp://other.net/es/9/8/7/6/5", "https://x.net/esp", "http://x.net/fr/#a", "http://é.org/ä?b", "http://evil.com.org/en/1", "http://h.org//a///b", "a://b://c.com/d",
+    "http://x.net/de/123", "http://x.net/de/124", "http://net/es/1", "http://com?x=/y", "line\nbreak://h.com/p\nq",
+]
+
+
+def test_urls(spark, same):
+    rows = [(i, u, "clash") for i, u in enumerate(URLS)] + [(None, URLS[5], "x"), (3, URLS[5], "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, template string").withColumn("host", F.lit("clash"))
+    got = url_filter.judge(pages)
+    same(got, [(r[0], *brute.url_parts(r[1])[:3]) for r in rows], "page_id", "host", "path", "rule")
+    decided = {(r["page_id"], r["rule"]): r["verdict"] for r in got.collect() if r["rule"]}
+    for r in rows:
+        _, _, rule, verdict = brute.url_parts(r[1])
+        if rule:
+            assert decided[r[0], rule] == verdict
+    assert url_filter.judge(pages.limit(0)).count() == 0
+
+
+def test_templates_are_rejected_by_their_labels(spark):
+    rules = [("block", "h.org/ads/"), ("allow", "h.org/news/"), ("block", "spam.org/a/"), ("block", "spam.org/b/")]
+    urls = [f"http://h.org/ads/{i}" for i in range(50)] + [f"http://h.org/news/{i}" for i in range(50)] + [f"http://h.org/blog/{i}" for i in range(50)]
+    urls += [f"http://spam.org/{s}/{i}" for s in "ab" for i in range(60)] + ["http://spam.org/c/1"] + [f"http://new.org/{i}" for i in range(9)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {u: r["verdict"] for r in url_filter.judge(pages, rules).collect() for u in [urls[r["page_id"]]]}
+    assert {got[u] for u in urls if "/blog/" in u or "new.org" in u} == {"allow"}
+    assert got["http://spam.org/c/1"] == "block"
+
+
+def test_automaton_spells_exactly_the_substrings():
+    text = "abracadabra"
+    a = langid.Automaton(text)
+    def spelled(s):
+        state = 0
+        for c in s:
+            state = a.next.get((state << 21) + ord(c))
+            if state is None:
+                return False
+        return True
+    subs = {text[i:j] for i in range(len(text)) for j in range(i, len(text) + 1)}
+    tried = subs | {s[::-1] for s in subs} | {s + "z" for s in subs}
+    assert all(spelled(s) == (s in text) for s in tried)
+    assert a.phrases(list(map(ord, "abraabra"))) == 2
+    assert a.phrases(list(map(ord, "zzab"))) == 3
+    assert a.phrases([]) == 0
+
+
+def test_languages(spark, docs, rows, none):
+    got = langid.languages(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["lang_pred"] in ("en", "fr", "und") and 0 <= r["score"] <= 1
+    by = defaultdict(set)
+    for r in got:
+        by[r["doc_id"]].add(r["lang_pred"])
+    assert by[0] == by[1] == by[2] == by[5] == {"und"} and "und" not in by[6] | by[7]
+    assert langid.languages(none).count() == 0
+    kept = langid.known_only(docs)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {r[0] for r in rows if r[1] and any(c.isalpha() for c in r[1])}
+    unlabelled = langid.languages(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r["lang_pred"] for r in unlabelled} == {"und"}
+
+
+def test_held_out_accuracy(spark):
+    import zlib
+
+    path = "/root/testdata/sf0.01/documents.parquet"
+    docs = spark.read.parquet(path)
+    truth = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    got = langid.languages(docs).collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) >= 0.97 * len(held)
