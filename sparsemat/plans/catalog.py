@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 import sparsemat as sm
 from sparsemat.schema import check_bounds, resolve_duplicates, wrap_int32
 
+from ..sources import generate
 from . import tables as t
 from .scratch import scratch_path
 from .tables import SQL
@@ -622,6 +623,33 @@ def generate_sparse(spark, sf):
     return sm.sample_cells(grid, 0.25, 7)
 
 
+def _thin(columns: int, density: float, seed: int) -> str:
+    width = generate.block_width(density)
+    last = (columns - 1) // width
+    rest = columns - last * width
+    hexed = "CAST('0x' || substr(md5('r{},' || i || ',' || b || {}), 1, 8) AS BIGINT)".format
+    below = "len(list_filter({}::BIGINT[], lambda t: t <= u))".format
+    return f"""WITH RECURSIVE blocks AS (
+      SELECT p_partkey + 1 AS i, b, {hexed(seed, "''")} AS u, CASE WHEN b = {last} THEN {rest} ELSE {width} END AS w
+      FROM part, (SELECT range AS b FROM range({last + 1}))),
+    sized AS (SELECT i, b, w, CAST(CASE WHEN b = {last} THEN {below(generate.count_thresholds(rest, density))}
+      ELSE {below(generate.count_thresholds(width, density))} END AS BIGINT) AS n FROM blocks),
+    drawn AS (
+      SELECT i, b, w, w - n AS j, CAST([] AS BIGINT[]) AS chosen FROM sized WHERE n > 0
+      UNION ALL
+      SELECT i, b, w, j + 1, list_append(chosen, CASE WHEN list_contains(chosen, pick) THEN j + 1 ELSE pick END)
+      FROM (SELECT *, {hexed(seed, "',' || (j + 1)")} % (j + 1) + 1 AS pick FROM drawn WHERE j < w)),
+    cells AS (SELECT i, b, unnest(chosen) AS x FROM drawn WHERE j = w)
+    SELECT i, CAST(b * {width} + x AS BIGINT) AS k, {hexed(seed, "',v,' || x")} % 100 AS v FROM cells"""
+
+
+@_query(_thin(10_000, 0.002, 9))
+def generate_thin(spark, sf):
+    """A random row of 10,000 columns for every part; only kept cells are made."""
+    parts = t.table(spark, sf, "part").select((F.col("p_partkey") + 1).cast("bigint").alias("i"))
+    return sm.sample_rows(parts, 10_000, 0.002, 9)
+
+
 @_query(
     f"""WITH a AS {_generated(5, 32, 0.25, ('i', 'k'))}, b AS (
       SELECT r.range AS k, c.range AS j,

@@ -1,6 +1,6 @@
 """Readers, writers and the matrix generator."""
 
-from .generate import generate_pair, generate_sparse, sample_cells
+from .generate import generate_pair, generate_sparse, sample_cells, sample_rows
 from .readers import (
     parse_coo,
     parse_outer_records,
@@ -43,6 +43,7 @@ __all__ = [
     "read_row_vectors",
     "read_scaled_rows",
     "sample_cells",
+    "sample_rows",
     "write_coo",
     "write_outer_records",
     "write_partials",

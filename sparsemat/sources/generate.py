@@ -6,6 +6,8 @@ is the same however Spark partitions it and whenever a lost task is run again.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ def generate_sparse(
     """An m x n matrix: each cell is kept with probability `density`.
 
     Values are uniform in ``0 .. max_value-1``; explicit zeros occur. Indices are 1-based.
+    Every cell is looked at, so that whether it is kept depends on its own hash alone; for a
+    thin matrix :func:`sample_rows` makes the kept cells only.
     """
     if not 0.0 <= density <= 1.0:
         raise ValueError("density must lie in 0..1")
@@ -40,6 +44,79 @@ def generate_sparse(
     return sample_cells(grid, density, seed, max_value=max_value)
 
 
+# Cells that a block of columns holds on average when only kept cells are made.
+_PER_BLOCK = 16
+
+
+def count_thresholds(n: int, density: float) -> list[int]:
+    """Integers t with: a 32-bit number u is at least so many of them as a Binomial(n, density) draw.
+
+    The sum of probabilities is rounded to 32 bits; what is rarer than 2^-32 does not occur.
+    """
+    if density <= 0.0 or n == 0:
+        return []
+    if density >= 1.0:
+        return [0] * n
+    total, out = 0.0, []
+    for x in range(n + 1):
+        log = math.lgamma(n + 1) - math.lgamma(x + 1) - math.lgamma(n - x + 1)
+        total += math.exp(log + x * math.log(density) + (n - x) * math.log1p(-density))
+        threshold = round(total * _HASH_RANGE)
+        if threshold >= _HASH_RANGE:
+            break
+        out.append(threshold)
+    return out[:n]
+
+
+def block_width(density: float) -> int:
+    """Columns of a block in :func:`sample_rows`."""
+    return max(_PER_BLOCK, math.ceil(_PER_BLOCK / density)) if density > 0.0 else 1 << 40
+
+
+def sample_rows(
+    rows: DataFrame, n: int, density: float, seed: int = 0, *, max_value: int = 100, col: str = "k"
+) -> DataFrame:
+    """A random row of `n` columns for each number in the one column of `rows`.
+
+    Like :func:`sample_cells`, each cell is kept with probability `density` independently of
+    the others, but only kept cells are made: per row and block of columns a hash gives the
+    number of cells (by thresholds of the binomial distribution), and further hashes their
+    places without repetition. The work grows with the cells that are kept.
+    """
+    (row,) = rows.columns
+    width = block_width(density)
+    last = (n - 1) // width  # number of the last block, which may be narrower
+    blocks = rows.select(row, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last))).alias("_b"))
+
+    def drawn(*parts: Column) -> Column:
+        text = (F.lit(f"r{int(seed)}"), F.col(row).cast("string"), F.col("_b").cast("string"), *parts)
+        return F.md5(F.concat_ws(",", *text))
+
+    def below(limits: list[int]) -> Column:
+        u = F.col("_u")
+        return F.size(F.filter(F.array(*map(F.lit, limits)).cast("array<bigint>"), lambda t: t <= u))
+
+    rest = n - last * width
+    size = F.when(F.col("_b") == last, F.lit(rest)).otherwise(F.lit(width)).cast("bigint")
+    count = F.when(F.col("_b") == last, below(count_thresholds(rest, density)))
+    if last:
+        count = count.otherwise(below(count_thresholds(width, density)))
+    sized = blocks.withColumn("_u", _hex_number(drawn(), 1)).select(
+        row, "_b", size.alias("_w"), count.cast("bigint").alias("_n")
+    )
+
+    def add(chosen: Column, j: Column) -> Column:
+        # each step picks among the first j places; one that is taken gives way to j itself
+        pick = F.pmod(_hex_number(drawn(j.cast("string")), 1), j) + 1
+        return F.concat(chosen, F.array(F.when(F.array_contains(chosen, pick), j).otherwise(pick)))
+
+    steps = F.sequence(F.col("_w") - F.col("_n") + 1, F.col("_w"))
+    places = F.aggregate(steps, F.array().cast("array<bigint>"), add)
+    cells = sized.where(F.col("_n") > 0).select(row, "_b", F.explode(places).alias("_x"))
+    value = F.pmod(_hex_number(drawn(F.lit("v"), F.col("_x").cast("string")), 1), F.lit(int(max_value)))
+    return cells.select(row, (F.col("_b") * width + F.col("_x")).alias(col), value.alias("v"))
+
+
 def sample_cells(grid: DataFrame, density: float, seed: int, *, max_value: int = 100) -> DataFrame:
     """Keep each (row, col) of `grid` with probability `density` and give it a value."""
     row, col = grid.columns

@@ -50,3 +50,24 @@ def test_pair_multiplies(spark):
     expected = product(rows(a), rows(b))
     assert rows(sm.matmul(a, b, duplicates="unique")) == expected
     assert rows(sm.block_matmul(a, b, 5, 4, 5, kernel="tiles")) == [c for c in expected if c[2]]
+
+
+def test_thin_rows_hold_as_many_cells_as_they_should(spark):
+    parts = spark.range(1, 401).withColumnRenamed("id", "i")
+    for n, density in ((1000, 0.01), (5000, 0.002), (90, 0.3), (7, 1.0), (16, 0.5)):
+        got = sm.sample_rows(parts, n, density, 3)
+        low, high, count, places = got.agg(F.min("k"), F.max("k"), F.count("*"), F.countDistinct("i", "k")).first()
+        expected = 400 * n * density
+        assert 1 <= low and high <= n and count == places
+        assert abs(count - expected) <= 5 * (expected * (1 - density)) ** 0.5
+    assert sm.sample_rows(parts, 10, 0.0).count() == 0
+    once = rows(sm.sample_rows(parts, 500, 0.05, 1))
+    assert once == rows(sm.sample_rows(parts.repartition(5), 500, 0.05, 1))
+    assert once != rows(sm.sample_rows(parts, 500, 0.05, 2))
+
+
+def test_thin_rows_cover_columns_evenly(spark):
+    parts = spark.range(1, 2001).withColumnRenamed("id", "i")
+    per = sm.sample_rows(parts, 100, 0.1, 7).groupBy("k").count().collect()
+    assert len(per) == 100
+    assert all(130 <= r["count"] <= 275 for r in per)
