@@ -178,8 +178,10 @@ def matmul(
     `zeros`: ``structural`` keeps a cell when some k has both factors, even if the sum is
     0; ``drop`` keeps non-zero cells only; ``dense_support`` has every (i, j) with a
     non-empty row i of A and a non-empty column j of B.
-    `duplicates`: see :func:`sparsemat.schema.resolve_duplicates`; ``unique`` saves a
-    shuffle of each factor.
+    `duplicates`: see :func:`sparsemat.schema.resolve_duplicates`. ``unique`` saves a
+    shuffle of each factor. A product is linear in each cell, so it leaves copies, if there
+    are any, to the last sum, with the same result as ``sum``: better where copies are few,
+    worse where each cell has many and their products multiply.
     `dims`: optional (rows of A, columns of A, columns of B), checked.
     `skew`: see :func:`sparsemat.operators.skew.skew_join`.
     """
