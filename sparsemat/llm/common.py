@@ -95,14 +95,17 @@ class Words:
     """The words of many texts laid end to end.
 
     ``start``/``end`` are byte positions, ``of`` has for each text the number of its first
-    word (n+1 entries). ``data`` holds the bytes (lower-cased if asked).
+    word (n+1 entries). ``data`` holds the bytes (lower-cased if asked). ``cut`` marks bytes
+    before which a word ends in any case.
     """
 
-    def __init__(self, data: np.ndarray, at: np.ndarray, inside: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, at: np.ndarray, inside: np.ndarray, lower: bool = False, cut: np.ndarray | None = None):
         self.data = LOWER[data] if lower else data
         mask = inside[self.data]
         n = len(data)
         edge = np.zeros(n + 1, bool)
+        if cut is not None:
+            edge[:-1] = cut
         edge[at] = True
         before = np.zeros(n, bool)
         before[1:] = mask[:-1]

@@ -7,13 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, ranges, shuffle_tasks, slices
+from .common import materialize, shuffle_tasks, slices
 from .tokenizer import chunk_ids
 
 #: Ids of a block; a document with more is a block by itself.

@@ -207,3 +207,20 @@ def test_held_out_accuracy(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
     held = [r for r in got if r["held_out"]]
     assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) >= 0.97 * len(held)
+
+
+def test_pieces_encode_like_whole_texts():
+    import random
+
+    import pyarrow as pa
+
+    from sparsemat.llm.tokenizer import Chunks
+
+    rng = random.Random(0)
+    signs = "aA9é'.,;:!?-<|> \t́İß東 s t"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    texts += ["İstanbul", "a.'s b,'t 3.14 1,000 a?!b", "<|ENDOFTEXT|> A.B", "A<|endoftext|>.B", "ﬁ ﷺ. 한글, ｆｕｌｌ！", "", None]
+    tokenizer, chunks = Tokenizer.from_file(IDS), Chunks(IDS)
+    ids, at = chunks.encode(pa.array(texts, pa.string()))
+    for k, text in enumerate(texts):
+        assert ids[at[k] : at[k + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
