@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, slices
+from .common import fresh, materialize, slices
 
 #: Bounds of the training sample of each language: documents, characters of one of them, and
 #: characters of distinct words that go into its automaton.
@@ -88,7 +88,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("key")))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = materialize(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")  # of known size, so texts stay where they are
     h = F.xxhash64(F.col("key").cast("string"), F.lit("sample"))
     rows = rows.join(counts, "lang").filter(F.pmod(h, F.col("n")) < SAMPLE_DOCS)
     start = F.pmod(F.shiftright(h, 7), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1)))
