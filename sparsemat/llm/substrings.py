@@ -21,7 +21,7 @@ WINDOW = 13
 MINIMISER = 3
 
 #: Text that one group of documents and one bucket of super-k-mers should hold, in bytes.
-GROUP_BYTES, BUCKET_BYTES = 4 << 20, 16 << 20
+GROUP_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
 
 #: Stands for a null id: after all others.
 _LAST = np.iinfo(np.int64).max
@@ -121,9 +121,9 @@ def _equal_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndar
 
 
 def _requests(packed: Packed, window: int, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Bucket by bucket the distinct super-k-mers that go there."""
+    """Bucket by bucket the distinct super-k-mers that go there, in the order of the texts."""
     bucket = (mix(packed.bucket) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((packed.shown, bucket))
     for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         yield int(bucket[part[0]]), part
 
@@ -134,14 +134,14 @@ def _send(window: int, minimiser: int, buckets: int):
     def run(key, table):
         packed = pack(*string_buffers(table.column("text")), _ids(table), window, minimiser)
         rows: list[tuple] = []
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=6)
         if packed:
             for bucket, part in _requests(packed, window, buckets):
                 first, count = packed.first[packed.shown[part]], packed.count[packed.shown[part]]
                 a, b = packed.start[first], packed.end[first + count + window - 2]
                 text = packed.joined[ranges(a, b - a + 1)]
                 text[np.cumsum(b - a + 1) - 1] = 0x0A
-                rows.append((key[0].as_py(), bucket, packed.least[part].tobytes(), squeeze.compress(text.tobytes())))
+                rows.append((key[0].as_py(), bucket, squeeze.compress(packed.least[part].tobytes()), squeeze.compress(text.tobytes())))
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 4, _SENT, strict=True)], ["part", "bucket", "least", "packed"])
 
     return run
@@ -164,7 +164,8 @@ def _count(window: int):
         blow = zstandard.ZstdDecompressor()
         texts = [blow.decompress(x) for x in table.column("packed").to_pylist()]
         data = np.frombuffer(b"".join(texts), np.uint8)
-        least = np.frombuffer(b"".join(table.column("least").to_pylist()), np.int64)
+        ids = [blow.decompress(x) for x in table.column("least").to_pylist()]
+        least = np.frombuffer(b"".join(ids), np.int64)
         line = np.flatnonzero(data == 0x0A)
         words = Words(data, np.concatenate([[0], line + 1]), PLAIN)
         per = np.diff(words.of) - window + 1  # windows of each super-k-mer
@@ -190,7 +191,7 @@ def _count(window: int):
             for span, doc in zip(spans, owner.tolist(), strict=True):
                 known[span] = min(doc, known.get(span, doc))
             before = np.array([known[s] for s in spans], np.int64) < owner
-        sizes = np.array([len(x) // 8 for x in table.column("least").to_pylist()])
+        sizes = np.array([len(x) // 8 for x in ids])
         stop = np.cumsum(np.add.reduceat(per, np.cumsum(sizes) - sizes)) if len(sizes) else sizes
         bits = np.split(before, stop[:-1])
         hit = [k for k, x in enumerate(bits) if x.any()]
