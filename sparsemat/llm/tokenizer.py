@@ -58,7 +58,7 @@ class Chunks:
         """Pieces of letters. Each has a pre-token or more; as many ends as pieces mean one each."""
         for i in range(0, len(pieces), 1000):
             part = pieces[i : i + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
             end = 4 * (np.flatnonzero(self.ends[ids]) + 1)
             if len(end) != len(part) or end[-1] != 4 * len(ids):
                 self._single(part)
