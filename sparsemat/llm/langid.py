@@ -22,7 +22,7 @@ SAMPLE_DOCS, SAMPLE_CHARS, AUTOMATON_CHARS = 400, 2_000, 60_000
 UNKNOWN = "und"
 
 #: Words whose phrases a task remembers before it starts over.
-REMEMBERED = 200_000
+REMEMBERED = 60_000
 
 _LETTERS = regex.compile(r"\p{L}+")
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from .common import PLAIN, Words, ranges, string_buffers
 
 #: Pieces whose ids a task remembers before it starts over.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 def load(path: str):
