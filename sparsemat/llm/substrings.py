@@ -132,6 +132,7 @@ def _send(window: int, minimiser: int, buckets: int):
     """Group of documents -> one row per bucket: counts and least ids, and the packed strings compressed."""
 
     def run(key, table):
+        table = _sorted(table)
         packed = pack(*string_buffers(table.column("text")), _ids(table), window, minimiser)
         rows: list[tuple] = []
         squeeze = zstandard.ZstdCompressor(level=6)
@@ -150,6 +151,15 @@ def _send(window: int, minimiser: int, buckets: int):
 _SENT = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
 
 
+def _sorted(table: pa.Table) -> pa.Table:
+    """A group's rows in an order that depends on their contents alone.
+
+    ``_send`` and ``_apply`` read a group from two shuffles, whose blocks arrive in any order,
+    and match bits to super-k-mers by position.
+    """
+    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+
+
 def _ids(table: pa.Table) -> np.ndarray:
     return table.column("doc_id").combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -205,6 +215,7 @@ def _apply(window: int, minimiser: int, buckets: int):
     """A group of documents and the answers for it -> what is left of each document."""
 
     def run(table, answers):
+        table = _sorted(table)
         data, at = string_buffers(table.column("text"))
         ids = _ids(table)
         packed = pack(data, at, ids, window, minimiser)

@@ -106,6 +106,28 @@ def test_repeats_are_removed(docs, rows, none, same, monkeypatch, group):
         assert substrings.remove_repeats(none).count() == 0
 
 
+def test_rows_of_a_group_may_arrive_in_any_order(rows):
+    """Requests and answers of a group match, however its rows are dealt out the second time."""
+    import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
+
+    def group(part, own):
+        return pa.table({"doc_id": pa.array([r[0] for r in own], pa.int64()), "text": pa.array([r[1] for r in own], pa.string()), "part": pa.array([part] * len(own), pa.int64())})
+
+    own = [[r for k, r in enumerate(rows) if k % 2 == part] for part in (0, 1)]
+    send, count, apply = substrings._send(13, 3, 4), substrings._count(13), substrings._apply(13, 3, 4)
+    sent = pa.concat_tables([send((pa.scalar(part),), group(part, own[part])) for part in (0, 1)])
+    bits = pa.concat_tables([count(sent.filter(pa.compute.equal(sent["bucket"], b))) for b in range(4)])
+    rng, expected = random.Random(6), brute.without_repeats([(r[0], r[1]) for r in rows])
+    for _ in range(5):
+        out = []
+        for part in (0, 1):
+            again = rng.sample(own[part], len(own[part]))
+            left = apply(group(part, again), bits.filter(pa.compute.equal(bits["part"], part)))
+            out += [tuple(r.values()) for r in left.drop_columns(["kept"]).to_pylist()]
+        assert sorted(out, key=repr) == sorted(expected, key=repr)
+
+
 def test_windows_of_one_hash_are_told_apart(docs, rows, same, monkeypatch):
     """Even if all hashes are the same the bytes decide."""
     import sparsemat.llm.substrings as module
