@@ -12,51 +12,61 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .components import components
 
-#: Characters of a shingle at most; one starts at each word.
+#: Characters of a shingle (a shorter line is one shingle); one starts at each character.
 SHINGLE = 12
 
 #: Bins of the signature and how many of them make a band. At similarity 0.8 two lines share
-#: a bin with probability 0.8 and one of six bands in all but 0.36 ** 6 = 0.2 % of cases.
-BINS, ROWS = 12, 2
+#: a bin with probability 0.8 and one of nine bands in all but 0.488 ** 9 = 0.16 % of cases.
+BINS, ROWS = 27, 3
 
-#: Lines of a band that each of its lines is compared with.
-NEIGHBOURS = 8
+#: Lines that one part of a band has at most on average; larger bands are compared in pairs of parts.
+PART = 256
 
 #: Least Jaccard similarity of the sets of shingles.
 SIMILARITY = 0.8
 
+_BANDS = BINS // ROWS
+_WIDTH = -(-(1 << 31) // BINS)
+
+
+def _places(code: Column) -> Column:
+    """Where shingles start in a line of UTF-32."""
+    return F.sequence(F.lit(0), F.greatest((F.length(code) / 4).cast("int") - SHINGLE, F.lit(0)))
+
+
+def _hash(code: Column, place: Column) -> Column:
+    """31-bit hash of the shingle that starts at a character of a line of UTF-32."""
+    return F.shiftrightunsigned(F.xxhash64(F.substring(code, place * 4 + 1, F.lit(4 * SHINGLE))), 33).cast("int")
+
 
 def shingles(line: Column) -> Column:
     """Sorted distinct 31-bit hashes of a line's character shingles.
 
-    A shingle is the ``SHINGLE`` characters from the start of a word on (fewer at the line's
-    end), across white space.
+    A shingle is ``SHINGLE`` consecutive characters, white space included; one starts at each
+    character that has so many from it on. A shorter line is one shingle.
     """
-    found = F.regexp_extract_all(line, F.lit(rf"(?:^|[\x20\x09-\x0D])[\x20\x09-\x0D]*(?=([^\x20\x09-\x0D].{{0,{SHINGLE - 1}}}))"), F.lit(1))
-    return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.shiftrightunsigned(F.xxhash64(s), 33).cast("int"))))
+    found = F.transform(F.array(F.encode(line, "UTF-32")), lambda c: F.transform(_places(c), lambda i: _hash(c, i)))[0]
+    return F.sort_array(F.array_distinct(found))
 
 
-def bands(hashes: Column) -> Column:
-    """Band keys of a sorted set of hashes.
+def signed(rows: DataFrame) -> DataFrame:
+    """``(a, b, low, bands)`` for each distinct ``(a, b)`` of ``rows`` (``a, b, line``): least hash and band keys.
 
     One permutation, cut into ``BINS`` equal ranges: a signature holds the least hash of
     each, -1 for an empty one; ``ROWS`` neighbouring bins make a band. A band of empty bins
-    has no key.
+    has no key. Shingles are rows that only meet in minima, first within their task.
     """
-    width = -(-(1 << 31) // BINS)
-
-    def lowest(h: Column) -> Column:
-        return F.transform(
-            F.array(F.filter(h, lambda x, i: (i == 0) | (F.floor(x / width) != F.floor(h[F.greatest(i - 1, F.lit(0))] / width)))),
-            lambda m: F.map_from_arrays(F.transform(m, lambda x: F.floor(x / width).cast("int")), m),
-        )[0]
-
-    def keys(m: Column) -> Column:
-        at = lambda b: F.coalesce(F.try_element_at(m, F.lit(b)), F.lit(-1))
-        rows = [[at(b * ROWS + r) for r in range(ROWS)] for b in range(BINS // ROWS)]
-        return F.array(*(F.when(F.greatest(*r) >= 0, F.xxhash64(F.lit(b), *r)) for b, r in enumerate(rows)))
-
-    return F.array_compact(F.transform(F.transform(F.array(hashes), lowest), keys)[0])
+    coded = rows.select("a", "b", F.encode("line", "UTF-32").alias("code"))
+    places = coded.select("a", "b", "code", F.explode_outer(_places(F.col("code"))).alias("place"))
+    hashed = places.select("a", "b", _hash(F.col("code"), F.col("place")).alias("h"))
+    binned = hashed.select("a", "b", "h", F.floor(F.col("h") / _WIDTH).cast("int").alias("bin"))
+    found = binned.groupBy("a", "b").agg(*(F.min(F.when(F.col("bin") == k, F.col("h"))).alias(f"m{k}") for k in range(BINS)))
+    keys = []
+    for band in range(_BANDS):
+        own = [F.col(f"m{band * ROWS + r}") for r in range(ROWS)]
+        keys.append(F.when(F.coalesce(*own).isNotNull(), F.xxhash64(F.lit(band), *(F.coalesce(m, F.lit(-1)) for m in own))))
+    low = F.coalesce(*(F.col(f"m{k}") for k in range(BINS)))
+    return found.select("a", "b", low.alias("low"), F.array_compact(F.array(*keys)).alias("bands"))
 
 
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -70,48 +80,94 @@ def _named(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"a": F.xxhash64("line"), "b": F.xxhash64("line", F.lit(1))})
 
 
+def _alike(one: str, two: str) -> Column:
+    """Whether two sets reach ``SIMILARITY``; sizes decide before the sets are compared."""
+    a, b = F.size(one), F.size(two)
+    common = F.size(F.array_intersect(one, two))
+    # common >= SIMILARITY * (a + b - common), with one evaluation of common
+    return (a >= SIMILARITY * b) & (b >= SIMILARITY * a) & ((1 + SIMILARITY) * common >= SIMILARITY * (a + b) - 1e-6)
+
+
+def _links(unique: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(node, root)`` in two steps, ``node`` being ``(a, b)``: of lines, and of the first step's roots.
+
+    The first step compares each line of a band with the band's first and with the one
+    before it, in the order of their least hashes. What it connects isn't compared again:
+    the second step compares all other pairs of each band, so that no pair is left out, and
+    a cluster of lines that are alike doesn't give the square of its size.
+    """
+    banded = unique.select(F.explode("bands").alias("band"), "low", "a", "b")
+    order = W.partitionBy("band").orderBy("low", "a", "b")
+    node = F.struct("a", "b")
+    near = banded.select("band", "a", "b", F.count("*").over(W.partitionBy("band")).alias("n"), F.first(node).over(order).alias("first"), F.lag(node).over(order).alias("last"))
+    near = materialize(near.filter("n > 1"), "bands")
+    pairs = near.select("a", "b", F.explode(F.array("first", "last")).alias("x")).select("a", "b", F.col("x.a").alias("c"), F.col("x.b").alias("d"))
+    pairs = materialize(pairs.filter("a != c OR b != d").distinct(), "candidates")
+    # the sets of lines that share a band only: these are looked up in the documents again
+    wanted = near.select("a", "b").distinct()
+    sets = rows.join(wanted, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.min("line").alias("line"))
+    sets = materialize(sets.select("a", "b", shingles(F.col("line")).alias("set")), "sets")
+    both = pairs.join(sets.withColumnRenamed("set", "one"), ["a", "b"])
+    both = both.join(sets.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("set").alias("two")), ["c", "d"])
+    roots = components(both.filter(_alike("one", "two")).select(node.alias("x"), F.struct(F.col("c").alias("a"), F.col("d").alias("b")).alias("y")), "x", "y")
+    roots = materialize(roots.select("node.a", "node.b", "root"), "roots")
+    own = F.coalesce("root", node)
+    placed = near.select("band", "a", "b", "n").join(roots, ["a", "b"], "left").select("band", "a", "b", "n", own.alias("root"))
+    placed = materialize(placed, "placed")
+    ends = [f(f"root.{c}").alias(f"{n}{c}") for c in "ab" for n, f in (("min", F.min), ("max", F.max))]
+    mixed = placed.groupBy("band").agg(*ends).filter("mina != maxa OR minb != maxb").select("band")
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    dealt = placed.join(mixed, "band").withColumns({"parts": parts, "part": F.pmod(F.xxhash64("a", "b"), parts).cast("int")})
+    dealt = dealt.join(sets, ["a", "b"]).join(unique.select("a", "b", "bands"), ["a", "b"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("band", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "root", "a", "b", "bands", "set")
+    dealt = materialize(dealt, "dealt")
+    left = dealt.select("band", "lo", "hi", *(F.col(c).alias(f"{c}1") for c in ("part", "root", "a", "b", "bands", "set")))
+    right = dealt.select("band", "lo", "hi", *(F.col(c).alias(f"{c}2") for c in ("part", "root", "a", "b", "bands", "set")))
+    once = (F.col("lo") == F.col("hi")) | (F.col("part1") != F.col("part2"))
+    order = (F.col("a1") < F.col("a2")) | ((F.col("a1") == F.col("a2")) & (F.col("b1") < F.col("b2")))
+    once = once & (F.col("band") == F.array_intersect("bands1", "bands2")[0])  # the first band that two lines share
+    rest = left.join(right, ["band", "lo", "hi"]).filter(order & (F.col("root1") != F.col("root2")) & once & _alike("set1", "set2"))
+    return roots, components(rest.select("root1", "root2"), "root1", "root2")
+
+
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(node, kept)`` for every line with a word: the line that stands for it, itself if it stays.
+    """``(node, kept, class)`` for every line with a word: the line that stands for it, itself if it stays.
 
     Equal lines are one, the first by document and place. Different ones are linked if their
-    shingle sets have similarity ``SIMILARITY``. Candidates share a band; each is compared
-    with the ``NEIGHBOURS`` lines before it in the band and with the band's first one. So all
-    pairs are compared in a band of up to ``NEIGHBOURS`` + 1 lines, and one of any size gives
-    pairs in proportion to its lines, which a cluster of lines that are alike connects. A
-    class is what links connect and its first line is kept.
+    shingle sets have similarity ``SIMILARITY``; all pairs that share a band are candidates.
+    A class is what links connect and its first line is kept. Lines are told apart by their
+    hashes (``a, b``), not by ``node``, which rows that share an id share too.
     """
     rows = _named(lines(docs, key, text))
-    signed = rows.select("a", "b", F.struct("node", bands(shingles(F.col("line"))).alias("bands")).alias("m"))
-    unique = signed.groupBy("a", "b").agg(F.min("m").alias("m")).select("a", "b", "m.*")
-    unique = materialize(unique, "lines")
-    banded = unique.select("node", F.explode("bands").alias("band"))
-    order = W.partitionBy("band").orderBy("node")
-    before = F.array_compact(F.array(F.first("node").over(order), *(F.lag("node", k).over(order) for k in range(1, NEIGHBOURS + 1))))
-    pairs = banded.select("node", before.alias("before")).select("node", F.explode("before").alias("first")).filter("node != first").distinct()
-    pairs = materialize(pairs, "candidates")
-    wanted = pairs.select("node").unionAll(pairs.select(F.col("first").alias("node"))).distinct()
-    # the sets of candidates only: their lines are looked up in the documents again
-    sets = lines(docs, key, text).join(wanted, "node", "left_semi").groupBy("node").agg(F.first("line").alias("line"))
-    sets = materialize(sets.select("node", shingles(F.col("line")).alias("set")), "sets")
-    both = pairs.join(sets.withColumnRenamed("set", "one"), "node")
-    both = both.join(sets.select(F.col("node").alias("first"), F.col("set").alias("two")), "first")
-    common = F.size(F.array_intersect("one", "two"))
-    alike = common >= SIMILARITY * (F.size("one") + F.size("two") - common)
-    roots = components(both.filter((common > 0) & alike), "node", "first")
-    named = unique.select("a", "b", "node").join(roots, "node", "left").select("a", "b", F.coalesce("root", "node").alias("kept"))
-    return rows.select("node", "a", "b").join(named, ["a", "b"]).select("node", "kept")
+    unique = materialize(signed(rows), "lines")
+    roots, higher = _links(unique, rows)
+    higher = higher.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    tops = roots.join(higher, "root", "left").select("a", "b", F.coalesce("top", "root").alias("class"))
+    # roots of the first step that the second one put under others
+    own = higher.join(roots.select("a", "b"), (F.col("root.a") == F.col("a")) & (F.col("root.b") == F.col("b")), "left_anti")
+    tops = tops.unionAll(own.select("root.a", "root.b", F.col("top").alias("class")))
+    first = rows.groupBy("a", "b").agg(F.min("node").alias("first"))
+    named = first.join(tops, ["a", "b"], "left").select("a", "b", "first", F.coalesce("class", F.struct("a", "b")).alias("class"))
+    named = named.select("a", "b", "class", F.min("first").over(W.partitionBy("class")).alias("kept"))
+    return rows.select("node", "a", "b").join(named, ["a", "b"]).select("node", "kept", "class")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, n_lines, n_removed, removed)`` per id: lines with a word, and places of those that go.
 
-    Rows that share an id count as one document; documents without a line with a word have
-    zeros. Null texts have no lines, a null id is an id, empty input gives no rows.
+    Rows that share an id count as one document; of a class's lines at its first document
+    and place one stays. Documents without a line with a word have zeros. Null texts have no
+    lines, a null id is an id, empty input gives no rows.
     """
     classes = line_classes(docs, key, text)
+    goes = F.col("node") != F.col("kept")
     per = classes.groupBy("node.doc").agg(
-        F.count("*").alias("n_lines"), F.sort_array(F.collect_list(F.when(F.col("node") != F.col("kept"), F.col("node.at")))).alias("removed")
+        F.count("*").alias("n_lines"),
+        F.collect_list(F.when(goes, F.col("node.at"))).alias("gone"),
+        F.sort_array(F.collect_list(F.when(~goes, F.struct("node.at", "class")))).alias("stay"),
     )
+    again = F.filter("stay", lambda x, i: (i > 0) & (F.col("stay")[F.greatest(i - 1, F.lit(0))] == x))
+    per = per.select("doc", "n_lines", F.sort_array(F.concat("gone", F.transform(again, lambda x: x["at"]))).alias("removed"))
     ids = docs.select(F.col(key).cast("long").alias("doc_id")).distinct()
     out = ids.join(per, F.col("doc_id").eqNullSafe(F.col("doc")), "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))

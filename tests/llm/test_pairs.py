@@ -182,3 +182,31 @@ def test_fuzzy_lines_find_nearly_all_links(spark):
     assert len(links) > 50
     assert sum(kept[a] == kept[b] for a, b in links) >= 0.95 * len(links)
     assert all(any(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for b in sets if b != a and kept[b] == kept[a]) for a in kept if kept[a] != a)
+
+
+def _line_truth(lines: list[str], k: int = 12) -> list[tuple[int, int]]:
+    """Pairs of lines whose sets of ``k`` consecutive characters have similarity 0.8."""
+    sets = [{x[i : i + k] for i in range(max(1, len(x) - k + 1))} for x in lines]
+    return [(i, j) for j in range(len(lines)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+
+
+def _kept(spark, lines: list[str]) -> dict[int, int]:
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    return {r["node"]["doc"]: r["kept"]["doc"] for r in fuzzy_lines.line_classes(df).collect()}
+
+
+def test_fuzzy_lines_without_blanks(spark):
+    """One-word lines, long ids and CJK lines are judged by all their characters."""
+    rng = random.Random(9)
+    cjk = "".join(chr(0x4E00 + rng.randrange(4000)) for _ in range(150))
+    emoji = "".join(chr(0x1F600 + rng.randrange(60)) for _ in range(150))
+    lines = ["https://www.a.org/x", "https://www.b.org/y", "https://www.c.org/" + "z" * 9, "x" * 12, "short", "shorter"]
+    lines += [cjk, "\u4e00" + cjk[1:], cjk[:149] + "\u4e01", cjk[:12] + cjk[:11:-1], emoji, emoji[1:], emoji[::-1]]
+    lines += ["id" + "".join(rng.choice("0123456789abcdef") for _ in range(300)) for _ in range(5)]
+    lines += ["a" + lines[-1][1:], lines[-2][:-1] + "g"]
+    root = brute.groups({i: 0 for i in range(len(lines))}, -1)
+    for i, j in _line_truth(lines):
+        a, b = sorted((root[i], root[j]))
+        root = {k: a if v == b else v for k, v in root.items()}
+    assert len(set(root.values())) == len(lines) - 5
+    assert _kept(spark, lines) == root
