@@ -210,3 +210,22 @@ def test_fuzzy_lines_without_blanks(spark):
         root = {k: a if v == b else v for k, v in root.items()}
     assert len(set(root.values())) == len(lines) - 5
     assert _kept(spark, lines) == root
+
+
+def test_fuzzy_lines_of_interleaved_clusters(spark):
+    """Hundreds of templated lines share bands, and the few copies of each find one another."""
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    template = " ".join(word() for _ in range(32))
+    lines = []
+    for _ in range(300):
+        tail = " ".join(word() for _ in range(14))
+        lines += [f"{template} {tail} {rng.randrange(10**6):06d}" for _ in range(3)]
+    rng.shuffle(lines)
+    kept = _kept(spark, lines)
+    cluster = {}
+    for i, x in enumerate(lines):
+        cluster.setdefault(x[:-7], []).append(i)
+    assert len(cluster) == 300
+    good = sum(kept[i] == min(own) for own in cluster.values() for i in own)
+    assert good >= 0.95 * len(lines)
