@@ -229,3 +229,14 @@ def test_fuzzy_lines_of_interleaved_clusters(spark):
     assert len(cluster) == 300
     good = sum(kept[i] == min(own) for own in cluster.values() for i in own)
     assert good >= 0.95 * len(lines)
+
+
+def test_fuzzy_lines_of_rows_that_share_an_id(spark):
+    """Lines at the same place of rows with the same id, or without one, are different lines."""
+    rng = random.Random(11)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(3))
+    near = lambda x: x + " z"
+    rows = [(None, a), (None, b), (5, near(a)), (6, near(b)), (3, c), (7, near(c)), (7, "quite another line of words"), (None, near(a))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["removed"]) for r in fuzzy_lines.dedup_lines(df).collect()}
+    assert got == {None: (3, 1, [0]), 5: (1, 1, [0]), 6: (1, 1, [0]), 3: (1, 0, []), 7: (2, 1, [0])}
