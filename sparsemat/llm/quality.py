@@ -23,9 +23,14 @@ STEPS = 3
 #: A group with fewer documents is judged with others of its language, then with all.
 LEAST_GROUP = 60
 
-#: Standard deviations below which a statistic is not told apart, added to each variance:
+#: Standard deviations below which a statistic is not told apart, so that no scatter is singular:
 #: ln words, ln word length, ln(1 + symbols %), ln(1 + repeated lines %), ln(1 + repeated words %).
-FLOORS = (1.0, 0.1, 0.5, 1.0, 1.0)
+FLOORS = (0.1, 0.02, 0.3, 0.3, 0.5)
+
+#: Axes that are 0 in most documents. What the nearest documents show there may be zeros alone,
+#: so the deviation isn't taken below that of the group's ``UPPER`` quantile from its median,
+#: ``NORMAL`` being a normal sample's: values of at least a tenth of the group aren't outliers.
+SPARSE, UPPER, NORMAL = (2, 3, 4), 0.9, 1.2816
 
 #: Squared distances beyond the 0.9999 quantile of chi-squared with five degrees of freedom
 #: are outliers; its median calibrates the distances.
@@ -137,17 +142,19 @@ def _reached(counts: DataFrame, by: list[str], value: str, share: float) -> Data
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """Medians and quartile ranges per group, as a first location and a diagonal first scatter."""
+    """Medians and quartile ranges per group, as a first location and a diagonal first scatter; least variances ``f..``."""
     long = rows.select("group", F.posexplode(F.array(*_NAMES)).alias("axis", "x"))
     counts = long.groupBy("group", "axis", F.floor(F.col("x") / STEP).alias("class")).agg(F.count("*").alias("n"))
     counts = materialize(counts, "classes")
-    quart = [_reached(counts, ["group", "axis"], "class", q).withColumnRenamed("class", c) for q, c in ((0.25, "a"), (0.5, "b"), (0.75, "c"))]
-    q = quart[0].join(quart[1], ["group", "axis"]).join(quart[2], ["group", "axis"])
+    quart = [_reached(counts, ["group", "axis"], "class", q).withColumnRenamed("class", c) for q, c in ((0.25, "a"), (0.5, "b"), (0.75, "c"), (UPPER, "d"))]
+    q = quart[0].join(quart[1], ["group", "axis"]).join(quart[2], ["group", "axis"]).join(quart[3], ["group", "axis"])
     pick = lambda k, v: F.max(F.when(F.col("axis") == k, v))
     spread = F.pow((F.col("c") - F.col("a")) * STEP / 1.349, 2)
     means = [pick(k, (F.col("b") + 0.5) * STEP).alias(f"m{k}") for k in range(len(FLOORS))]
     cov = [(pick(i, spread) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in range(len(FLOORS)) for j in range(i + 1)]
-    return q.groupBy("group").agg(*means, *cov)
+    upper = F.pow((F.col("d") - F.col("b")) * STEP / NORMAL, 2)
+    least = [F.greatest(pick(k, upper if k in SPARSE else F.lit(0.0)), F.lit(x**2)).alias(f"f{k}") for k, x in enumerate(FLOORS)]
+    return q.groupBy("group").agg(*means, *cov, *least)
 
 
 def _fit(rows: DataFrame) -> DataFrame:
@@ -158,9 +165,9 @@ def _fit(rows: DataFrame) -> DataFrame:
 
 
 def _factored(params: DataFrame) -> DataFrame:
-    """Cholesky factor ``l..`` of each covariance with the floors on its diagonal."""
+    """Cholesky factor ``l..`` of each covariance, its variances raised to the least ones."""
     for j in range(len(FLOORS)):
-        square = F.col(f"c{j}{j}") + FLOORS[j] ** 2
+        square = F.greatest(f"c{j}{j}", f"f{j}")
         for k in range(j):
             square = square - F.col(f"l{j}{k}") ** 2
         params = params.withColumn(f"l{j}{j}", F.sqrt(F.greatest(square, F.lit(FLOORS[j] ** 2 / 100))))
@@ -196,12 +203,13 @@ def outliers(rows: DataFrame) -> DataFrame:
     covariance from them. Quantiles are taken from counts per class of distance, so rows
     only meet in sums. ``scale`` brings a median distance above a normal sample's down to it.
     """
-    params = _start(rows)
+    params = materialize(_start(rows), "start")
+    least = params.select("group", *(f"f{k}" for k in range(len(FLOORS))))
     for _ in range(STEPS):
         far = _distances(rows, params)
         near = _reached(_classes(far), ["group"], "class", SHARE).withColumnRenamed("class", "most")
         near = materialize(near, "nearest")
-        params = _fit(far.join(near, "group").filter("class <= most"))
+        params = _fit(far.join(near, "group").filter("class <= most")).join(least, "group")
     far = _distances(rows, params)
     middle = _reached(_classes(far), ["group"], "class", 0.5)
     scale = F.expm1((F.col("class") + 0.5) * STEP) / MEDIAN

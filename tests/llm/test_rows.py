@@ -132,6 +132,30 @@ def test_outliers_go_and_others_stay(spark):
     assert len(got) == len(rows)
 
 
+def test_each_axis_alone_rejects(spark):
+    """Repeats, length or word length far from a tight group are enough; what a part of the group has stays."""
+    import random
+
+    rng = random.Random(2)
+    word = lambda a=2, b=9: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(a, b)))
+    text = lambda n: " ".join(word() for _ in range(n))
+
+    def repeats(n, share):
+        """A text of which ``share`` of the words are in repeated windows."""
+        own = text(int(n * share / 2))
+        return f"{own} {text(int(n * (1 - share)))} {own}"
+
+    rows = [(i, text(rng.randrange(180, 260)), "en", "plain") for i in range(200)]
+    rows += [(1000, repeats(200, 0.45), "en", "plain"), (1001, text(4000), "en", "plain"), (1002, " ".join(word(8, 12) for _ in range(200)), "en", "plain")]
+    lines = [text(4) for _ in range(25)]
+    rows += [(1003, "\n".join(lines + lines[:20] + [text(4) for _ in range(40)]), "en", "plain")]
+    rows += [(2000 + i, repeats(220, rng.uniform(0.2, 0.45)) if i % 4 == 0 else text(220), "en", "mixed") for i in range(200)]
+    got = {r["doc_id"]: (r["kept"], r["base_failed"]) for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [got[i] for i in range(1000, 1004)] == [(False, False)] * 4
+    assert sum(got[i][0] for i in range(200)) >= 198
+    assert sum(got[2000 + i][0] for i in range(200)) >= 196
+
+
 URLS = [
     None, "", "no scheme/path", "http://", "http://a.com", "HTTP://WWW.Example.COM/en/1", "https://example.com/en/x?y#z", "https://sub.example.com/en/",
     "ftp://other.net/es/9/8/7/6/5", "https://x.net/esp", "http://x.net/fr/#a", "http://é.org/ä?b", "http://evil.com.org/en/1", "http://h.org//a///b", "a://b://c.com/d",
