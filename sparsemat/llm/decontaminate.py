@@ -168,7 +168,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") ->
     is hit inside any occurrence of ``WINDOW`` consecutive words of an item (all words of a
     shorter item). Contaminated: some word and at least a twentieth of the words are hit.
     Null and word-less texts have no words and no hits; items without words match nothing.
-    Item ids are compared and sorted as strings.
+    Benchmark rows without ``item_id`` aren't items, as in the SQL: their text gives no hits,
+    and documents that hold it stay clean. Item ids are compared and sorted as strings.
     """
     found = hits(docs, benchmark, key)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["length"])
