@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fuzzy_lines, langid, mixing, quality, simhash, substrings, token_counts, token_ids, url_filter
+from . import decontaminate, fuzzy_lines, langid, mixing, packing, periodic, quality, simhash, spelling, substrings, token_counts, token_ids, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,8 +59,21 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNTS))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Query]:
     own = (op1_simhash, op2_decontaminate, op3_mix, op4_substrings, op5_token_ids, op6_fuzzy_lines, op7_token_counts, op8_quality, op9_url_filter, op10_language)
+    own += (op11_spelling, op12_packing, op13_periodic_runs)
     return {f.__name__: f for f in own}
 
 
@@ -135,6 +148,43 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM d LEFT JOIN kept USING (r)
 """
 
+#: The crc32 goes byte by byte over a table of its 256 remainders; near words meet in the
+#: strings that deleting a letter leaves (a replaced letter: at the same place).
+SPELLING_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+runs AS (
+  SELECT id, run, count(*) AS times FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]{7,}')) AS run
+    FROM documents) GROUP BY 1, 2),
+bytes AS (SELECT id, run, times, hex(encode(id || ':' || run)) AS x FROM runs),
+hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(range(len(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) AS h
+  FROM bytes, crc),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word, times FROM hashed),
+v AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM words WHERE len(word) >= 7 GROUP BY 1 HAVING sum(times) >= 2),
+cut AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS p FROM v)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM cut a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM cut a JOIN v b ON a.rest = b.word),
+best AS (
+  SELECT a AS word, count(*) AS n_near, first(struct_pack(w := b, n := v.n) ORDER BY v.n DESC, b) AS x
+  FROM pairs JOIN v ON v.word = b GROUP BY 1),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN x.n >= 10 * v.n THEN x.w END AS form, CASE WHEN x.n >= 10 * v.n THEN x.n END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+way AS (
+  SELECT word, word AS root, form AS next FROM f
+  UNION ALL SELECT way.word, f.word, f.form FROM way JOIN f ON f.word = way.next)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN way ON way.word = f.word AND way.next IS NULL
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": CONTAMINATION_SQL, "op3_mix": MIX_SQL, "op4_substrings": SUBSTRINGS_SQL}
+    return {"op11_spelling": SPELLING_SQL, "op2_decontaminate": CONTAMINATION_SQL, "op3_mix": MIX_SQL, "op4_substrings": SUBSTRINGS_SQL}

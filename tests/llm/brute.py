@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import xxhash
 
@@ -125,3 +126,73 @@ def url_parts(url: str | None) -> tuple[str, str, str | None, str | None]:
         if (host == at or host.endswith("." + at)) and path.startswith("/" + tail) and (best is None or len(rule) > len(best[1])):
             best = verdict, rule
     return host, path, best and best[1], best and best[0]
+
+
+def planted(doc, text: str | None) -> list[str]:
+    """The words of a text, every tenth text made periodic from some word on."""
+    words = PLAIN.findall(text or "")
+    h, n = zlib.crc32(str(doc).encode()), len(words)
+    if doc is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def periodic_runs(words: list[str]) -> list[tuple[int, int, int]]:
+    """``(start, length, period)`` of each run, every period tried at every word."""
+    least: dict[tuple[int, int], int] = {}
+    for p in range(len(words) // 4, 0, -1):
+        i = 0
+        while i < len(words) - p:
+            j = i
+            while j < len(words) - p and words[j] == words[j + p]:
+                j += 1
+            if j + p - i >= max(6, 4 * p):
+                least[i, j + p] = p
+            i = max(j, i + 1) if j > i else i + 1
+    return sorted((s, e - s, p) for (s, e), p in least.items())
+
+
+def run_digests(doc, words: list[str]) -> tuple:
+    runs = periodic_runs(words)
+    gone = {i for s, size, p in runs for i in range(s + p, s + size)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    top = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    listed = "".join(f"{s},{size},{p}\n" for s, size, p in runs)
+    return doc, len(runs), *top, sha(listed), sha(" ".join(w for i, w in enumerate(words) if i not in gone))
+
+
+def spoiled_counts(docs: list[tuple]) -> dict[str, int]:
+    count: dict[str, int] = defaultdict(int)
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            at = h % len(run)
+            count[run if h % 31 else run[:at] + run[at + 1 :]] += 1
+    return {w: n for w, n in count.items() if len(w) >= 7 and n >= 2}
+
+
+def one_edit(a: str, b: str) -> bool:
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def variants(count: dict[str, int]) -> list[tuple]:
+    near = {w: [x for x in count if abs(len(x) - len(w)) <= 1 and one_edit(x, w)] for w in count}
+    form = {}
+    for w, xs in near.items():
+        best = min(xs, key=lambda x: (-count[x], x), default=None)
+        form[w] = best if best and count[best] >= 10 * count[w] else None
+    out = []
+    for w in count:
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, count[w], len(near[w]), form[w] and count[form[w]]))
+    return out
