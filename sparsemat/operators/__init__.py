@@ -25,6 +25,7 @@ from .multiply import (
     row_matmul,
     scaled_matmul,
     segmented_matmul,
+    vector_sum,
 )
 from .skew import skew_join
 from .tiles import block_matmul, to_tiles
@@ -55,4 +56,5 @@ __all__ = [
     "to_row_vectors",
     "to_tiles",
     "transpose",
+    "vector_sum",
 ]

@@ -15,8 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import DEFAULT_SEGMENT, DEFAULT_WIDTH, VECTOR, as_cells, resolve_duplicates
-from .skew import SLICES_PER_TASK, one_cell, shuffle_tasks, skew_join
+from ..schema import DEFAULT_SEGMENT, DEFAULT_WIDTH, VECTOR, as_cells, require, resolve_duplicates
+from .skew import SLICES_PER_TASK, deal, one_cell, shuffle_tasks, skew_join
 
 # replicate() builds its index lists in chunks, so a list never holds more than this.
 _CHUNK = 4096
@@ -27,7 +27,8 @@ def segment_of(index: str, width: int) -> Column:
     return F.expr(f"(`{index}` - 1) div {int(width)}")
 
 
-def _entries(col: str, val: str) -> Column:
+def entries(col: str, val: str) -> Column:
+    """Aggregate of a vector, ordered by index."""
     return F.sort_array(F.collect_list(F.struct(F.col(col).alias("x"), F.col(val).alias("v"))))
 
 
@@ -45,7 +46,7 @@ def to_row_vectors(
     return (
         cells.withColumn("seg", segment_of(col, width))
         .groupBy(row, "seg")
-        .agg(_entries(col, val).alias("vec"))
+        .agg(entries(col, val).alias("vec"))
     )
 
 
@@ -89,12 +90,59 @@ def _pieces(coo, key, index, name, seg, duplicates, width):
     return vectors.select(key, F.col("seg").alias(seg), F.col("vec").alias(name))
 
 
-def _outer(a, b, la, lb, how, duplicates, skew):
-    av = _pieces(a, "k", "i", "av", "sa", duplicates, la)
-    bv = _pieces(b, "k", "j", "bv", "sb", duplicates, lb)
+# Slices over which the cells of one k are spread while they learn its number of segments.
+_SLICES = 64
+
+
+def _by_degree(a, b, la, lb, duplicates, task):
+    """Pairs ``(k, sa, sb, av, bv)`` of segments in numbers that the cells of each k call for.
+
+    A histogram of both sides is summed by k. Only a k with more than `la` or `lb` cells is
+    cut, into as many parts as these sizes ask for; a cell's part is a hash of its index.
+    There are at most 1/la (1/lb) as many such k as cells. Each segment is repeated for the
+    other side's segments, so a pair meets under a key of its own, and a hot k is as many
+    small keys as it has pairs: nothing is left to be skewed.
+    """
+    a = resolve_duplicates(as_cells(a, "i", "k"), ("i", "k"), duplicates)
+    b = resolve_duplicates(as_cells(b, "k", "j"), ("k", "j"), duplicates)
+    none = F.lit(0).cast("bigint")
+    count = one_cell("v").cast("bigint")
+    cells = a.select("k", count.alias("na"), none.alias("nb")).unionByName(
+        b.select("k", none.alias("na"), count.alias("nb"))
+    )
+    degrees = cells.groupBy("k").agg(F.sum("na").alias("na"), F.sum("nb").alias("nb"))
+    one = F.lit(1).cast("bigint")
+    long = degrees.where((F.col("na") > la) | (F.col("nb") > lb)).select(
+        "k",
+        F.greatest(one, F.ceil(F.col("na") / la)).alias("_pa"),
+        F.greatest(one, F.ceil(F.col("nb") / lb)).alias("_pb"),
+        F.explode(F.sequence(none, F.lit(_SLICES - 1))).alias("_s"),
+    )
+
+    def cut(side, index, own, other, name, seg, other_seg):
+        sized = side.withColumn("_s", F.pmod(F.xxhash64(index), F.lit(_SLICES))).join(long, ["k", "_s"], "left")
+        part = F.pmod(F.xxhash64(index, F.lit(seg)), F.coalesce(own, one))
+        sized = sized.withColumn(seg, part).withColumn("_n", F.coalesce(other, one))
+        segments = sized.groupBy("k", seg, "_n").agg(entries(index, "v").alias(name))
+        return segments.withColumn(other_seg, F.explode(F.sequence(none, F.col("_n") - 1))).drop("_n")
+
+    av = cut(a, "i", "_pa", "_pb", "av", "sa", "sb")
+    bv = cut(b, "j", "_pb", "_pa", "bv", "sb", "sa")
+    keys = ["k", "sa", "sb"]
+    if task is not None:
+        tasks = shuffle_tasks(a)
+        av, bv = (deal(side, tasks, task, F.xxhash64(*keys)) for side in (av, bv))
+        keys = [task, *keys]
+    return av.join(bv, keys)
+
+
+def _outer(a, b, la, lb, how, duplicates, skew, by="range", task=None):
+    require(by, ("range", "degree"), "by")
+    if by == "degree":
+        return _by_degree(a, b, la, lb, duplicates, task)
     return skew_join(
-        av,
-        bv,
+        _pieces(a, "k", "i", "av", "sa", duplicates, la),
+        _pieces(b, "k", "j", "bv", "sb", duplicates, lb),
         ["k"],
         how,
         left_cells=F.size("av"),
@@ -102,6 +150,7 @@ def _outer(a, b, la, lb, how, duplicates, skew):
         left_split=["sa"],
         right_split=["sb"],
         skew=skew,
+        task=task,
     )
 
 
@@ -145,13 +194,20 @@ def segment_pairs(
     *,
     duplicates: str = "sum",
     skew: str = "auto",
+    by: str = "range",
+    task: str | None = None,
 ) -> DataFrame:
     """Every pair of a segment of A's column k and a segment of B's row k.
 
     ``(k, sa, sb, n, av, bv)``; k must be on both sides, and an empty segment makes no pair.
+    ``by="range"``: a segment covers `la` (`lb`) indices, so sparse columns fall into many
+    short ones. ``by="degree"``: each k has as many segments as its own cells fill, `la`
+    (`lb`) in each on average, and a short column or row stays whole; segment numbers then
+    say nothing about indices. `task` is that of :func:`skew_join`.
     """
-    pairs = _outer(a, b, la, lb, "inner", duplicates, skew)
-    return pairs.select("k", "sa", "sb", F.size("av").cast("bigint").alias("n"), "av", "bv")
+    pairs = _outer(a, b, la, lb, "inner", duplicates, skew, by, task)
+    kept = [task] if task else []
+    return pairs.select("k", "sa", "sb", F.size("av").cast("bigint").alias("n"), "av", "bv", *kept)
 
 
 def scaled_rows(
@@ -161,10 +217,12 @@ def scaled_rows(
     duplicates: str = "sum",
     width: int = DEFAULT_WIDTH,
     skew: str = "auto",
+    task: str | None = None,
 ) -> DataFrame:
     """Each A cell with B's row k: ``(i, k, p, bv)``, `p` the cell's value.
 
     A cell without a B row keeps an empty vector; a B row that no A cell asks for is gone.
+    `task` is that of :func:`skew_join`.
     """
     cells = resolve_duplicates(as_cells(a, "i", "k"), ("i", "k"), duplicates)
     joined = skew_join(
@@ -177,8 +235,10 @@ def scaled_rows(
         left_split=["i"],
         right_split=["sb"],
         skew=skew,
+        task=task,
     )
-    return joined.select("i", "k", "p", F.coalesce("bv", F.array().cast(VECTOR)).alias("bv"))
+    kept = [task] if task else []
+    return joined.select("i", "k", "p", F.coalesce("bv", F.array().cast(VECTOR)).alias("bv"), *kept)
 
 
 def split_halves(df: DataFrame, acol: int, key: str = "k") -> DataFrame:
@@ -237,7 +297,7 @@ def replicate(df: DataFrame, n: int, name: str) -> DataFrame:
     return df.withColumn("_chunk", chunks).withColumn(name, within).drop("_chunk")
 
 
-def gather_blocks(pairs: DataFrame, row_block: str, col_block: str, inner: str) -> DataFrame:
+def gather_blocks(pairs: DataFrame, row_block: str, col_block: str, inner: str, task: str | None = None) -> DataFrame:
     """Lay the pairs that add to one block of C side by side.
 
     Unfolded in the order of k, pairs touch all of C at once: sums made before the shuffle
@@ -246,10 +306,12 @@ def gather_blocks(pairs: DataFrame, row_block: str, col_block: str, inner: str)
     is work for many tasks, and its parts are summed later. Hashes need no sample of the
     join that made the pairs. The number of partitions is given because merging partitions
     by their bytes would be wrong here: the work of a pair is the product of its sides.
+    `task` names a further column with the number of the partition; sums by it stay in place.
     """
     tasks = shuffle_tasks(pairs)
     slices = F.lit(max(1, math.isqrt(SLICES_PER_TASK * tasks)))
-    dealt = pairs.repartition(tasks, row_block, col_block, F.pmod(F.xxhash64(inner), slices))
+    place = (row_block, col_block, F.pmod(F.xxhash64(inner), slices))
+    dealt = deal(pairs, tasks, task, F.xxhash64(*place)) if task else pairs.repartition(tasks, *place)
     return dealt.sortWithinPartitions(row_block, col_block, inner)
 
 

@@ -38,8 +38,8 @@ from ..schema import (
     resolve_duplicates,
     wrap_int32 as wrap,
 )
-from .layout import gather_blocks, segment_of, segment_pairs, to_row_vectors
-from .skew import SLICES_PER_TASK, fits_broadcast, one_cell, shuffle_tasks, skew_join
+from .layout import entries, gather_blocks, segment_of, segment_pairs, to_row_vectors
+from .skew import SLICES_PER_TASK, deal, fits_broadcast, one_cell, shuffle_tasks, skew_join
 
 
 def operand(
@@ -193,14 +193,39 @@ def matmul(
     return _fill_support(c, a, b) if zeros == "dense_support" else c
 
 
-def _as_rows(cells: DataFrame, width: int) -> DataFrame:
-    return to_row_vectors(cells, "i", "j", duplicates="unique", width=width)
+def vector_sum(
+    products: DataFrame,
+    *,
+    task: str | None = None,
+    zeros: str = "structural",
+    wrap_int32: bool = False,
+    width: int = DEFAULT_WIDTH,
+) -> DataFrame:
+    """Sum products ``(i, j, p)`` to row vectors ``(i, seg, vec)`` with one exchange.
+
+    Rows go to the task of their row and column range; there they are summed cell by cell
+    and the sums collected, as both groupings contain that pair. A row with a large part of
+    all products is spread over its ranges, and a range is at most `width` sums. If `task`
+    names the column of :func:`sparsemat.operators.skew.skew_join`, products are first
+    summed in the task that made them, so that at most one row per cell and task travels.
+    """
+    require(zeros, ("structural", "drop"), "zeros")
+    if task is not None:
+        products = products.groupBy(task, "i", "j").agg(F.sum("p").alias("p"))
+    placed = products.select("i", segment_of("j", width).alias("seg"), "j", "p").repartition("i", "seg")
+    cells = placed.groupBy("i", "seg", "j").agg(F.sum("p").alias("v"))
+    if wrap_int32:
+        cells = cells.withColumn("v", wrap(F.col("v")))
+    if zeros == "drop":
+        cells = cells.where(F.col("v") != 0)
+    return cells.groupBy("i", "seg").agg(entries("j", "v").alias("vec"))
 
 
-def _result(products, result, zeros, wrap_int32, width):
+def _result(products, result, zeros, wrap_int32, width, task=None):
     require(result, ("cells", "rows"), "result")
-    cells = merge_partials(products, zeros=zeros, wrap_int32=wrap_int32)
-    return cells if result == "cells" else _as_rows(cells, width)
+    if result == "cells":
+        return merge_partials(products, zeros=zeros, wrap_int32=wrap_int32)
+    return vector_sum(products, task=task, zeros=zeros, wrap_int32=wrap_int32, width=width)
 
 
 def row_matmul(
@@ -243,9 +268,10 @@ def row_matmul(
         left_split=["i"],
         right_split=["bv"],
         skew=skew,
+        task="_task",
     )
-    products = _expand(scaled, "av", wrap_int32)
-    rows = _as_rows(merge_partials(products, zeros=zeros, wrap_int32=wrap_int32), width)
+    products = _expand(scaled, "av", wrap_int32, "_task")
+    rows = vector_sum(products, task="_task", zeros=zeros, wrap_int32=wrap_int32, width=width)
     if empty_rows == "drop":
         return rows
     kept = a_rows.select("i").distinct().join(rows, "i", "left")
@@ -255,12 +281,12 @@ def row_matmul(
     )
 
 
-def _expand(scaled: DataFrame, factor: str, wrap_int32: bool) -> DataFrame:
-    """``(i, factor, bv)`` to products ``(i, j, p)``."""
-    flat = scaled.select("i", F.col(factor).alias("_f"), F.inline("bv"))
+def _expand(scaled: DataFrame, factor: str, wrap_int32: bool, *kept: str) -> DataFrame:
+    """``(i, factor, bv)`` to products ``(i, j, p)``, with the columns `kept`."""
+    flat = scaled.select("i", F.col(factor).alias("_f"), *kept, F.inline("bv"))
     if wrap_int32:
         flat = flat.withColumn("v", wrap(F.col("v"))).withColumn("_f", wrap(F.col("_f")))
-    return flat.select("i", F.col("x").alias("j"), _product("_f", "v", wrap_int32).alias("p"))
+    return flat.select("i", F.col("x").alias("j"), _product("_f", "v", wrap_int32).alias("p"), *kept)
 
 
 # Entries of a vector that a piece of a record may hold.
@@ -274,7 +300,7 @@ def _pieces(vec: str) -> Column:
     return F.explode(F.transform(starts, lambda at: F.slice(F.col(vec), at + 1, F.lit(_PIECE))))
 
 
-def _cut(records: DataFrame, *vectors: str) -> DataFrame:
+def _cut(records: DataFrame, *vectors: str, task: str = "_task") -> DataFrame:
     """Records with their vectors cut into pieces that are dealt out by content.
 
     A line that was written elsewhere may hold a whole column and a whole row of a matrix,
@@ -283,7 +309,7 @@ def _cut(records: DataFrame, *vectors: str) -> DataFrame:
     rest = [c for c in records.columns if c not in vectors]
     for vec in vectors:
         records = records.select(*(c for c in records.columns if c != vec), _pieces(vec).alias(vec))
-    return records.repartition(shuffle_tasks(records), *rest, *vectors)
+    return deal(records, shuffle_tasks(records), task, F.xxhash64(*rest, *vectors))
 
 
 def outer_matmul(
@@ -293,20 +319,29 @@ def outer_matmul(
     zeros: str = "structural",
     wrap_int32: bool = False,
     width: int = DEFAULT_WIDTH,
+    bounded: bool = False,
+    task: str | None = None,
 ) -> DataFrame:
     """Sum of outer products over records with vectors `av` (of A) and `bv` (of B).
 
     The two vectors are unfolded one after the other, so no task ever holds a list of all
     pairs. Several records per k, as `segment_pairs` makes them, simply add up. Where the
     segment numbers are known, the records of one block of C are laid side by side first.
+
+    Records from elsewhere may be long, so they are cut and dealt out. ``bounded=True`` says
+    that none is, as in those made by `cogroup_outer` with short segments: they stay where
+    they are. So do records that carry the column `task` of a join that made them.
     """
     require(zeros, ("structural", "drop"), "zeros")
-    if {"sa", "sb", "k"} <= set(records.columns):
-        records = gather_blocks(records.select("sa", "sb", "k", "av", "bv"), "sa", "sb", "k")
-    else:
-        records = _cut(records.select("av", "bv"), "av", "bv")
-    unfolded = records.select(F.inline("av"), "bv").toDF("i", "p", "bv")
-    return _result(_expand(unfolded, "p", wrap_int32), result, zeros, wrap_int32, width)
+    if task is None and not (bounded and result == "cells"):
+        task = "_task"
+        if {"sa", "sb", "k"} <= set(records.columns):
+            records = gather_blocks(records.select("sa", "sb", "k", "av", "bv"), "sa", "sb", "k", task)
+        else:
+            records = _cut(records.select("av", "bv"), "av", "bv", task=task)
+    kept = [task] if task and result == "rows" else []
+    unfolded = records.select(*kept, F.inline("av"), "bv").toDF(*kept, "i", "p", "bv")
+    return _result(_expand(unfolded, "p", wrap_int32, *kept), result, zeros, wrap_int32, width, *kept)
 
 
 def scaled_matmul(
@@ -316,11 +351,16 @@ def scaled_matmul(
     zeros: str = "structural",
     wrap_int32: bool = False,
     width: int = DEFAULT_WIDTH,
+    bounded: bool = False,
+    task: str | None = None,
 ) -> DataFrame:
-    """Product from scaled rows ``(i, p, bv)``."""
+    """Product from scaled rows ``(i, p, bv)``; `bounded` and `task` as in :func:`outer_matmul`."""
     require(zeros, ("structural", "drop"), "zeros")
-    cut = _cut(scaled.select("i", "p", "bv"), "bv")
-    return _result(_expand(cut, "p", wrap_int32), result, zeros, wrap_int32, width)
+    if task is None and not (bounded and result == "cells"):
+        task = "_task"
+        scaled = _cut(scaled.select("i", "p", "bv"), "bv", task=task)
+    kept = [task] if task and result == "rows" else []
+    return _result(_expand(scaled, "p", wrap_int32, *kept), result, zeros, wrap_int32, width, *kept)
 
 
 def segmented_matmul(
@@ -335,10 +375,18 @@ def segmented_matmul(
     wrap_int32: bool = False,
     width: int = DEFAULT_WIDTH,
     skew: str = "auto",
+    by: str = "range",
 ) -> DataFrame:
-    """Outer products of segments: no record expands to more than ``la * lb`` products."""
-    pairs = segment_pairs(a, b, la, lb, duplicates=duplicates, skew=skew)
-    return outer_matmul(pairs, result=result, zeros=zeros, wrap_int32=wrap_int32, width=width)
+    """Outer products of segments: no record expands to more than ``la * lb`` products.
+
+    `by` is that of :func:`segment_pairs`. Segments by range name a block of C, and their
+    pairs are gathered by block: best where C's blocks are dense. Segments by degree are as
+    few as the cells allow and are multiplied in the task that joins them: best where
+    columns are short but for some.
+    """
+    task = None if by == "range" else "_task"
+    pairs = segment_pairs(a, b, la, lb, duplicates=duplicates, skew=skew, by=by, task=task)
+    return outer_matmul(pairs, result=result, zeros=zeros, wrap_int32=wrap_int32, width=width, task=task)
 
 
 def masked_matmul(

@@ -13,6 +13,7 @@ place.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -112,7 +113,16 @@ def hot_keys(
     )
 
 
-def _spread(df: DataFrame, hot: DataFrame, on, own, other, own_count, other_count, split):
+def deal(df: DataFrame, tasks: int, task: str, number: Column) -> DataFrame:
+    """Rows to the partition that `number` names (modulo `tasks`), kept in column `task`.
+
+    The column is the partition number itself. So a join on it and other keys, and sums by
+    it and other columns above that join, find their rows in place and need no exchange.
+    """
+    return df.withColumn(task, F.pmod(number, F.lit(tasks)).cast("int")).repartitionById(tasks, task)
+
+
+def _spread(df: DataFrame, hot: DataFrame, on, own, other, own_count, other_count, split, task=None):
     one = F.lit(1).cast("bigint")
     zero = F.lit(0).cast("bigint")
     sliced = (
@@ -123,7 +133,9 @@ def _spread(df: DataFrame, hot: DataFrame, on, own, other, own_count, other_coun
     )
     # The number is given: adaptive execution would merge slices again by their bytes, which
     # say nothing about the pairs they make.
-    return sliced.repartition(shuffle_tasks(df), *on, *sorted((own, other)))
+    if task is None:
+        return sliced.repartition(shuffle_tasks(df), *on, *sorted((own, other)))
+    return deal(sliced, shuffle_tasks(df), task, F.xxhash64(*on, *sorted((own, other))))
 
 
 def skew_join(
@@ -137,6 +149,7 @@ def skew_join(
     left_split: Sequence[str],
     right_split: Sequence[str],
     skew: str = "auto",
+    task: str | None = None,
 ) -> DataFrame:
     """Join `left` and `right` on the columns `on` (``inner``, ``left`` or ``full``).
 
@@ -147,15 +160,35 @@ def skew_join(
     ``auto`` leaves the join to Catalyst when Spark's size check allows one side to be
     broadcast (then no row is shuffled, and skew has nothing to bite on), and slices hot
     keys otherwise. ``salt`` always slices, ``off`` never does.
+
+    `task` names a further column of the result: the number of the task that makes the row.
+    Sums by it and other columns take place in that task, without an exchange. Where one
+    side is broadcast, the rows of the other are dealt out by what tells them apart and a
+    slice of the key, so that what is summed later meets early. Not for ``full``, whose
+    unmatched rows have no place of their own.
     """
-    require(how, ("inner", "left", "full"), "how")
+    require(how, ("inner", "left", "full") if task is None else ("inner", "left"), "how")
     require(skew, SKEW, "skew")
     on = list(on)
     plain = skew == "off"
     if skew == "auto":
         plain = (how != "full" and fits_broadcast(right)) or (how == "inner" and fits_broadcast(left))
-    if plain:
+    tasks = shuffle_tasks(left)
+    if plain and task is None:
         return left.join(right, on, "full_outer" if how == "full" else how)
+    if plain:
+        out = [*on, *(c for c in left.columns if c not in on), *(c for c in right.columns if c not in on), task]
+        slices = F.lit(max(1, math.isqrt(SLICES_PER_TASK * tasks)))
+        if fits_broadcast(right):
+            left = deal(left, tasks, task, F.xxhash64(*left_split, F.pmod(F.xxhash64(*on), slices)))
+            joined = left.join(F.broadcast(right), on, how)
+        elif how == "inner" and fits_broadcast(left):
+            right = deal(right, tasks, task, F.xxhash64(*right_split, F.pmod(F.xxhash64(*on), slices)))
+            joined = F.broadcast(left).join(right, on)
+        else:
+            key = F.xxhash64(*on)
+            joined = deal(left, tasks, task, key).join(deal(right, tasks, task, key), [task, *on], how)
+        return joined.select(*out)
 
     # The join implies these filters. Said here, they reach the counting pass too, whose
     # exchanges then equal the join's and are shared with it.
@@ -164,9 +197,11 @@ def skew_join(
         right = right.where(F.col(key).isNotNull()) if how != "full" else right
     out = [*on, *(c for c in left.columns if c not in on), *(c for c in right.columns if c not in on)]
     hot = hot_keys(left, right, on, left_cells, right_cells)
-    ls = _spread(left, hot, on, "_ls", "_rs", F.col("_nl"), F.col("_nr"), left_split)
-    rs = _spread(right, hot, on, "_rs", "_ls", F.col("_nr"), F.col("_nl"), right_split)
+    ls = _spread(left, hot, on, "_ls", "_rs", F.col("_nl"), F.col("_nr"), left_split, task)
+    rs = _spread(right, hot, on, "_rs", "_ls", F.col("_nr"), F.col("_nl"), right_split, task)
     keys = [*on, "_ls", "_rs"]  # the order in which _spread deals them out
+    if task is not None:
+        keys, out = [task, *keys], [*out, task]
     if how == "inner":
         # A hot key of one side only has no partner: its rows need not travel.
         ls = ls.where(F.coalesce("_both", F.lit(True))).drop("_both")

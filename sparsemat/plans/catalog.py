@@ -125,12 +125,46 @@ def matmul_hot_key(spark, sf):
 
 
 @_query(f"{_with(a='order_hot', b='hot_month')} {_PRODUCT}")
-def segmented_hot_key(spark, sf):
+def segmented_hot_key_ranges(spark, sf):
     return sm.segmented_matmul(
         t.order_hot(spark, sf), t.hot_month(spark, sf), 1024, 8, duplicates="unique", skew="salt"
     )
 
 
+@_query(f"{_with(a='order_hot', b='hot_month')} {_PRODUCT}")
+def segmented_hot_key(spark, sf):
+    """Short columns stay whole, the hot one is cut into segments of 1,024 cells."""
+    return sm.segmented_matmul(
+        t.order_hot(spark, sf), t.hot_month(spark, sf), 1024, 16, duplicates="unique", by="degree"
+    )
+
+
+@_query(
+    f"""{_with(a='order_hot', b='hot_month')},
+    da AS (SELECT k, count(*) AS n FROM a GROUP BY 1), db AS (SELECT k, count(*) AS n FROM b GROUP BY 1)
+    SELECT k, da.n AS na, db.n AS nb, da.n * db.n AS products, TRUE AS short_whole
+    FROM da JOIN db USING (k)"""
+)
+def segment_pairs_by_degree(spark, sf):
+    """Per k: cells and products of its segment pairs, and that it is one record if it is short."""
+    pairs = sm.segment_pairs(
+        t.order_hot(spark, sf), t.hot_month(spark, sf), 64, 4, duplicates="unique", by="degree"
+    )
+    na, nb = F.size("av").cast("bigint"), F.size("bv").cast("bigint")
+    per = pairs.groupBy("k").agg(
+        F.count("k").alias("records"),
+        F.sum(na * nb).alias("products"),
+        F.sum(na).alias("na_all"),
+        F.sum(nb).alias("nb_all"),
+        F.countDistinct("sa").alias("pa"),
+        F.countDistinct("sb").alias("pb"),
+    )
+    # each segment of A stands beside each of B
+    sized = per.select("k", F.expr("na_all div pb").alias("na"), F.expr("nb_all div pa").alias("nb"), "products", "records")
+    long = (F.col("na") > 64) | (F.col("nb") > 4)
+    return sized.select("k", "na", "nb", "products", (long | (F.col("records") == 1)).alias("short_whole"))
+
+
 @_query(_PRODUCT_SQL)
 def matmul_checked_dims(spark, sf):
     """Bounds from the dimension tables; an index beyond them would fail the query."""
@@ -483,13 +517,24 @@ def row_matmul_keep(spark, sf):
 @_query(_PRODUCT_SQL)
 def outer_matmul(spark, sf):
     lines = sm.format_outer_records(sm.cogroup_outer(*_ab(spark, sf), duplicates="unique"))
-    return sm.outer_matmul(sm.parse_outer_records(lines))
+    return sm.outer_matmul(sm.parse_outer_records(lines), bounded=True)
 
 
 @_query(
     f"{_with(a='signed', b='part_line')}, {_row_text(_PRODUCT, 4)} SELECT i || {_TAB} || line AS value FROM r"
 )
 def outer_matmul_rows(spark, sf):
+    """Unfolded and summed where the pairs are joined, so that sums alone are shuffled."""
+    records = sm.segment_pairs(*_signed_ab(spark, sf), duplicates="unique", task="task")
+    rows = sm.outer_matmul(records, result="rows", zeros="drop", width=4, task="task")
+    return sm.format_row_vectors(rows)
+
+
+@_query(
+    f"{_with(a='signed', b='part_line')}, {_row_text(_PRODUCT, 4)} SELECT i || {_TAB} || line AS value FROM r"
+)
+def outer_matmul_rows_cogroup(spark, sf):
+    """The same from records of a full cogroup, which are gathered by block of C first."""
     records = sm.cogroup_outer(*_signed_ab(spark, sf), duplicates="unique")
     return sm.format_row_vectors(sm.outer_matmul(records, result="rows", zeros="drop", width=4))
 
@@ -497,7 +542,18 @@ def outer_matmul_rows(spark, sf):
 @_query(f"{_ONE_SIDED} {_PRODUCT}")
 def scaled_matmul(spark, sf):
     rows = sm.scaled_rows(t.supplier_part(spark, sf), t.customer_priority(spark, sf), duplicates="unique")
-    return sm.scaled_matmul(rows)
+    return sm.scaled_matmul(rows, bounded=True)
+
+
+@_query(
+    f"{_ONE_SIDED}, {_row_text(_PRODUCT, 2)} SELECT i || {_TAB} || line AS value FROM r"
+)
+def scaled_matmul_rows(spark, sf):
+    """Row vectors from scaled rows that stay in the task that joined them."""
+    rows = sm.scaled_rows(
+        t.supplier_part(spark, sf), t.customer_priority(spark, sf), duplicates="unique", skew="salt", task="task"
+    )
+    return sm.format_row_vectors(sm.scaled_matmul(rows, result="rows", zeros="drop", width=2, task="task"))
 
 
 @_query(_PRODUCT_SQL)

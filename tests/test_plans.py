@@ -14,7 +14,7 @@ import sparsemat as sm
 from helpers import matrix_a, matrix_b, rows
 from sparsemat import plans
 from sparsemat.operators.multiply import _cut
-from sparsemat.operators.skew import SLICES_PER_TASK, fits_broadcast, hot_keys, one_cell
+from sparsemat.operators.skew import SLICES_PER_TASK, fits_broadcast, hot_keys, one_cell, skew_join
 from sparsemat.plans.scratch import scratch_path
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -199,3 +199,71 @@ def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).columns == ["i", "j", "v"]
     assert contract.entry(spark).count() == 70
+
+
+def _above_join(df) -> list[str]:
+    """The lines of the plan above its topmost join of both factors."""
+    lines = plan(df, "simple").splitlines()
+    joins = [n for n, line in enumerate(lines) if re.search(r"(SortMerge|Hash)Join", line)]
+    return lines[: joins[0]]
+
+
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+@pytest.mark.parametrize("name", ["outer_matmul_rows", "row_matmul_drop", "scaled_matmul_rows"])
+def test_vector_sums_take_one_exchange_above_the_join(spark, name, limit):
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", limit):
+        above = _above_join(contract.queries()[name](spark, SF_DIR))
+    exchanges = [line for line in above if "Exchange" in line]
+    assert len(exchanges) == 1 and "hashpartitioning(i#" in exchanges[0] and "seg#" in exchanges[0]
+    below = above[above.index(exchanges[0]) :]
+    assert any("HashAggregate" in line and "sum(p#" in line for line in below)  # summed before it travels
+
+
+def test_a_hot_row_of_a_vector_sum_is_split(spark):
+    """Half of all products are in row 1; they are summed by range of columns, in several tasks."""
+    products = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 999 + 2).cast("bigint").alias("i"),
+        (F.col("id") * 7 % 4096 + 1).alias("j"),
+        F.lit(1).cast("bigint").alias("p"),
+    )
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        found = sm.vector_sum(products, width=64).withColumn("task", F.spark_partition_id())
+        hot = found.where("i = 1").select("task", F.size("vec").alias("n")).collect()
+    assert len({r.task for r in hot}) > 4 and max(r.n for r in hot) <= 64
+    expected = {(r.i, r.j): r.v for r in products.groupBy("i", "j").agg(F.sum("p").alias("v")).collect()}
+    got = {(r.i, r.x): r.v for r in sm.vector_sum(products, width=64).select("i", F.inline("vec")).collect()}
+    assert got == expected
+
+
+@pytest.mark.parametrize("skew", ["auto", "salt", "off"])
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_the_task_column_is_the_task(spark, stored, skew, limit):
+    a, b = stored
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", limit), setting(spark, "spark.sql.adaptive.enabled", "false"):
+        joined = skew_join(
+            a.withColumnRenamed("v", "av"), b.withColumnRenamed("v", "bv"), ["k"],
+            left_cells=one_cell("av"), right_cells=one_cell("bv"), left_split=["i"], right_split=["j"], skew=skew, task="t",
+        )
+        rows = joined.select("t", F.spark_partition_id().alias("p")).collect()
+        assert joined.count() == a.join(b, "k").count()
+        assert {r.t for r in rows} == {r.p for r in rows if r.t == r.p}
+        summed = plan(joined.groupBy("t", "i").count(), "simple")
+    assert summed[: summed.index("Join")].count("Exchange") == 0
+
+
+def test_segments_by_degree_share_a_hot_key(spark):
+    """Half of all cells are on k = 1: its pairs are dealt out, short columns stay whole."""
+    a = spark.range(60_000).select(
+        (F.col("id") + 1).alias("i"), F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 5000 + 2).alias("k"), F.lit(1).alias("v")
+    )
+    b = spark.range(5_000).select((F.col("id") + 1).alias("k"), (F.col("id") % 9 + 1).alias("j"), F.lit(1).alias("v")).unionByName(
+        spark.range(90).select(F.lit(1).alias("k"), (F.col("id") + 10).alias("j"), F.lit(1).alias("v"))
+    )
+    pairs = sm.segment_pairs(a, b, 128, 16, duplicates="unique", by="degree", task="t")
+    work = F.sum(F.size("av") * F.size("bv")).alias("work")
+    loads = [r.work for r in pairs.groupBy("t").agg(work).collect()]
+    assert max(loads) <= 3 * sum(loads) / len(loads) and len(loads) == 8
+    assert sum(loads) == a.join(b, "k").count()
+    per = {r.k: (r["count"], r.n) for r in pairs.groupBy("k").agg(F.count("*").alias("count"), F.max(F.size("av")).alias("n")).collect()}
+    assert all(count == 1 for k, (count, _) in per.items() if k != 1)
+    assert per[1][0] >= 6 * 200 and per[1][1] < 2 * 128
