@@ -1,5 +1,6 @@
 """Layout conversions and matrix products."""
 
+from .estimate import auto_matmul, plan_product, product_size
 from .layout import (
     cogroup_outer,
     from_blocks,
@@ -31,6 +32,7 @@ from .skew import skew_join
 from .tiles import block_matmul, to_tiles
 
 __all__ = [
+    "auto_matmul",
     "block_matmul",
     "cogroup_outer",
     "from_blocks",
@@ -41,6 +43,8 @@ __all__ = [
     "nnz",
     "outer_matmul",
     "partial_products",
+    "plan_product",
+    "product_size",
     "replicate",
     "row_matmul",
     "scaled_matmul",

@@ -389,12 +389,49 @@ def segmented_matmul(
     return outer_matmul(pairs, result=result, zeros=zeros, wrap_int32=wrap_int32, width=width, task=task)
 
 
+# Bits of the bitmap of wanted cells, and bits of one piece of it (fixed by Spark's bitmap
+# functions): 2,048 pieces of 4 KiB, 8 MiB in all, however many cells are wanted.
+_MASK_BITS, _PIECE_BITS = 1 << 26, 1 << 15
+
+
+def _place_in_mask() -> tuple[Column, Column]:
+    """Piece and bit of the cell (i, j)."""
+    place = F.pmod(F.xxhash64("i", "j"), F.lit(_MASK_BITS))
+    return F.shiftright(place, 15), place.bitwiseAND(F.lit(_PIECE_BITS - 1))
+
+
+def mask_bits(wanted: DataFrame) -> DataFrame:
+    """The bitmap of cells ``(i, j)`` as ``(piece, words)``, 512 words of 64 bits in a piece."""
+    piece, bit = _place_in_mask()
+    pieces = wanted.groupBy(piece.alias("piece")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    word = lambda w: F.conv(F.hex(F.substring("bits", w * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
+    return pieces.select("piece", F.transform(F.sequence(F.lit(0), F.lit(511)), word).alias("words"))
+
+
+def _maybe_wanted(products: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Products whose cell has its bit set: all of the wanted ones and few others.
+
+    The bitmap has a proven size, so it may be broadcast whatever the mask's own size, and
+    products that nobody asked for are dropped in the task that makes them. With w wanted
+    cells, one of 2**26 / w others has a bit in common; an exact semi-join must follow.
+    """
+    piece, bit = _place_in_mask()
+    placed = products.withColumn("_piece", piece).withColumn("_bit", bit.cast("int"))
+    bits = mask_bits(wanted).withColumnRenamed("piece", "_piece")
+    # a word is eight bytes as they stand, and bits are counted from a byte's lowest
+    met = placed.join(F.broadcast(bits), "_piece").where(
+        "shiftright(words[shiftright(_bit, 6)], (7 - (shiftright(_bit, 3) & 7)) * 8 + (_bit & 7)) & 1 = 1"
+    )
+    return met.select(*products.columns)
+
+
 def masked_matmul(
     a: DataFrame,
     b: DataFrame,
     pairs: DataFrame,
     *,
     via: str = "products",
+    mask: str = "auto",
     zeros: str = "structural",
     duplicates: str = "sum",
     wrap_int32: bool = False,
@@ -407,11 +444,16 @@ def masked_matmul(
     the listed cells one by one, looking up the shorter of row i and column j in the other
     factor; it is cheaper when few cells are listed over many rows and columns.
 
+    Products of other cells are dropped before any is summed or shuffled: by the list itself
+    where Spark's size check lets it be broadcast, else by a bitmap of the list, whose size
+    is fixed, and exactly after the sum. `mask` (``auto``, ``list``, ``bitmap``) chooses.
+
     ``structural`` and ``drop`` as in :func:`matmul`; ``dense_support`` returns every
     listed pair whose row of A and column of B are non-empty.
     """
     require(zeros, ZEROS, "zeros")
     require(via, ("products", "probes"), "via")
+    require(mask, ("auto", "list", "bitmap"), "mask")
     a, b = _operands(a, b, duplicates, None, wrap_int32)
     wanted = pairs.select(F.col("i").cast("bigint"), F.col("j").cast("bigint")).distinct()
     kept = "structural" if zeros == "structural" else "drop"
@@ -421,13 +463,13 @@ def masked_matmul(
             b.join(wanted.select("j").distinct(), "j", "left_semi"),
             skew,
         ).select("i", "j", _product("av", "bv", wrap_int32).alias("p"))
-        if fits_broadcast(wanted):
+        if mask == "list" or (mask == "auto" and fits_broadcast(wanted)):
             # Products that nobody asked for need not be summed, let alone shuffled.
             products = products.join(wanted, ["i", "j"], "left_semi")
             c = merge_partials(products, zeros=kept, wrap_int32=wrap_int32)
         else:
-            # Summed first: both sides of the semi-join then hold a cell at most once.
-            c = merge_partials(products, zeros=kept, wrap_int32=wrap_int32)
+            # Summed before the list is met: both sides of the semi-join then hold a cell at most once.
+            c = merge_partials(_maybe_wanted(products, wanted), zeros=kept, wrap_int32=wrap_int32)
             c = c.join(wanted, ["i", "j"], "left_semi")
     else:
         products = _probe(a, b, wanted, skew).select(

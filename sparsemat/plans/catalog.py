@@ -6,6 +6,7 @@ with its SQL. Vectors are compared as text.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -195,6 +196,44 @@ def wrap_int32_values(spark, sf):
     return a.withColumn("v", wrap_int32(F.col("v") * 1000000007))
 
 
+_FACTORS = {
+    "supplier_part * part_line": (t.supplier_part, t.part_line),
+    "supplier_order * order_customer": (t.supplier_order, t.order_customer),
+    "order_part * customer_priority": (t.order_part, t.customer_priority),
+    "order_hot * hot_month": (t.order_hot, t.hot_month),
+    "supplier_part * customer_priority": (t.supplier_part, t.customer_priority),
+}
+
+
+@_query(
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS factors, (SELECT count(*) FROM {SQL[a.__name__]} a) AS nnz_a,
+        (SELECT count(*) FROM {SQL[b.__name__]} b) AS nnz_b, CAST(sum(n) AS BIGINT) AS products, count(*) AS nnz,
+        TRUE AS close
+        FROM (SELECT a.i, b.j, count(*) AS n FROM {SQL[a.__name__]} a JOIN {SQL[b.__name__]} b ON a.k = b.k GROUP BY 1, 2) c"""
+        for name, (a, b) in _FACTORS.items()
+    )
+)
+def product_sizes(spark, sf):
+    """Sizes of five products, and whether the estimate from sketches is within a fifth of the true one."""
+    one = F.lit(1).alias("_one")
+    parts = []
+    for name, factors in _FACTORS.items():
+        a, b = (f(spark, sf) for f in factors)
+        size = sm.product_size(a, b, duplicates="unique").select("nnz_a", "nnz_b", "products", "nnz_c", one)
+        true = sm.nnz(sm.matmul(a, b, duplicates="unique")).select("nnz", one)
+        close = F.abs(F.col("nnz_c") - F.col("nnz")) <= 0.2 * F.col("nnz")
+        both = size.join(true, "_one").withColumn("factors", F.lit(name)).withColumn("close", close)
+        parts.append(both.select("factors", "nnz_a", "nnz_b", "products", "nnz", "close"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@_query(f"{_with(a='order_hot', b='hot_month')} {_PRODUCT}")
+def auto_matmul(spark, sf):
+    """The method chosen by the estimated size."""
+    return sm.auto_matmul(t.order_hot(spark, sf), t.hot_month(spark, sf), duplicates="unique")
+
+
 # ---------------------------------------------------------------- cells
 
 
@@ -302,6 +341,29 @@ def parse_coo_drop_malformed(spark, sf):
     return sm.parse_coo(lines, mode="DROPMALFORMED")
 
 
+@_query(
+    """SELECT count(*) AS lines, count(*) FILTER (WHERE l_linenumber > 5) AS malformed,
+      count(*) FILTER (WHERE l_linenumber = 6) AS too_short, count(*) FILTER (WHERE l_linenumber = 7) AS not_a_number,
+      count(*) FILTER (WHERE l_linenumber < 6) AS kept FROM lineitem"""
+)
+def parse_coo_counts(spark, sf):
+    """Lines counted by what is wrong with them while the good ones are written."""
+    lines = t.table(spark, sf, "lineitem").select(
+        F.concat_ws(
+            " ",
+            F.col("l_suppkey") + 1,
+            F.expr(_SPOILED.format("STRING")),
+            F.when(F.col("l_linenumber") != 6, F.col("l_quantity").cast("bigint")),
+        ).alias("value")
+    )
+    counts = sm.LineCounts()
+    path = scratch_path(spark, "counted")
+    sm.parse_coo(lines, mode="DROPMALFORMED", counts=counts).write.parquet(path)
+    found = counts.check(max_share=0.5)
+    named = [F.lit(found[c]).cast("bigint").alias(c) for c in ("lines", "malformed", "too_short", "not_a_number")]
+    return sm.nnz(spark.read.parquet(path)).select(*named, F.col("nnz").alias("kept"))
+
+
 @_query(f"{_A} SELECT * FROM a")
 def parse_row_vectors(spark, sf):
     lines = sm.format_row_vectors(sm.to_row_vectors(t.supplier_part(spark, sf), duplicates="unique"))
@@ -627,6 +689,12 @@ def masked_matmul(spark, sf):
     return _masked(spark, sf, "products")
 
 
+@_query(_MASKED)
+def masked_matmul_bitmap(spark, sf):
+    """Unwanted products dropped by a bitmap of the wanted cells before they are summed."""
+    return _masked(spark, sf, "products", mask="bitmap")
+
+
 @_query(_MASKED)
 def masked_matmul_probes(spark, sf):
     return _masked(spark, sf, "probes")
@@ -706,18 +774,18 @@ def generate_thin(spark, sf):
     return sm.sample_rows(parts, 10_000, 0.002, 9)
 
 
+def _parts(spark, sf, name):
+    return t.table(spark, sf, "part").select((F.col("p_partkey") + 1).cast("bigint").alias(name))
+
+
 @_query(
-    f"""WITH a AS {_generated(5, 32, 0.25, ('i', 'k'))}, b AS (
-      SELECT r.range AS k, c.range AS j,
-        CAST('0x' || substr(md5('6,' || r.range || ',' || c.range), 9, 8) AS BIGINT) % 100 AS v
-      FROM range(1, 33) r CROSS JOIN range(1, (SELECT count(*) FROM part) + 1) c
-      WHERE CAST('0x' || substr(md5('6,' || r.range || ',' || c.range), 1, 8) AS BIGINT) < 1073741824)
+    f"""WITH a AS (SELECT k, v FROM ({_thin(32, 0.25, 5)}) x), b AS (SELECT k, v FROM ({_thin(32, 0.25, 6)}) y)
     SELECT k, count(va) AS na, count(vb) AS nb, CAST(sum(va) AS BIGINT) AS sa, CAST(sum(vb) AS BIGINT) AS sb
     FROM (SELECT k, v AS va, NULL::BIGINT AS vb FROM a UNION ALL SELECT k, NULL, v FROM b) u GROUP BY k"""
 )
 def generate_pair(spark, sf):
-    """Two factors that fit together, summed up per shared index."""
-    a, b = sm.generate_pair(spark, t.part_count(spark, sf), 32, 0.25, 5)
+    """Two factors that fit together, a row and a column for every part, summed up per shared index."""
+    a, b = sm.sample_pair(_parts(spark, sf, "p"), 32, 0.25, 5)
     none = F.lit(None).cast("bigint")
     both = a.select("k", F.col("v").alias("a"), none.alias("b")).unionByName(
         b.select("k", none.alias("a"), F.col("v").alias("b"))
@@ -727,9 +795,10 @@ def generate_pair(spark, sf):
     )
 
 
-@_query(f"{_A}, b AS {_generated(11, 16, 0.5, ('k', 'j'))} {_PRODUCT}")
+@_query(f"{_A}, b AS (SELECT i AS k, k AS j, v FROM ({_thin(16, 0.5, 11)}) x) {_PRODUCT}")
 def generated_product(spark, sf):
-    b = sm.generate_sparse(spark, t.part_count(spark, sf), 16, 0.5, 11, names=("k", "j"))
+    """Suppliers' quantities times a random row of 16 columns for every part."""
+    b = sm.sample_rows(_parts(spark, sf, "k"), 16, 0.5, 11, col="j")
     return sm.matmul(t.supplier_part(spark, sf), b, duplicates="unique")
 
 

@@ -1,7 +1,9 @@
 """Readers, writers and the matrix generator."""
 
-from .generate import generate_pair, generate_sparse, sample_cells, sample_rows
+from .generate import generate_pair, generate_sparse, sample_cells, sample_pair, sample_rows
 from .readers import (
+    LineCounts,
+    MalformedLines,
     parse_coo,
     parse_outer_records,
     parse_row_vectors,
@@ -26,6 +28,8 @@ from .writers import (
 )
 
 __all__ = [
+    "LineCounts",
+    "MalformedLines",
     "format_coo",
     "format_outer_records",
     "format_row_vectors",
@@ -43,6 +47,7 @@ __all__ = [
     "read_row_vectors",
     "read_scaled_rows",
     "sample_cells",
+    "sample_pair",
     "sample_rows",
     "write_coo",
     "write_outer_records",

@@ -47,6 +47,9 @@ def generate_sparse(
 # Cells that a block of columns holds on average when only kept cells are made.
 _PER_BLOCK = 16
 
+# Blocks that are numbered in one array.
+_CHUNK = 4096
+
 
 def count_thresholds(n: int, density: float) -> list[int]:
     """Integers t with: a 32-bit number u is at least so many of them as a Binomial(n, density) draw.
@@ -86,7 +89,11 @@ def sample_rows(
     (row,) = rows.columns
     width = block_width(density)
     last = (n - 1) // width  # number of the last block, which may be narrower
-    blocks = rows.select(row, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last))).alias("_b"))
+    # numbered in chunks, so that no array grows with n
+    zero = F.lit(0).cast("bigint")
+    chunks = rows.select(row, F.explode(F.sequence(zero, F.lit(last // _CHUNK))).alias("_chunk"))
+    start = F.col("_chunk") * _CHUNK
+    blocks = chunks.select(row, F.explode(F.sequence(start, F.least(start + _CHUNK - 1, F.lit(last)))).alias("_b"))
 
     def drawn(*parts: Column) -> Column:
         text = (F.lit(f"r{int(seed)}"), F.col(row).cast("string"), F.col("_b").cast("string"), *parts)
@@ -134,3 +141,17 @@ def generate_pair(
         generate_sparse(spark, m, n, density, seed, names=("i", "k"), **options),
         generate_sparse(spark, n, m, density, seed + 1, names=("k", "j"), **options),
     )
+
+
+def sample_pair(
+    rows: DataFrame, n: int, density: float, seed: int = 0, *, max_value: int = 100
+) -> tuple[DataFrame, DataFrame]:
+    """Factors A ``(i, k, v)`` and B ``(k, j, v)`` over the m numbers in the one column of `rows`.
+
+    A has a random row of `n` columns for each number, B a random column of `n` rows; as in
+    :func:`sample_rows` only the cells that are kept are made.
+    """
+    (row,) = rows.columns
+    a = sample_rows(rows.select(F.col(row).alias("i")), n, density, seed, max_value=max_value)
+    b = sample_rows(rows.select(F.col(row).alias("j")), n, density, seed + 1, max_value=max_value)
+    return a, b.select("k", "j", "v")

@@ -6,14 +6,15 @@ Spark's line reader, so CRLF files work.
 
 A line that does not fit the layout fails the query under ``mode="FAILFAST"`` (default),
 is left out under ``"DROPMALFORMED"``, and under ``"PERMISSIVE"`` yields nulls with the
-line kept in the column `corrupt`.
+line kept in the column `corrupt`. :class:`LineCounts` counts lines and what is wrong with
+them while they are parsed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,43 @@ CORRUPT = "_corrupt_record"
 _BLANKS = " \t\r\n\f\x0b"
 
 
+class MalformedLines(ValueError):
+    """More lines than allowed did not fit the layout."""
+
+
+class LineCounts:
+    """Counts of lines, taken in passing by the action that parses them.
+
+    Give one to a parser as `counts`, run an action on the result, then look: no second pass
+    over the lines takes place. Each malformed line counts under its first `reason`. A task
+    that is run again counts once.
+    """
+
+    def __init__(self) -> None:
+        self.observation = Observation()
+
+    def attach(self, parsed: DataFrame, ok: Column, reasons: dict[str, Column]) -> DataFrame:
+        found = F.lit(None).cast("string")
+        for reason, holds in reversed(reasons.items()):
+            found = F.when(F.coalesce(holds, F.lit(True)), F.lit(reason)).otherwise(found)
+        per = [F.count_if(~ok & found.eqNullSafe(F.lit(reason))).alias(reason) for reason in reasons]
+        total = F.count(F.lit(1)).alias("lines"), F.count_if(~ok).alias("malformed")
+        return parsed.observe(self.observation, *total, *per)
+
+    def get(self) -> dict[str, int]:
+        """``lines``, ``malformed`` and one count per reason; waits for the first action's end."""
+        return dict(self.observation.get)
+
+    def check(self, max_malformed: int | None = None, max_share: float | None = None) -> dict[str, int]:
+        """The counts, or :class:`MalformedLines` if more lines were malformed than allowed."""
+        found = self.get()
+        bad, lines = found["malformed"], found["lines"]
+        if (max_malformed is not None and bad > max_malformed) or (max_share is not None and bad > max_share * lines):
+            why = ", ".join(f"{name}: {n}" for name, n in found.items() if name not in ("lines", "malformed") and n)
+            raise MalformedLines(f"{bad} of {lines} lines are malformed ({why})")
+        return found
+
+
 def _paths(path: str | Sequence[str]) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
@@ -69,9 +107,19 @@ def _number(token: Column) -> Column:
     return token.try_cast("bigint")
 
 
-def _by_mode(parsed: DataFrame, ok: Column, keep: Sequence[str], mode: str, corrupt: str) -> DataFrame:
+def _by_mode(
+    parsed: DataFrame,
+    ok: Column,
+    keep: Sequence[str],
+    mode: str,
+    corrupt: str,
+    counts: LineCounts | None,
+    reasons: dict[str, Column],
+) -> DataFrame:
     """Apply the malformed-line mode; `parsed` still has ``value`` beside the columns `keep`."""
     require(mode, MODES, "mode")
+    if counts is not None:
+        parsed = counts.attach(parsed, ok, reasons)
     if mode == "PERMISSIVE":
         columns = [F.when(ok, F.col(c)).alias(c) for c in keep]
         return parsed.select(*columns, F.when(~ok, F.col("value")).alias(corrupt))
@@ -86,16 +134,22 @@ def parse_coo(
     *,
     mode: str = "FAILFAST",
     corrupt: str = CORRUPT,
+    counts: LineCounts | None = None,
 ) -> DataFrame:
     """Lenient reader: three integers apart by any blanks; what follows them is ignored."""
     columns = [*names, "v"]
     parsed = _parse_once(
-        lines, lambda t: [_number(F.get(t, F.lit(at))).alias(c) for at, c in enumerate(columns)]
+        lines,
+        lambda t: [
+            *(_number(F.get(t, F.lit(at))).alias(c) for at, c in enumerate(columns)),
+            F.size(t).alias("_size"),
+        ],
     )
     ok = F.lit(True)
     for c in columns:
         ok = ok & F.col(c).isNotNull()
-    return _by_mode(parsed, ok, columns, mode, corrupt)
+    reasons = {"too_short": F.col("_size") < len(columns), "not_a_number": F.lit(True)}
+    return _by_mode(parsed, ok, columns, mode, corrupt, counts, reasons)
 
 
 def _pairs(tokens: Column, skip: Column, count: Column) -> Column:
@@ -124,7 +178,7 @@ def _parse_once(lines: DataFrame, fields) -> DataFrame:
     return lines.select("value", F.inline(F.transform(tokens, lambda t: F.struct(*fields(t)))))
 
 
-def _parse_vectors(lines, heads, vec, mode, corrupt):
+def _parse_vectors(lines, heads, vec, mode, corrupt, counts):
     skip = F.lit(len(heads)).cast("bigint")
 
     def fields(t):
@@ -135,10 +189,12 @@ def _parse_vectors(lines, heads, vec, mode, corrupt):
             (rest % 2 == 0).alias("_ok"),
         ]
 
-    ok = F.col("_ok") & _whole(vec)
+    head = F.lit(True)
     for name in heads:
-        ok = ok & F.col(name).isNotNull()
-    return _by_mode(_parse_once(lines, fields), ok, [*heads, vec], mode, corrupt)
+        head = head & F.col(name).isNotNull()
+    ok = F.col("_ok") & _whole(vec) & head
+    reasons = {"head": ~head, "unpaired": ~F.col("_ok"), "not_a_number": F.lit(True)}
+    return _by_mode(_parse_once(lines, fields), ok, [*heads, vec], mode, corrupt, counts, reasons)
 
 
 def parse_row_vectors(
@@ -148,20 +204,21 @@ def parse_row_vectors(
     *,
     mode: str = "FAILFAST",
     corrupt: str = CORRUPT,
+    counts: LineCounts | None = None,
 ) -> DataFrame:
     """``row [col val]...`` to ``(row, vec)``; a row number alone is an empty vector."""
-    return _parse_vectors(lines, [row], vec, mode, corrupt)
+    return _parse_vectors(lines, [row], vec, mode, corrupt, counts)
 
 
 def parse_scaled_rows(
-    lines: DataFrame, *, mode: str = "FAILFAST", corrupt: str = CORRUPT
+    lines: DataFrame, *, mode: str = "FAILFAST", corrupt: str = CORRUPT, counts: LineCounts | None = None
 ) -> DataFrame:
     """``i p [j v]...`` to ``(i, p, bv)``."""
-    return _parse_vectors(lines, ["i", "p"], "bv", mode, corrupt)
+    return _parse_vectors(lines, ["i", "p"], "bv", mode, corrupt, counts)
 
 
 def parse_outer_records(
-    lines: DataFrame, *, mode: str = "FAILFAST", corrupt: str = CORRUPT
+    lines: DataFrame, *, mode: str = "FAILFAST", corrupt: str = CORRUPT, counts: LineCounts | None = None
 ) -> DataFrame:
     """``n [A column: n pairs] [B row: the rest]`` to ``(n, av, bv)``."""
     one = F.lit(1).cast("bigint")
@@ -180,7 +237,8 @@ def parse_outer_records(
         ]
 
     ok = F.coalesce("_ok", F.lit(False)) & _whole("av") & _whole("bv")
-    return _by_mode(_parse_once(lines, fields), ok, ["n", "av", "bv"], mode, corrupt)
+    reasons = {"head": F.col("n").isNull(), "count": ~F.col("_ok"), "not_a_number": F.lit(True)}
+    return _by_mode(_parse_once(lines, fields), ok, ["n", "av", "bv"], mode, corrupt, counts, reasons)
 
 
 def read_row_vectors(spark: SparkSession, path: str | Sequence[str], row: str = "i", **options) -> DataFrame:
