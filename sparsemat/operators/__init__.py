@@ -29,14 +29,18 @@ from .multiply import (
     vector_sum,
 )
 from .skew import skew_join
-from .tiles import block_matmul, to_tiles
+from .stored import delta_products, store_factors, stored_matmul, update_partials
+from .tiles import block_matmul, choose_grid, grid_matmul, to_tiles
 
 __all__ = [
     "auto_matmul",
     "block_matmul",
+    "choose_grid",
     "cogroup_outer",
+    "delta_products",
     "from_blocks",
     "from_row_vectors",
+    "grid_matmul",
     "masked_matmul",
     "matmul",
     "merge_partials",
@@ -54,11 +58,14 @@ __all__ = [
     "skew_join",
     "sorted_by",
     "split_halves",
+    "store_factors",
+    "stored_matmul",
     "tag_union",
     "to_blocks",
     "to_column_vectors",
     "to_row_vectors",
     "to_tiles",
     "transpose",
+    "update_partials",
     "vector_sum",
 ]

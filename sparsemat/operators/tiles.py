@@ -13,13 +13,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import require, resolve_duplicates, wrap_int32 as wrap
 from .layout import from_blocks, gather_blocks, to_blocks
 from .multiply import operand
-from .skew import one_cell, skew_join
+from .skew import deal, one_cell, skew_join
 
 # The kernel travels inside the task, so executors need numpy and pyarrow but not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -171,6 +171,74 @@ def block_matmul(
     return (_by_tiles if kernel == "tiles" else _by_cells)(a, b, (ib, kb, jb), wrap_int32, skew)
 
 
+def choose_grid(tasks: int, a: float, b: float, c: float) -> tuple[int, int, int]:
+    """Rows, columns and slices of k of a grid of about `tasks` that moves the least data.
+
+    `a`, `b` and `c` are the sizes of both factors and of the result: A's tiles go to every
+    column of the grid and B's to every row, and each slice of k makes its own part of C.
+    """
+    best = None
+    for rows in range(1, tasks + 1):
+        for columns in range(1, tasks // rows + 1):
+            slices = tasks // (rows * columns)
+            if rows * columns * slices * 4 < tasks * 3:
+                continue  # too many tasks without work
+            cost = a * columns + b * rows + c * slices, -rows * columns * slices
+            if best is None or cost < best[0]:
+                best = cost, (rows, columns, slices)
+    return best[1]
+
+
+def deal_to_grid(left: DataFrame, right: DataFrame, grid: tuple[int, int, int]) -> tuple[DataFrame, DataFrame]:
+    """Tiles ``(ib, kb, ..)`` and ``(kb, jb, ..)``, each in the places of the grid that need it.
+
+    A tile of A goes to one row and slice and every column, one of B to one column and slice
+    and every row; so a pair meets in exactly one place, column ``_task``, which is a task.
+    """
+    rows, columns, slices = (F.lit(n).cast("bigint") for n in grid)
+    tasks = grid[0] * grid[1] * grid[2]
+    zero = F.lit(0).cast("bigint")
+    row, column, inner = (F.pmod(F.xxhash64(c), n) for c, n in (("ib", rows), ("jb", columns), ("kb", slices)))
+
+    def place(r: Column, c: Column) -> Column:
+        return (inner * rows + r) * columns + c
+
+    left = left.withColumn("_c", F.explode(F.sequence(zero, columns - 1)))
+    right = right.withColumn("_r", F.explode(F.sequence(zero, rows - 1)))
+    left = deal(left, tasks, "_task", place(row, F.col("_c"))).drop("_c")
+    return left, deal(right, tasks, "_task", place(F.col("_r"), column)).drop("_r")
+
+
+def grid_matmul(
+    a: DataFrame,
+    b: DataFrame,
+    ib: int,
+    kb: int,
+    jb: int,
+    grid: tuple[int, int, int],
+    *,
+    duplicates: str = "sum",
+    wrap_int32: bool = False,
+) -> DataFrame:
+    """C = A * B over tiles on a grid of ``rows x columns x slices of k`` tasks; zeros are dropped.
+
+    Tiles are repeated, ``tiles(A) * columns + tiles(B) * rows`` of them travel, and pairs
+    meet where they are multiplied: nothing is shuffled between the join and the products.
+    :func:`block_matmul` moves each tile once and then every pair, which is more as soon as
+    a tile has more partners than the grid has rows or columns. Hashes deal out the tiles,
+    so a dense band of rows, columns or k is spread over the grid's other two directions.
+    """
+    if min(grid) < 1:
+        raise ValueError("a grid has at least one row, one column and one slice")
+    a = operand(a, "i", "k", duplicates, None, wrap_int32)
+    b = operand(b, "k", "j", duplicates, None, wrap_int32)
+    left = to_tiles(a, "i", "k", ib, kb, ("ib", "kb"), duplicates="unique").withColumnRenamed("tile", "at")
+    right = to_tiles(b, "k", "j", kb, jb, ("kb", "jb"), duplicates="unique").withColumnRenamed("tile", "bt")
+    left, right = deal_to_grid(left, right, grid)
+    pairs = left.join(right, ["_task", "kb"]).sortWithinPartitions("ib", "jb", "kb")
+    return _multiply_pairs(pairs, (ib, kb, jb), wrap_int32)
+
+
 def _by_cells(a, b, size, wrap_int32, skew):
     ib, kb, jb = size
     left = to_blocks(a, "i", "k", ib, kb, ("ib", "kb", "il", "kl"))
@@ -209,9 +277,13 @@ def _by_tiles(a, b, size, wrap_int32, skew):
         right_split=["jb"],
         skew=skew,
     )
-    kernel = _tile_kernel(ib, kb, jb, wrap_int32)
-    pairs = gather_blocks(pairs, "ib", "jb", "kb").select("ib", "jb", "at", "bt")
-    cells = pairs.mapInArrow(kernel, "i long, j long, p long")
+    return _multiply_pairs(gather_blocks(pairs, "ib", "jb", "kb"), size, wrap_int32)
+
+
+def _multiply_pairs(pairs, size, wrap_int32):
+    """Sums over pairs of tiles; those of one C tile that stand side by side are added first."""
+    kernel = _tile_kernel(*size, wrap_int32)
+    cells = pairs.select("ib", "jb", "at", "bt").mapInArrow(kernel, "i long, j long, p long")
     p = F.col("p")
     total = F.sum(wrap(p) if wrap_int32 else p)
     merged = cells.groupBy("i", "j").agg((wrap(total) if wrap_int32 else total).alias("v"))

@@ -634,6 +634,12 @@ def block_matmul_tiles(spark, sf):
     return sm.block_matmul(*_signed_ab(spark, sf), 64, 512, 8, duplicates="unique", kernel="tiles")
 
 
+@_query(f"{_with(a='signed', b='part_line')} {_PRODUCT} HAVING SUM(a.v * b.v) <> 0")
+def grid_matmul(spark, sf):
+    """Tiles repeated over a grid of 4 x 1 x 2 tasks, where their pairs meet."""
+    return sm.grid_matmul(*_signed_ab(spark, sf), 64, 512, 8, (4, 1, 2), duplicates="unique")
+
+
 @_query(f"{_with(a='signed', b='part_line')} {_PRODUCT} HAVING SUM(a.v * b.v) <> 0")
 def block_matmul_cells(spark, sf):
     return sm.block_matmul(*_signed_ab(spark, sf), 17, 70, 4, duplicates="unique", kernel="cells")
@@ -908,3 +914,36 @@ def partials_files(spark, sf):
     path = scratch_path(spark, "partials")
     sm.write_partials(sm.partial_products(*_ab(spark, sf), duplicates="unique"), path, 16)
     return sm.merge_partials(sm.read_partials(spark, path))
+
+
+@_query(f"{_with(a='order_hot', b='hot_month')} {_PRODUCT}")
+def stored_matmul(spark, sf):
+    """Factors stored in buckets of k, a hot k over several, and joined as they lie."""
+    path = scratch_path(spark, "stored")
+    name = "stored_" + path[-32:]
+    sm.store_factors(t.order_hot(spark, sf), t.hot_month(spark, sf), name, path, 16, duplicates="unique")
+    return sm.stored_matmul(spark, name)
+
+
+def _changes(spark, sf):
+    """Factors without the lines shipped from 1998 on, and what these lines add."""
+    lines = t.table(spark, sf, "lineitem").select(
+        (F.col("l_suppkey") + 1).alias("i"),
+        (F.col("l_partkey") + 1).alias("k"),
+        F.col("l_linenumber").cast("bigint").alias("j"),
+        F.col("l_quantity").cast("bigint").alias("q"),
+        (F.year("l_shipdate") >= 1998).alias("late"),
+    )
+    a = lines.groupBy("late", "i", "k").agg(F.sum("q").alias("v"))
+    b = lines.groupBy("late", "k", "j").agg(F.count("q").alias("v"))
+    return [x.where(c).drop("late") for x in (a, b) for c in ("NOT late", "late")]
+
+
+@_query(_PRODUCT_SQL)
+def delta_matmul(spark, sf):
+    """The product of the older lines, brought up to date in the store with the later ones."""
+    a, da, b, db = _changes(spark, sf)
+    path = scratch_path(spark, "delta")
+    sm.write_partials(sm.partial_products(a, b, duplicates="unique"), path, 16)
+    sm.update_partials(spark, path, 16, a, b, da, db)
+    return sm.merge_partials(sm.read_partials(spark, path))

@@ -109,12 +109,16 @@ def write_scaled_rows(
 
 
 def write_partials(
-    df: DataFrame, path: str, buckets: int, *, mode: str = "errorifexists"
+    df: DataFrame, path: str, buckets: int, *, mode: str = "errorifexists", replace: str = "all"
 ) -> None:
     """Partial products as Parquet, one folder per bucket of k.
 
+    With ``mode="overwrite"``, ``replace="touched"`` replaces the folders that `df` has rows
+    for and leaves the others as they are.
+
     The rebalance hint gathers a bucket's rows before the write, so tasks do not each open
     a file per bucket, and splits a bucket that is too large for one task.
     """
     bucketed = df.select("k", "i", "j", "p", F.pmod("k", F.lit(int(buckets))).alias("k_bucket"))
-    bucketed.hint("rebalance", "k_bucket").write.mode(mode).partitionBy("k_bucket").parquet(path)
+    writer = bucketed.hint("rebalance", "k_bucket").write.mode(mode).partitionBy("k_bucket")
+    writer.option("partitionOverwriteMode", "dynamic" if replace == "touched" else "static").parquet(path)
