@@ -30,6 +30,9 @@ RATIO = 10
 
 _DIGITS = "0123456789abcdef"
 
+#: The lowest bit of each of 16 numbers of four bits.
+_ONES = np.uint64(0x1111111111111111)
+
 
 def counts_of(words: list[str]) -> np.ndarray:
     """How many letters of each group (in ``ORDER``) each word has, 15 at most."""
@@ -48,24 +51,33 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), vec], ["word", "n", "vec"])
 
 
+#: What a word on its way down may have spent, by the step of a node's count against its own:
+#: nothing yet, the deficit alone, the surplus (the deficit must follow), or both. Of two words
+#: one visits the other: the one that has more, or at the first difference less. Words with
+#: one vector meet in one leaf.
+_FREE, _LESS, _MORE, _BOTH = range(4)
+_NEXT = {(_FREE, 0): _FREE, (_FREE, -1): _LESS, (_FREE, 1): _MORE, (_LESS, 0): _LESS, (_MORE, 0): _MORE, (_MORE, -1): _BOTH, (_BOTH, 0): _BOTH}
+_AFTER = np.array([[_NEXT.get((spent, step), -1) for step in (0, 1, -1)] for spent in range(4)], np.int8)  # by step 0, 1, -1
+
+
 def routes(vec: str, split: dict[str, tuple[str, int]]) -> list[tuple[str, int]]:
-    """``(bucket, parts)`` of the subtrees that may hold words one edit from one with that vector.
+    """``(bucket, parts)`` of the subtrees in which a word with that vector looks for near ones.
 
     Depth first through the split nodes: a child may hold one letter of a group more (the
     surplus, spent once) and one of a group less (the deficit, spent once).
     """
-    out, todo = [], [("", True, True)]
+    out, todo = [], [("", _FREE)]
     while todo:
-        node, more, less = todo.pop()
+        node, spent = todo.pop()
         children, parts = split.get(node, ("", 1))
         if node not in split or len(node) == len(vec):
-            out.append((node, parts))
+            if len(node) < len(vec) or spent != _MORE:
+                out.append((node, parts))
             continue
-        own = int(vec[len(node)], 16)
-        for d in children:
-            step = int(d, 16) - own
-            if not step or (step == 1 and more) or (step == -1 and less):
-                todo.append((node + d, more and step != 1, less and step != -1))
+        own = _DIGITS.index(vec[len(node)])
+        for d in _DIGITS[own - 1 if own and spent in (_FREE, _MORE) else own : own + 2 if spent == _FREE else own + 1]:
+            if d in children:
+                todo.append((node + d, _NEXT[spent, _DIGITS.index(d) - own]))
     return out
 
 
@@ -120,6 +132,7 @@ class Bucket:
         self.words = words
         self.size = np.array([len(w) for w in words])
         self.vec = counts_of(words)
+        self.packed = (self.vec.astype(np.uint64) << np.arange(0, 64, 4, dtype=np.uint64)).sum(1, dtype=np.uint64)
         own = np.flatnonzero(home)
         self.own = own[np.lexsort(self.vec[own].T[::-1])]
         wide = np.where(self.size <= _WIDE)[0]
@@ -132,20 +145,23 @@ class Bucket:
             column = np.arange(len(flat)) - np.repeat(first, self.size[wide])
             self.left[row, column] = flat
             self.right[row, np.repeat(self.size[wide], self.size[wide]) - 1 - column] = flat
+        self.rank = np.empty(len(words), np.int64)
+        self.rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
 
     def search(self) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (any word, word at home) that are one edit apart."""
+        """Pairs (any word, word at home) that are one edit apart, each once."""
         everyone = np.arange(len(self.words))
-        free = np.ones(len(everyone), bool)
-        self._descend(0, 0, len(self.own), everyone, free, free)
+        self._descend(0, 0, len(self.own), everyone, np.full(len(everyone), _FREE, np.int8))
         if not self.pairs:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return tuple(np.concatenate(c) for c in zip(*self.pairs, strict=True))
 
-    def _descend(self, level: int, low: int, high: int, who: np.ndarray, more: np.ndarray, less: np.ndarray) -> None:
-        """``who`` are the words that reach this node, with the budgets they have left."""
-        if high - low <= LEAF or level == len(ORDER):
+    def _descend(self, level: int, low: int, high: int, who: np.ndarray, spent: np.ndarray) -> None:
+        """``who`` are the words that reach this node, with what they have spent."""
+        if level == len(ORDER) or high - low <= LEAF:
+            if level == len(ORDER):
+                who = who[spent != _MORE]
             for i in range(0, len(who), BLOCK):
                 self._verify(who[i : i + BLOCK], self.own[low:high])
             return
@@ -154,21 +170,29 @@ class Bucket:
         mine = self.vec[who, level]
         for a, b in zip(start.tolist(), [*start[1:].tolist(), high - low], strict=True):
             step = value[a] - mine
-            go = (step == 0) | ((step == 1) & more) | ((step == -1) & less)
+            small = np.flatnonzero((step >= -1) & (step <= 1))
+            after = _AFTER[spent[small], step[small]]
+            go = after >= 0
             if go.any():
-                step = step[go]
-                self._descend(level + 1, low + a, low + b, who[go], more[go] & (step != 1), less[go] & (step != -1))
+                self._descend(level + 1, low + a, low + b, who[small[go]], after[go])
 
     def _verify(self, who: np.ndarray, own: np.ndarray) -> None:
         for j in own.tolist() if len(own) > LEAF else [None]:  # many words of one vector: one after the other
             other = own if j is None else np.array([j])
-            step = self.vec[other][None].astype(np.int8) - self.vec[who][:, None]
-            ok = (np.maximum(step, 0).sum(2) <= 1) & (np.minimum(step, 0).sum(2) >= -1)
-            ok &= np.abs(self.size[other][None] - self.size[who][:, None]) <= 1
-            q, k = np.nonzero(ok)
+            # at most two groups differ: counts are compared four bits each, all at once
+            bits = self.packed[who][:, None] ^ self.packed[other][None]
+            bits |= bits >> np.uint64(2)
+            bits |= bits >> np.uint64(1)
+            q, k = np.nonzero(np.bitwise_count(bits & _ONES) <= 2)
             q, k = who[q], other[k]
-            differ = q != k
-            q, k = q[differ], k[differ]
+            close = np.abs(self.size[q] - self.size[k]) <= 1
+            q, k = q[close], k[close]
+            # surplus and deficit of one at most, the surplus first
+            step = self.vec[k] - self.vec[q]
+            off, total = np.abs(step).sum(1), step.sum(1)
+            first = step[np.arange(len(q)), (step != 0).argmax(1)]
+            visit = np.where(off == 0, self.rank[q] < self.rank[k], np.where(off == 1, total == -1, (off == 2) & (total == 0) & (first == 1)))
+            q, k = q[visit], k[visit]
             short = np.maximum(self.size[q], self.size[k]) <= _WIDE
             good = np.zeros(len(q), bool)
             # equal letters from the left and from the right cover all of the shorter word but a replaced letter
@@ -190,16 +214,16 @@ def _search(table: pa.Table) -> pa.Table:
     n = table.column("n").to_numpy()
     home = table.column("home").to_numpy(zero_copy_only=False)
     q, k = Bucket(words, home).search() if home.any() else (np.zeros(0, np.int64),) * 2
-    # the best of the words at home: the most frequent, then the first in code-point order
-    own = sorted(np.flatnonzero(home).tolist(), key=lambda i: (-n[i], words[i]))
-    place = np.full(len(words), len(own), np.int64)
-    place[own] = np.arange(len(own))
-    count = np.bincount(q, minlength=len(words))
-    best = np.full(len(words), len(own), np.int64)
+    q, k = np.concatenate([q, k]), np.concatenate([k, q])
+    # the best of a word's near ones: the most frequent, then the first in code-point order
+    at, q = np.unique(q, return_inverse=True)
+    order = sorted(at.tolist(), key=lambda i: (-n[i], words[i]))
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(order))
+    best = np.full(len(at), len(order), np.int64)
     np.minimum.at(best, q, place[k])
-    at = np.flatnonzero(count)
-    chosen = [own[b] for b in best[at].tolist()]
-    columns = [[words[i] for i in at.tolist()], count[at], n[chosen] if chosen else [], [words[i] for i in chosen]]
+    chosen = [order[b] for b in best.tolist()]
+    columns = [[words[i] for i in at.tolist()], np.bincount(q, minlength=len(at)), n[chosen] if chosen else [], [words[i] for i in chosen]]
     kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
     return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["word", "n_near", "best_n", "best"])
 
@@ -215,9 +239,9 @@ def variants(counts: DataFrame) -> DataFrame:
     Words hang in a trie of their letter-group counts. The nodes above a bounded number of
     words are split, and the split nodes, at most 17 x ``BUCKETS``, go to all tasks; a
     subtree that isn't split is one group, so a group has few words, whatever the words are.
-    Each word searches the subtrees that a surplus and a deficit of one letter reach. Words
-    with the same full vector beyond the bound are dealt into parts. Pairs stay in their
-    task; only each word's count and best near word leave it.
+    Each word searches the subtrees that a surplus and a deficit of one letter reach, each
+    pair from one side. Words with the same full vector beyond the bound are dealt into
+    parts. Pairs stay in their task; only each word's count and best near word leave it.
     """
     counts = counts.select(F.col("word").cast("string").alias("word"), F.col("n").cast("long").alias("n")).filter("word IS NOT NULL")
     keyed = materialize(counts.mapInArrow(_vectors, "word string, n long, vec string"), "vectors")
