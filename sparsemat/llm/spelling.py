@@ -17,7 +17,7 @@ from .common import materialize
 ORDER = (5, 1, 15, 14, 9, 4, 3, 2, 12, 8, 0, 13, 7, 6, 10, 11)
 
 #: A subtree with more words than the greater of LEAST and 1/BUCKETS of all is split below.
-LEAST, BUCKETS = 2048, 1 << 14
+LEAST, BUCKETS = 8192, 1 << 14
 
 #: Words of a leaf, which are verified one by one, and queries that are verified at once.
 LEAF, BLOCK = 16, 4096
@@ -136,17 +136,17 @@ class Bucket:
         own = np.flatnonzero(home)
         self.own = own[np.lexsort(self.vec[own].T[::-1])]
         wide = np.where(self.size <= _WIDE)[0]
-        self.left = np.zeros((len(words), _WIDE + 1), np.uint32)
-        self.right = np.zeros((len(words), _WIDE + 1), np.uint32)
+        flat = np.frombuffer("".join(words[i] for i in wide).encode("utf-32-le"), np.uint32)
+        kind = np.uint8 if not len(flat) or flat.max() < 256 else np.uint32
+        width = int(self.size[wide].max(initial=0)) + 1
+        self.left = np.zeros((len(words), width), kind)
+        self.right = np.zeros((len(words), width), kind)
         if len(wide):
-            flat = np.frombuffer("".join(words[i] for i in wide).encode("utf-32-le"), np.uint32)
             row = np.repeat(wide, self.size[wide])
             first = np.cumsum(self.size[wide]) - self.size[wide]
             column = np.arange(len(flat)) - np.repeat(first, self.size[wide])
             self.left[row, column] = flat
             self.right[row, np.repeat(self.size[wide], self.size[wide]) - 1 - column] = flat
-        self.rank = np.empty(len(words), np.int64)
-        self.rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
 
     def search(self) -> tuple[np.ndarray, np.ndarray]:
@@ -185,13 +185,15 @@ class Bucket:
             bits |= bits >> np.uint64(1)
             q, k = np.nonzero(np.bitwise_count(bits & _ONES) <= 2)
             q, k = who[q], other[k]
-            close = np.abs(self.size[q] - self.size[k]) <= 1
+            close = (np.abs(self.size[q] - self.size[k]) <= 1) & (q != k)
             q, k = q[close], k[close]
             # surplus and deficit of one at most, the surplus first
             step = self.vec[k] - self.vec[q]
             off, total = np.abs(step).sum(1), step.sum(1)
             first = step[np.arange(len(q)), (step != 0).argmax(1)]
-            visit = np.where(off == 0, self.rank[q] < self.rank[k], np.where(off == 1, total == -1, (off == 2) & (total == 0) & (first == 1)))
+            visit = np.where(off == 1, total == -1, (off == 2) & (total == 0) & (first == 1))
+            for i in np.flatnonzero(off == 0).tolist():  # one vector: each finds the other, one of them counts
+                visit[i] = self.words[q[i]] < self.words[k[i]]
             q, k = q[visit], k[visit]
             short = np.maximum(self.size[q], self.size[k]) <= _WIDE
             good = np.zeros(len(q), bool)
