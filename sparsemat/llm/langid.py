@@ -81,18 +81,19 @@ def held_out(key: Column) -> Column:
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, Automaton]:
     """An automaton per language from a bounded sample of the labelled rows that are not held out.
 
-    Per language at most ``SAMPLE_DOCS`` documents, chosen by a hash of their id, each giving
-    at most ``SAMPLE_CHARS`` characters from a place that the hash picks; of their words,
+    Per language at most ``SAMPLE_DOCS`` documents, chosen by a hash of id and text (so that
+    rows without an id are told apart, and copies of one row count once), each giving at most ``SAMPLE_CHARS`` characters from a place that the hash picks; of their words,
     distinct ones in order of appearance, up to ``AUTOMATON_CHARS`` characters. Only this
     sample comes to the driver. Without labelled rows the model is empty.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("key")))
     counts = materialize(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")  # of known size, so texts stay where they are
-    h = F.xxhash64(F.col("key").cast("string"), F.lit("sample"))
-    rows = rows.join(counts, "lang").filter(F.pmod(h, F.col("n")) < SAMPLE_DOCS)
-    start = F.pmod(F.shiftright(h, 7), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1)))
-    rows = rows.select("lang", h.alias("h"), F.col("text").substr((start + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
+    h = F.xxhash64(F.col("key").cast("string"), "text", F.lit("sample"))
+    rows = rows.withColumn("h", h).join(counts, "lang").filter(F.pmod("h", F.col("n")) < SAMPLE_DOCS)
+    start = F.pmod(F.shiftright("h", 7), F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1)))
+    rows = rows.select("lang", "h", F.col("text").substr((start + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
+    rows = rows.groupBy("lang", "h").agg(F.min("text").alias("text"))
     sample: dict[str, list[tuple[int, str]]] = {}
     for r in rows.toLocalIterator():
         sample.setdefault(r["lang"], []).append((r["h"], r["text"]))
@@ -189,8 +190,15 @@ def languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     return identify(rows, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def known_only(docs: DataFrame) -> DataFrame:
-    """``docs`` without those whose text is in no language (null or no letter)."""
+def known_only(docs: DataFrame, lang: str = "lang") -> DataFrame:
+    """``docs`` without those whose text is in no language (null or no letter), unlabelled ones labelled.
+
+    A null ``lang`` becomes the predicted language. Where no row is labelled there is no
+    model, nothing can be judged, and all rows stay as they are.
+    """
+    model = fit(docs, lang=lang)
+    if not model:
+        return docs
     into = (fresh(docs, "_lang_pred"), fresh(docs, "_score"))
-    judged = identify(docs, fit(docs), "text", into)
-    return judged.filter(F.col(into[0]) != UNKNOWN).select(*docs.columns)
+    judged = identify(docs, model, "text", into).filter(F.col(into[0]) != UNKNOWN)
+    return judged.withColumn(lang, F.coalesce(F.col(lang), F.col(into[0]))).select(*docs.columns)
