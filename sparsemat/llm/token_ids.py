@@ -49,13 +49,13 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
             top = top[np.argsort(-counts[top], kind="stable")[:ROUND_RULES]]
         if not len(top):
             break
-        seen = np.zeros(_SLOTS, np.int32)
-        seen[slot] = np.arange(len(slot))  # one pair stands for its slot
-        pair = np.stack([seq[seen[top]], seq[seen[top] + 1]], 1)
-        rule = np.full(_SLOTS, -1, np.int32)
+        rule = np.full(_SLOTS, -1, np.int16)
         rule[top] = np.arange(len(top))
         own = rule[slot]
         at = np.flatnonzero(own >= 0)
+        seen = np.zeros(len(top), np.int64)
+        seen[own[at]] = at  # one pair stands for its slot
+        pair = np.stack([seq[seen], seq[seen + 1]], 1)
         at = at[(pair[own[at], 0] == seq[at]) & (pair[own[at], 1] == seq[at + 1])]
         # overlapping places: of a run of neighbours every second one
         run = np.flatnonzero(np.diff(at, prepend=-2) != 1)

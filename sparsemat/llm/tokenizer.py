@@ -11,8 +11,8 @@ import pyarrow as pa
 
 from .common import PLAIN, Words, ranges, string_buffers
 
-#: Pieces whose ids a task remembers before it starts over.
-REMEMBERED = 100_000
+#: Pieces whose ids a task remembers before it begins to forget those not met again.
+REMEMBERED = 150_000
 
 
 def load(path: str):
@@ -43,6 +43,7 @@ class Chunks:
         self.tokenizer = load(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.seen: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as f:
             mark = json.load(f)["model"]["end_of_word_suffix"]
         self.ends = np.zeros(self.size, bool)
@@ -69,12 +70,18 @@ class Chunks:
                 start = stop
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
+        # two generations: what isn't met again while the next one fills is forgotten
         if len(self.seen) > REMEMBERED:
-            self.seen = {}
-        new = [c for c in pieces if c not in self.seen]
+            self.before, self.seen = self.seen, {}
+        found = list(map(self.seen.get, pieces))
+        missed = [i for i, ids in enumerate(found) if ids is None]
+        self.seen.update([(pieces[i], self.before[pieces[i]]) for i in missed if pieces[i] in self.before])
+        new = [pieces[i] for i in missed if pieces[i] not in self.before]
         self._many([c for c in new if c.isalpha()])
         self._single([c for c in new if not c.isalpha()])
-        return [self.seen[c] for c in pieces]
+        for i in missed:
+            found[i] = self.seen[pieces[i]]
+        return found
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and the n+1 places where texts begin."""
@@ -89,7 +96,7 @@ class Chunks:
         flat = pa.LargeStringArray.from_buffers(len(lens), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(own))
         encoded = flat.dictionary_encode()
         index = encoded.indices.to_numpy(zero_copy_only=False)
-        known = self._pieces(encoded.dictionary.to_pylist())
+        known = self._pieces(encoded.dictionary.to_numpy(zero_copy_only=False).tolist())
         count = np.array([len(x) // 4 for x in known], np.int64)
         ids = np.frombuffer(b"".join(known), np.uint32)
         first = np.cumsum(count) - count
