@@ -23,6 +23,7 @@ Values are BIGINT. Spark's ANSI mode (on by default) turns an overflow into an e
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -394,35 +395,36 @@ def segmented_matmul(
 _MASK_BITS, _PIECE_BITS = 1 << 26, 1 << 15
 
 
-def _place_in_mask() -> tuple[Column, Column]:
-    """Piece and bit of the cell (i, j)."""
-    place = F.pmod(F.xxhash64("i", "j"), F.lit(_MASK_BITS))
+def _place_in_mask(on: Sequence[str]) -> tuple[Column, Column]:
+    """Piece and bit of the cell that the columns `on` name."""
+    place = F.pmod(F.xxhash64(*on), F.lit(_MASK_BITS))
     return F.shiftright(place, 15), place.bitwiseAND(F.lit(_PIECE_BITS - 1))
 
 
-def mask_bits(wanted: DataFrame) -> DataFrame:
-    """The bitmap of cells ``(i, j)`` as ``(piece, words)``, 512 words of 64 bits in a piece."""
-    piece, bit = _place_in_mask()
+def mask_bits(wanted: DataFrame, on: Sequence[str] = ("i", "j")) -> DataFrame:
+    """The bitmap of cells `on` as ``(piece, words)``, 512 words of 64 bits in a piece."""
+    piece, bit = _place_in_mask(on)
     pieces = wanted.groupBy(piece.alias("piece")).agg(F.bitmap_construct_agg(bit).alias("bits"))
     word = lambda w: F.conv(F.hex(F.substring("bits", w * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
     return pieces.select("piece", F.transform(F.sequence(F.lit(0), F.lit(511)), word).alias("words"))
 
 
-def _maybe_wanted(products: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Products whose cell has its bit set: all of the wanted ones and few others.
+def maybe_wanted(rows: DataFrame, wanted: DataFrame, on: Sequence[str] = ("i", "j")) -> DataFrame:
+    """Rows whose cell has its bit set: all of the wanted ones and few others.
 
     The bitmap has a proven size, so it may be broadcast whatever the mask's own size, and
-    products that nobody asked for are dropped in the task that makes them. With w wanted
-    cells, one of 2**26 / w others has a bit in common; an exact semi-join must follow.
+    rows (products, say) that nobody asked for are dropped in the task that makes them. With
+    w wanted cells, one of 2**26 / w others has a bit in common; an exact semi-join must
+    follow. Columns of both sides must have the same types.
     """
-    piece, bit = _place_in_mask()
-    placed = products.withColumn("_piece", piece).withColumn("_bit", bit.cast("int"))
-    bits = mask_bits(wanted).withColumnRenamed("piece", "_piece")
+    piece, bit = _place_in_mask(on)
+    placed = rows.withColumn("_piece", piece).withColumn("_bit", bit.cast("int"))
+    bits = mask_bits(wanted, on).withColumnRenamed("piece", "_piece")
     # a word is eight bytes as they stand, and bits are counted from a byte's lowest
     met = placed.join(F.broadcast(bits), "_piece").where(
         "shiftright(words[shiftright(_bit, 6)], (7 - (shiftright(_bit, 3) & 7)) * 8 + (_bit & 7)) & 1 = 1"
     )
-    return met.select(*products.columns)
+    return met.select(*rows.columns)
 
 
 def masked_matmul(
@@ -469,7 +471,7 @@ def masked_matmul(
             c = merge_partials(products, zeros=kept, wrap_int32=wrap_int32)
         else:
             # Summed before the list is met: both sides of the semi-join then hold a cell at most once.
-            c = merge_partials(_maybe_wanted(products, wanted), zeros=kept, wrap_int32=wrap_int32)
+            c = merge_partials(maybe_wanted(products, wanted), zeros=kept, wrap_int32=wrap_int32)
             c = c.join(wanted, ["i", "j"], "left_semi")
     else:
         products = _probe(a, b, wanted, skew).select(
