@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.multiply import maybe_wanted
 from .common import materialize
 from .components import components
 
@@ -54,13 +55,16 @@ def signed(rows: DataFrame) -> DataFrame:
 
     One permutation, cut into ``BINS`` equal ranges: a signature holds the least hash of
     each, -1 for an empty one; ``ROWS`` neighbouring bins make a band. A band of empty bins
-    has no key. Shingles are rows that only meet in minima, first within their task.
+    has no key. Equal lines meet first, once within their task and once by ``(a, b)``; there
+    the shingles are rows that meet in one minimum per bin, and bins in bands, in place.
     """
-    coded = rows.select("a", "b", F.encode("line", "UTF-32").alias("code"))
+    once = rows.groupBy("a", "b").agg(F.min("line").alias("line"))
+    coded = once.select("a", "b", F.encode("line", "UTF-32").alias("code"))
     places = coded.select("a", "b", "code", F.explode_outer(_places(F.col("code"))).alias("place"))
     hashed = places.select("a", "b", _hash(F.col("code"), F.col("place")).alias("h"))
     binned = hashed.select("a", "b", "h", F.floor(F.col("h") / _WIDTH).cast("int").alias("bin"))
-    found = binned.groupBy("a", "b").agg(*(F.min(F.when(F.col("bin") == k, F.col("h"))).alias(f"m{k}") for k in range(BINS)))
+    least = binned.groupBy("a", "b", "bin").agg(F.min("h").alias("h"))
+    found = least.groupBy("a", "b").agg(*(F.min(F.when(F.col("bin") == k, F.col("h"))).alias(f"m{k}") for k in range(BINS)))
     keys = []
     for band in range(_BANDS):
         own = [F.col(f"m{band * ROWS + r}") for r in range(ROWS)]
@@ -95,8 +99,14 @@ def _links(unique: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     before it, in the order of their least hashes. What it connects isn't compared again:
     the second step compares all other pairs of each band, so that no pair is left out, and
     a cluster of lines that are alike doesn't give the square of its size.
+
+    Band keys alone are counted first. Bitmaps of 8 MiB, whatever the number of lines, keep
+    rows of lone bands and texts of lone lines from travelling; what is left over is told
+    apart exactly.
     """
     banded = unique.select(F.explode("bands").alias("band"), "low", "a", "b")
+    shared = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    banded = maybe_wanted(banded, shared, ["band"])
     order = W.partitionBy("band").orderBy("low", "a", "b")
     node = F.struct("a", "b")
     near = banded.select("band", "a", "b", F.count("*").over(W.partitionBy("band")).alias("n"), F.first(node).over(order).alias("first"), F.lag(node).over(order).alias("last"))
@@ -105,7 +115,7 @@ def _links(unique: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = materialize(pairs.filter("a != c OR b != d").distinct(), "candidates")
     # the sets of lines that share a band only: these are looked up in the documents again
     wanted = near.select("a", "b").distinct()
-    sets = rows.join(wanted, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.min("line").alias("line"))
+    sets = maybe_wanted(rows, wanted, ["a", "b"]).join(wanted, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.min("line").alias("line"))
     sets = materialize(sets.select("a", "b", shingles(F.col("line")).alias("set")), "sets")
     both = pairs.join(sets.withColumnRenamed("set", "one"), ["a", "b"])
     both = both.join(sets.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("set").alias("two")), ["c", "d"])
