@@ -13,9 +13,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round hooks every node's larger neighbours, then its smaller ones, under the least
     of its neighbourhood; the rounds grow with the logarithm of the longest path. The least
-    neighbour is an aggregate (summed before its shuffle) that is joined back, so a hub with
-    very many neighbours has one row on the joined side and adaptive execution may split the
-    other. Only a count and a checksum come to the driver. Loops and nulls are ignored, an
+    neighbour is an aggregate (summed before its shuffle) that is joined back. It comes from the
+    join's own exchange, so adaptive execution doesn't split a hub: the neighbours of one node
+    are read by one task. Only a count and a checksum come to the driver. Loops and nulls are ignored, an
     empty input gives an empty result.
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(
