@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Words, covered, gram_hashes, materialize, ranges, sliding_min, slices, string_buffers
+from ..operators.skew import skew_join
+from .common import ALNUM, Words, gram_hashes, materialize, mix, ranges, slices, sliding_min, string_buffers
 
 #: Words of a window: every shared span of so many words is found.
 WINDOW = 13
@@ -18,147 +18,188 @@ WINDOW = 13
 #: Words of a k-gram, the unit of fingerprints.
 GRAM = 5
 
-#: Benchmark text that is sent to the tasks at once; a larger benchmark goes in blocks.
-BLOCK_BYTES = 16 << 20
+#: Bits of the map of the benchmark's fingerprints that goes to the tasks (8 MiB, whatever the benchmark's size).
+MAP_BITS = 1 << 26
 
+#: Bits of one value of ``bitmap_construct_agg``.
+_CHUNK = 1 << 15
 
-class Index:
-    """Fingerprints and windows of some benchmark items.
+#: Fingerprints that leave a task at once.
+_ROWS = 1 << 15
 
-    For each window length (``WINDOW``, or an item's own if it is shorter) the fingerprint of
-    a window is the least hash of its k-grams: what winnowing with k-grams of k words and
-    sliding windows of length - k + 1 k-grams keeps, so every occurrence of the window in a
-    text keeps that fingerprint too.
-    """
+_AROUND = pa.list_(pa.string())
+_PRINT = "n int, print long, at long, back array<string>, fore array<string>"
 
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW, gram: int = GRAM):
-        self.gram = gram
-        by_length: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
-        for item, text in items:
-            words = Words(*string_buffers(pa.array([text])), ALNUM, lower=True)
-            joined, start, end = words.joined()
-            blob, n = joined.tobytes(), len(words)
-            size = min(window, n)
-            for i in range(n - size + 1 if n else 0):
-                by_length[size][blob[start[i] : end[i + size - 1]]].add(item)
-        #: length -> (sorted fingerprints, {window's bytes: items}), longest first
-        self.lengths = {n: (self._fingerprints(list(by_length[n]), n), dict(by_length[n])) for n in sorted(by_length, reverse=True)}
-
-    def _fingerprints(self, windows: list[bytes], n: int) -> np.ndarray:
-        words = Words(*string_buffers(pa.array(windows, pa.binary())), ALNUM)
-        k = min(self.gram, n)
-        return np.unique(sliding_min(gram_hashes(words.hashes(), k), n - k + 1)[words.of[:-1]])
-
-    def hits(self, words: Words) -> Iterator[tuple[int, np.ndarray, list[set[str]]]]:
-        """For each window length the words where one occurs, and the items it comes from."""
-        hashes, of = words.hashes(), words.of
-        blob = start = end = None
-        for n, (prints, known) in self.lengths.items():
-            k = min(self.gram, n)
-            low = sliding_min(gram_hashes(hashes, k), n - k + 1)
-            # winnowing: neighbouring windows mostly keep the same fingerprint, one is looked up for all
-            first = np.flatnonzero(np.r_[True, low[1:] != low[:-1]]) if len(low) else np.zeros(0, int)
-            at = np.minimum(np.searchsorted(prints, low[first]), len(prints) - 1)
-            shared = prints[at] == low[first]
-            candidates = ranges(first[shared], np.diff(np.r_[first, len(low)])[shared])
-            if not len(candidates):
-                continue
-            # the window must lie in one text
-            stop = of[np.searchsorted(of, candidates, "right")]
-            candidates = candidates[candidates + n <= stop]
-            if blob is None:
-                joined, start, end = words.joined()
-                blob = joined.tobytes()
-            spans = zip(start[candidates].tolist(), end[candidates + n - 1].tolist(), strict=True)
-            items = [known.get(blob[a:b]) for a, b in spans]
-            found = [i for i, x in enumerate(items) if x is not None]
-            yield n, candidates[found], [items[i] for i in found]
-
-
-def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
-    """``(row, key, n_words, spans, items)``: the words of each row of ``docs`` that occur in the benchmark.
 
-    ``spans``: disjoint ``(first, length)`` in words; ``items``: the items with occurring
-    windows. The benchmark's text is cut into blocks of at most ``BLOCK_BYTES`` (by bytes,
-    measured), each sent to the tasks and run over all rows, so that nothing but such a
-    block is collected; with several blocks the hits of a row are merged afterwards. A row
-    never leaves its task, so copies and hot passages need no shuffle.
+def _kept(grams: np.ndarray, valid: np.ndarray, w: int) -> np.ndarray:
+    """Which k-grams winnowing keeps: those that are the least of some valid run of ``w`` (each of equal ones)."""
+    low = np.where(valid, sliding_min(grams, w), np.uint64(0))
+    edge = np.zeros(w - 1, np.uint64)
+    most = ~sliding_min(~np.concatenate([edge, low, edge]), w)
+    return most == grams
+
+
+def _prints(words: Words, n: int, gram: int, wanted: np.ndarray | None = None, bits: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, list]]:
+    """``(text, arrays)`` of the fingerprints for windows of ``n`` words, some at a time.
+
+    ``arrays`` are the columns of ``_PRINT``: the hash, the k-gram's first word, the words before
+    it (nearest first) and those from it on, as far as a window around it reaches. ``wanted``
+    chooses texts, ``bits`` is a map of the hashes to keep.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    shape = f"key {docs.schema[key].dataType.simpleString()}, n_words long, spans array<struct<first:long,length:long>>, items array<string>"
-    bench = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("string").alias("text"))
-    bench = bench.filter("text IS NOT NULL AND item IS NOT NULL")
-    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-2 * size // BLOCK_BYTES))
-    if blocks == 1:
-        rows = rows.withColumn("row", F.lit(0).cast("long"))
-    else:  # numbers that stay the same for each block
-        rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
-    out = None
-    for b in range(blocks):
-        own = bench.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b) if blocks > 1 else bench
-        index = spark.sparkContext.broadcast(Index([tuple(r) for r in own.collect()]))
-        part = rows.mapInArrow(_finder(index), f"row long, {shape}")
-        out = part if out is None else out.unionAll(part)
-    if blocks == 1:
-        return out
-    # one row's hits from several blocks
-    return out.groupBy("row").applyInArrow(_merge, out.schema)
-
-
-def _finder(index):
+    k = min(gram, n)
+    if len(words) < n:
+        return
+    grams = gram_hashes(words.hashes(), k)
+    text = np.repeat(np.arange(len(words.of) - 1), np.diff(words.of))
+    valid = text[: len(text) - n + 1] == text[n - 1 :]
+    if wanted is not None:
+        valid &= wanted[text[: len(valid)]]
+    prints = mix(grams + np.uint64(n))
+    kept = np.flatnonzero(_kept(grams, valid, n - k + 1))
+    if bits is not None:
+        slot = prints[kept] & np.uint64(len(bits) * 8 - 1)
+        kept = kept[(bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    for at in np.split(kept, range(_ROWS, len(kept), _ROWS)) if len(kept) else ():
+        own = text[at]
+        before = np.minimum(n - k, at - words.of[own])
+        after = np.minimum(n, words.of[own + 1] - at)
+        first = np.cumsum(before) - before
+        back = np.repeat(at - 1 + first, before) - np.arange(int(before.sum()))
+        yield own, [
+            pa.array(np.full(len(at), n, np.int32)),
+            pa.array(prints[at].view(np.int64)),
+            pa.array(at - words.of[own]),
+            _lists(words, back, before),
+            _lists(words, ranges(at, after), after),
+        ]
+
+
+def _lists(words: Words, which: np.ndarray, count: np.ndarray) -> pa.Array:
+    """Lists of ``count`` words each, taken from the words numbered ``which``."""
+    length = (words.end - words.start)[which]
+    end = np.cumsum(length)
+    data = words.data[ranges(words.start[which], length)]
+    text = pa.Array.from_buffers(pa.string(), len(which), [None, pa.py_buffer(np.r_[0, end].astype(np.int32)), pa.py_buffer(data)])
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)].astype(np.int32)), text)
+
+
+def _cut(column: pa.Array) -> Words:
+    return Words(*string_buffers(column), ALNUM, lower=True)
+
+
+def _index(window: int, gram: int):
+    """Benchmark texts -> their fingerprints, with windows as long as the item where it is shorter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words = _cut(part.column("text"))
+                size = np.minimum(np.diff(words.of), window)
+                for n in np.unique(size[size > 0]).tolist():
+                    for own, arrays in _prints(words, n, gram, wanted=size == n):
+                        items = part.column("item").take(pa.array(own))
+                        yield pa.RecordBatch.from_arrays([items, *arrays], ["item", "n", "print", "at", "back", "fore"])
+
+    return run
+
+
+def _scan(lengths: list[int], gram: int, bits):
+    """Documents -> a head for each, and those of its fingerprints that the benchmark may have."""
+    names = ["row", "key", "n_words", "n", "print", "at", "back", "fore"]
+    blank = [pa.int32(), pa.int64(), pa.int64(), _AROUND, _AROUND]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                words = Words(*string_buffers(part.column("text")), ALNUM, lower=True)
-                spans, items = _spans(words, index.value)
-                out = [part.column("row"), part.column("key"), pa.array(np.diff(words.of)), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(out, ["row", "key", "n_words", "spans", "items"])
+                words = _cut(part.column("text"))
+                head = [part.column("row"), part.column("key"), pa.array(np.diff(words.of))]
+                yield pa.RecordBatch.from_arrays([*head, *(pa.nulls(part.num_rows, t) for t in blank)], names)
+                for n in lengths:
+                    for own, arrays in _prints(words, n, gram, bits=bits.value):
+                        head = [part.column("row").take(pa.array(own)), pa.nulls(len(own), part.column("key").type), pa.nulls(len(own), pa.int64())]
+                        yield pa.RecordBatch.from_arrays([*head, *arrays], names)
 
     return run
 
 
-_SPANS = pa.list_(pa.struct([("first", pa.int64()), ("length", pa.int64())]))
-
-
-def _spans(words: Words, index: Index) -> tuple[list[list[dict]], list[list[str]]]:
-    docs = len(words.of) - 1
-    spans: list[list[dict]] = [[] for _ in range(docs)]
-    items: list[set[str]] = [set() for _ in range(docs)]
-    found = list(index.hits(words))
-    if found:
-        starts = np.concatenate([at for _, at, _ in found])
-        hit = covered(len(words), starts, np.concatenate([np.full(len(at), n) for n, at, _ in found]))
-        edge = np.diff(np.r_[False, hit, False].astype(np.int8))
-        # adjacent texts are cut apart
-        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        doc = np.searchsorted(words.of, first, "right") - 1
-        for f, end, d in zip(first.tolist(), last.tolist(), doc.tolist(), strict=True):
-            while f < end:
-                stop = min(end, int(words.of[d + 1]))
-                if stop > f:
-                    spans[d].append({"first": f - int(words.of[d]), "length": stop - f})
-                f, d = max(f, stop), d + 1
-        for _, at, names in found:
-            for d, x in zip((np.searchsorted(words.of, at, "right") - 1).tolist(), names, strict=True):
-                items[d] |= x
-    return spans, [sorted(x) for x in items]
-
-
-def _merge(table):
-    n = table.column("n_words")[0].as_py()
-    pieces = [(s["first"], s["length"]) for row in table.column("spans").to_pylist() for s in row]
-    hit = covered(n, *(np.array(x, np.int64) for x in zip(*pieces, strict=True))) if pieces else np.zeros(n, bool)
-    edge = np.diff(np.r_[False, hit, False].astype(np.int8))
-    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    spans = [{"first": int(a), "length": int(b - a)} for a, b in zip(first, last, strict=True)]
-    items = sorted({x for row in table.column("items").to_pylist() for x in row})
-    head = table.slice(0, 1)
-    return pa.Table.from_arrays(
-        [head.column("row"), head.column("key"), head.column("n_words"), pa.array([spans], _SPANS), pa.array([items], pa.list_(pa.string()))],
-        table.column_names,
+def _map(prints: DataFrame) -> np.ndarray:
+    """Bitmap of the fingerprints: at most ``MAP_BITS`` bits come to the driver."""
+    slot = F.col("print").bitwiseAND(F.lit(MAP_BITS - 1))
+    rows = prints.select(F.floor(slot / _CHUNK).alias("c"), (slot % _CHUNK).alias("p"))
+    out = np.zeros(MAP_BITS // 8, np.uint8)
+    for c, chunk in rows.groupBy("c").agg(F.bitmap_construct_agg("p")).collect():
+        out[c * _CHUNK // 8 : (c + 1) * _CHUNK // 8] = np.frombuffer(chunk, np.uint8)
+    return out
+
+
+def _alike(a: str, b: str) -> Column:
+    """Number of leading words that two lists share."""
+    first = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(False))
+    return F.when(first > 0, first - 1).otherwise(F.size(a).cast("long"))
+
+
+def _spans(found: DataFrame) -> DataFrame:
+    """``(row, spans)``: the words of each row in any of its stretches, as disjoint spans in order.
+
+    Windows, sums and lists all go by row and share one exchange. A row has at most as many
+    stretches as it has words.
+    """
+    stretches = found.groupBy("row", "first").agg(F.max("stop").alias("stop"))
+    order = Window.partitionBy("row").orderBy("first")
+    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = stretches.withColumn("new", F.coalesce(F.col("first") > before, F.lit(True)).cast("long"))
+    marked = marked.withColumn("span", F.sum("new").over(order))
+    spans = marked.groupBy("row", "span").agg(F.min("first").alias("first"), F.max("stop").alias("stop"))
+    one = F.struct("first", (F.col("stop") - F.col("first")).alias("length"))
+    return spans.groupBy("row").agg(F.sort_array(F.collect_list(one)).alias("spans"))
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``(row, key, n_words, spans, items)``: the words of each row of ``docs`` that occur in the benchmark.
+
+    ``spans``: disjoint ``(first, length)`` in words; ``items``: the items with occurring
+    windows, sorted.
+
+    Winnowing keeps the least k-gram hash of each window (of each window of an item's own length,
+    if that is shorter), so a window that both sides have keeps the same k-gram in both.
+    Fingerprints are joined on their hash. Each carries the words around it that a window can
+    reach; a pair is a hit if the words that agree to both sides of the k-gram make a window, which
+    compares words, not hashes.
+
+    Documents are read once and their texts are never shuffled: a bitmap of fixed size keeps
+    fingerprints that the benchmark lacks from travelling, and what is left is joined with hot
+    fingerprints split. Nothing that grows with either table comes to the driver.
+    """
+    spark = docs.sparkSession
+    bench = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("string").alias("text"))
+    bench = bench.filter("text IS NOT NULL AND item IS NOT NULL").mapInArrow(_index(window, gram), f"item string, {_PRINT}")
+    bench = materialize(bench, "benchmark-prints")
+    lengths = [r[0] for r in bench.select("n").distinct().collect()]  # at most `window` numbers
+    bits = spark.sparkContext.broadcast(_map(bench))
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    shape = f"row long, key {docs.schema[key].dataType.simpleString()}, n_words long, {_PRINT}"
+    scanned = materialize(rows.mapInArrow(_scan(sorted(lengths), gram, bits), shape), "document-prints")
+    heads = scanned.filter("n IS NULL").select("row", "key", "n_words")
+
+    theirs = bench.groupBy("n", "print", "item", F.col("back").alias("back2"), F.col("fore").alias("fore2")).agg(F.min("at").alias("at2"))
+    pairs = skew_join(
+        scanned.filter("n IS NOT NULL").select("n", "print", "row", "at", "back", "fore"),
+        theirs,
+        ["n", "print"],
+        left_cells=F.lit(1),
+        right_cells=F.lit(1),
+        left_split=["row", "at"],
+        right_split=["item", "at2"],
     )
+    pairs = pairs.select("row", "item", "n", "at", _alike("back", "back2").alias("b"), _alike("fore", "fore2").alias("f"))
+    pairs = pairs.filter(f"f >= least(n, {int(gram)}) AND b + f >= n")
+    found = pairs.select("row", "item", (F.col("at") - F.col("b")).alias("first"), (F.col("at") + F.col("f")).alias("stop"))
+    found = materialize(found.distinct(), "hits")
+    items = found.groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    out = heads.join(_spans(found), "row", "left").join(items, "row", "left")
+    empty = {"spans": "array<struct<first:bigint,length:bigint>>", "items": "array<string>"}
+    return out.withColumns({c: F.coalesce(c, F.array().cast(t)) for c, t in empty.items()})
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
