@@ -240,13 +240,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """``(doc_id, fingerprint, component_id)`` for every row.
 
     ``component_id`` is the smallest key among the documents that links connect with this
-    one, itself included. Rows with equal fingerprints are one node, whatever their number.
+    one, itself included. Rows with equal fingerprints are one node, whatever their number, and
+    rows that share a key are linked, whatever their texts: a key has one component.
     A null key has its fingerprint but no component. Empty input gives no rows.
     """
     own = materialize(fingerprints(docs, key, text, shingle), "fingerprints")
     prints = own.filter("key IS NOT NULL").groupBy("fp").agg(F.min("key").alias("node"))
     prints = materialize(prints, "prints")
-    roots = components(links(prints))
+    # keys that have several fingerprints link those
+    several = own.filter("key IS NOT NULL").groupBy("key").agg(F.min("fp").alias("x"), F.max("fp").alias("y"))
+    shared = own.join(several.filter("x != y").select("key"), "key").join(prints, "fp").select(F.col("key").alias("a"), F.col("node").alias("b"))
+    roots = components(links(prints).unionAll(shared))
     named = prints.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component"))
     return own.join(named, "fp", "left").select(
         F.col("key").alias("doc_id"),

@@ -9,7 +9,39 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparsemat.llm import components, decontaminate, fuzzy_lines, simhash, substrings
+from sparsemat.llm import common, components, decontaminate, fuzzy_lines, simhash, substrings
+
+
+def sentence(rng: random.Random, n: int) -> str:
+    return " ".join(f"{rng.choice('stone river light song house'.split())}{rng.randrange(300)}" for _ in range(n))
+
+
+def test_a_hub_is_dealt_over_tasks(spark):
+    """Half of the edges are one node's, in a star whose middle isn't its least node."""
+    tasks = common.shuffle_tasks(spark)
+    edges = [(1000, 2000 + i) for i in range(400)] + [(1000, 5)] + [(9000 + i, 9001 + i) for i in range(300)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    rows = components._with_least(df, len(edges) // (components.HUB_SHARE * tasks))
+    assert {(r["u"], r["m"]) for r in rows.collect()} >= {(1000, 5), (9000, 9001)} and rows.count() == len(edges)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        share = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert share <= 3 * len(edges) / tasks
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = dict(tuple(r) for r in components.components(df, "u", "v").collect())
+    assert set(got.values()) == {5, 9000} and len(got) == 401 + 300
+
+
+def test_rows_that_share_an_id_are_one_node(spark):
+    a, b, c = (sentence(random.Random(i), 40) for i in (1, 2, 3))
+    rows = [(3, a), (5, a), (5, b), (9, b), (9, c), (7, c), (8, sentence(random.Random(4), 40)), (None, c)]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(3, 3), (5, 3), (9, 3), (7, 3), (8, 8), (None, None)}
+    assert len(got) == len(rows)
 
 
 def test_components_on_chains_stars_and_loops(spark):
@@ -87,12 +119,41 @@ def test_contamination(spark, docs, rows, none, same):
     same(decontaminate.contamination(docs, bench.limit(0)), brute.contamination(pairs, []))
 
 
-def test_a_benchmark_in_blocks_gives_the_same(spark, docs, rows, same, monkeypatch):
+def test_shuffled_fingerprints_and_a_full_map_give_the_same(spark, docs, rows, same, monkeypatch):
     passage = rows[12][1].split()
     items = [*ITEMS, (7, " ".join(passage[3:40])), (8, " ".join(passage[10:30]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 150)
-    same(decontaminate.contamination(docs, bench), brute.contamination([(r[0], r[1]) for r in rows], items))
+    monkeypatch.setattr(decontaminate, "MAP_BITS", 1 << 16)  # so foreign fingerprints get through
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        same(decontaminate.contamination(docs, bench), brute.contamination([(r[0], r[1]) for r in rows], items))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_spans_are_disjoint_and_hold_the_passage(spark, rows):
+    passage = rows[12][1].split()
+    text = " ".join(["before it", *passage[:20], "between", *passage[30:50], *passage[33:47], "after"])
+    bench = spark.createDataFrame([("a", " ".join(passage)), ("b", " ".join(passage[5:19]))], "item_id string, text string")
+    got = decontaminate.hits(spark.createDataFrame([(1, text), (2, "clean words")], "doc_id long, text string"), bench).orderBy("key").collect()
+    assert [tuple(s) for s in got[0]["spans"]] == [(2, 20), (23, 34)]
+    assert got[0]["items"] == ["a", "b"] and got[1]["spans"] == [] and got[1]["items"] == []
+
+
+def test_a_passage_in_most_documents_is_split(spark):
+    """Half of all fingerprints are one passage's; broadcast off."""
+    rng = random.Random(5)
+    passage = sentence(rng, 30)
+    texts = [(i, f"{sentence(rng, 5)} {passage if i % 2 else sentence(rng, 30)} x{i}") for i in range(400)]
+    items = [(i, passage if i < 5 else sentence(rng, 20)) for i in range(30)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = decontaminate.contamination(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+        assert sorted(tuple(r) for r in got.collect()) == sorted(brute.contamination(texts, items))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.mark.parametrize("group", (4 << 20, 3000))
