@@ -1,16 +1,22 @@
 """Fuzzy line deduplication by MinHash.
 
-Everything here is DataFrame and SQL functions.
+Signatures are made in numpy over Arrow batches, before anything is shuffled: as DataFrame functions
+they took more CPU time and disk than the whole operator may (figures in the README). All else is
+DataFrame and SQL functions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.multiply import maybe_wanted
-from .common import materialize
+from .common import materialize, mix, slices, string_buffers
 from .components import components
 
 #: Characters of a shingle (a shorter line is one shingle); one starts at each character.
@@ -27,7 +33,18 @@ PART = 256
 SIMILARITY = 0.8
 
 _BANDS = BINS // ROWS
-_WIDTH = -(-(1 << 31) // BINS)
+_KEYS = [f"band{k}" for k in range(_BANDS)]
+
+#: Stands for the minimum of a bin without a shingle.
+_EMPTY = 1 << 31
+
+#: Lines that a task remembers.
+_REMEMBERED = 1 << 18
+
+#: Characters that are hashed at once.
+_STEP = 1 << 15
+
+_POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(SHINGLE, 0, -1)], np.uint64)
 
 
 def _places(code: Column) -> Column:
@@ -50,27 +67,95 @@ def shingles(line: Column) -> Column:
     return F.sort_array(F.array_distinct(found))
 
 
+def _characters(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 texts laid end to end, and where each text starts in them; bytes if it isn't UTF-8."""
+    if data.size and data.max() >= 0x80:
+        try:
+            code = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        except UnicodeDecodeError:
+            return data, at
+        return code, np.r_[0, np.cumsum((data & 0xC0) != 0x80)][at]
+    return data, at
+
+
+def _rolled(x: np.ndarray) -> np.ndarray:
+    """Hash of each ``SHINGLE`` consecutive numbers: sums over doubling spans, then the rest."""
+    span, out, parts, done = 1, x, [], 0
+    want = SHINGLE
+    while want:
+        if want & span:
+            parts.append((done, span, out))
+            done += span
+            want -= span
+        shift = _POWERS[SHINGLE - span]  # the base to the power of span
+        out = out[:-span] * shift + out[span:] if len(out) > span else out[:0]
+        span *= 2
+    n = len(x) - SHINGLE + 1
+    total = np.zeros(n, np.uint64)
+    for first, span, sums in parts:
+        total = total * _POWERS[SHINGLE - span] + sums[first : first + n]
+    return mix(total)
+
+
+def minima(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each text the least 31-bit shingle hash of each of ``BINS`` equal ranges, ``_EMPTY`` for none."""
+    chars, at = _characters(data, at)
+    size = np.diff(at)
+    out = np.full(len(size) * BINS, _EMPTY, np.int64)
+
+    def put(owner: np.ndarray, hashes: np.ndarray) -> None:
+        h = (hashes >> np.uint64(33)).astype(np.int64)
+        np.minimum.at(out, owner * BINS + ((h * BINS) >> 31), h)
+
+    line = np.repeat(np.arange(len(size)), size)
+    for s in range(0, len(chars) - SHINGLE + 1, _STEP):
+        hashes = _rolled(chars[s : s + _STEP + SHINGLE - 1].astype(np.uint64))
+        owner = line[s : s + len(hashes)]
+        whole = owner == line[s + SHINGLE - 1 : s + SHINGLE - 1 + len(hashes)]
+        put(owner[whole], hashes[whole])
+    short = np.flatnonzero((size < SHINGLE) & (size > 0))
+    if len(short):
+        k = np.arange(SHINGLE)
+        inside = k < size[short, None]
+        own = np.where(inside, chars[np.minimum(at[short, None] + k, len(chars) - 1)].astype(np.uint64) + np.uint64(1), np.uint64(0))
+        put(short, mix((own * _POWERS).sum(1) + size[short].astype(np.uint64)))
+    return out.reshape(len(size), BINS)
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(a, b, line)`` -> ``(a, b, low)`` and one key per band, null for a band of empty bins.
+
+    A line that the task has just had is left out: it has the same signature.
+    """
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        names = list(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True))
+        new = [k for k, name in enumerate(names) if name not in seen and not seen.add(name)]
+        if len(seen) > _REMEMBERED:
+            seen.clear()
+        for part in slices(batch.take(pa.array(new, pa.int64())), "line"):
+            least = minima(*string_buffers(part.column("line")))
+            keys = []
+            for band in range(_BANDS):
+                own = least[:, band * ROWS : (band + 1) * ROWS]
+                key = np.full(len(own), np.uint64(band + 1))
+                for r in range(ROWS):
+                    key = mix(key * np.uint64(_EMPTY * 2 + 1) + own[:, r].astype(np.uint64))
+                keys.append(pa.array(key.view(np.int64), mask=(own == _EMPTY).all(1)))
+            low = pa.array(least.min(1), pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), low, *keys], ["a", "b", "low", *_KEYS])
+
+
 def signed(rows: DataFrame) -> DataFrame:
     """``(a, b, low, bands)`` for each distinct ``(a, b)`` of ``rows`` (``a, b, line``): least hash and band keys.
 
     One permutation, cut into ``BINS`` equal ranges: a signature holds the least hash of
-    each, -1 for an empty one; ``ROWS`` neighbouring bins make a band. A band of empty bins
-    has no key. Equal lines meet first, once within their task and once by ``(a, b)``; there
-    the shingles are rows that meet in one minimum per bin, and bins in bands, in place.
+    each; ``ROWS`` neighbouring bins make a band. A band of empty bins has no key. Only
+    signatures are shuffled, those of equal lines once per task.
     """
-    once = rows.groupBy("a", "b").agg(F.min("line").alias("line"))
-    coded = once.select("a", "b", F.encode("line", "UTF-32").alias("code"))
-    places = coded.select("a", "b", "code", F.explode_outer(_places(F.col("code"))).alias("place"))
-    hashed = places.select("a", "b", _hash(F.col("code"), F.col("place")).alias("h"))
-    binned = hashed.select("a", "b", "h", F.floor(F.col("h") / _WIDTH).cast("int").alias("bin"))
-    least = binned.groupBy("a", "b", "bin").agg(F.min("h").alias("h"))
-    found = least.groupBy("a", "b").agg(*(F.min(F.when(F.col("bin") == k, F.col("h"))).alias(f"m{k}") for k in range(BINS)))
-    keys = []
-    for band in range(_BANDS):
-        own = [F.col(f"m{band * ROWS + r}") for r in range(ROWS)]
-        keys.append(F.when(F.coalesce(*own).isNotNull(), F.xxhash64(F.lit(band), *(F.coalesce(m, F.lit(-1)) for m in own))))
-    low = F.coalesce(*(F.col(f"m{k}") for k in range(BINS)))
-    return found.select("a", "b", low.alias("low"), F.array_compact(F.array(*keys)).alias("bands"))
+    made = rows.select("a", "b", "line").mapInArrow(_sign, f"a long, b long, low long, {', '.join(f'{k} long' for k in _KEYS)}")
+    once = made.groupBy("a", "b").agg(*(F.min(c).alias(c) for c in ["low", *_KEYS]))
+    return once.select("a", "b", "low", F.array_compact(F.array(*_KEYS)).alias("bands"))
 
 
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -115,7 +200,8 @@ def _links(unique: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = materialize(pairs.filter("a != c OR b != d").distinct(), "candidates")
     # the sets of lines that share a band only: these are looked up in the documents again
     wanted = near.select("a", "b").distinct()
-    sets = maybe_wanted(rows, wanted, ["a", "b"]).join(wanted, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.min("line").alias("line"))
+    once = maybe_wanted(rows, wanted, ["a", "b"]).groupBy("a", "b").agg(F.min("line").alias("line"))
+    sets = once.join(wanted, ["a", "b"], "left_semi")
     sets = materialize(sets.select("a", "b", shingles(F.col("line")).alias("set")), "sets")
     both = pairs.join(sets.withColumnRenamed("set", "one"), ["a", "b"])
     both = both.join(sets.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("set").alias("two")), ["c", "d"])
