@@ -1,6 +1,6 @@
 """Fuzzy line deduplication by MinHash.
 
-Signatures are made in numpy over Arrow batches, before anything is shuffled: as DataFrame functions
+Signatures, sketches and the exact comparison are numpy over Arrow batches: as DataFrame functions
 they took more CPU time and disk than the whole operator may (figures in the README). All else is
 DataFrame and SQL functions.
 """
@@ -32,6 +32,12 @@ PART = 256
 #: Least Jaccard similarity of the sets of shingles.
 SIMILARITY = 0.8
 
+#: Bits of the sketch that tells pairs apart before their lines are compared.
+BITS = 512
+
+#: Bytes of lines that are compared at once.
+_PAIR_BYTES = 1 << 20
+
 _BANDS = BINS // ROWS
 _KEYS = [f"band{k}" for k in range(_BANDS)]
 
@@ -42,7 +48,7 @@ _EMPTY = 1 << 31
 _REMEMBERED = 1 << 18
 
 #: Characters that are hashed at once.
-_STEP = 1 << 15
+_STEP = 1 << 16
 
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(SHINGLE, 0, -1)], np.uint64)
 
@@ -97,29 +103,30 @@ def _rolled(x: np.ndarray) -> np.ndarray:
     return mix(total)
 
 
-def minima(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """For each text the least 31-bit shingle hash of each of ``BINS`` equal ranges, ``_EMPTY`` for none."""
+def hashed(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(text, hash)`` of all shingles, some at a time: 31-bit hashes, in the order of the texts but for short ones."""
     chars, at = _characters(data, at)
     size = np.diff(at)
-    out = np.full(len(size) * BINS, _EMPTY, np.int64)
-
-    def put(owner: np.ndarray, hashes: np.ndarray) -> None:
-        h = (hashes >> np.uint64(33)).astype(np.int64)
-        np.minimum.at(out, owner * BINS + ((h * BINS) >> 31), h)
-
     line = np.repeat(np.arange(len(size)), size)
     for s in range(0, len(chars) - SHINGLE + 1, _STEP):
-        hashes = _rolled(chars[s : s + _STEP + SHINGLE - 1].astype(np.uint64))
-        owner = line[s : s + len(hashes)]
-        whole = owner == line[s + SHINGLE - 1 : s + SHINGLE - 1 + len(hashes)]
-        put(owner[whole], hashes[whole])
+        found = _rolled(chars[s : s + _STEP + SHINGLE - 1].astype(np.uint64)) >> np.uint64(33)
+        owner = line[s : s + len(found)]
+        whole = owner == line[s + SHINGLE - 1 : s + SHINGLE - 1 + len(found)]
+        yield owner[whole], found[whole].astype(np.int64)
     short = np.flatnonzero((size < SHINGLE) & (size > 0))
     if len(short):
         k = np.arange(SHINGLE)
         inside = k < size[short, None]
         own = np.where(inside, chars[np.minimum(at[short, None] + k, len(chars) - 1)].astype(np.uint64) + np.uint64(1), np.uint64(0))
-        put(short, mix((own * _POWERS).sum(1) + size[short].astype(np.uint64)))
-    return out.reshape(len(size), BINS)
+        yield short, (mix((own * _POWERS).sum(1) + size[short].astype(np.uint64)) >> np.uint64(33)).astype(np.int64)
+
+
+def minima(data: np.ndarray, at: np.ndarray, bins: int = BINS) -> np.ndarray:
+    """For each text the least shingle hash of each of ``bins`` equal ranges, ``_EMPTY`` for none."""
+    out = np.full((len(at) - 1) * bins, _EMPTY, np.int64)
+    for owner, found in hashed(data, at):
+        np.minimum.at(out, owner * bins + ((found * bins) >> 31), found)
+    return out.reshape(len(at) - 1, bins)
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,6 +165,56 @@ def signed(rows: DataFrame) -> DataFrame:
     return once.select("a", "b", "low", F.array_compact(F.array(*_KEYS)).alias("bands"))
 
 
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(a, b, line)`` and the line's sketch: one bit of the least hash of each of ``BITS`` ranges, and how many are filled."""
+    for batch in batches:
+        for part in slices(batch, "line", _PAIR_BYTES):
+            least = minima(*string_buffers(part.column("line")), BITS)
+            bits = np.packbits((least & 1).astype(bool), axis=1).view(np.int64)
+            found = np.column_stack([bits, (least != _EMPTY).sum(1)]).astype(np.int64)
+            sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * found.shape[1], pa.int32()), pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), part.column("line"), sketch], ["a", "b", "line", "sketch"])
+
+
+def _may_be_alike(one: str, two: str) -> Column:
+    """Whether two sketches are what lines of ``SIMILARITY`` have.
+
+    A range that either line fills differs in its bit with probability (1 - similarity) / 2.
+    Pairs with more differing bits than five deviations above that are left out: of pairs at
+    the least similarity less than one in a million, beside those that share no band.
+    """
+    words = BITS // 64
+    differ = sum((F.bit_count(F.col(one)[k].bitwiseXOR(F.col(two)[k])) for k in range(1, words)), F.bit_count(F.col(one)[0].bitwiseXOR(F.col(two)[0])))
+    filled = F.least(F.lit(float(BITS)), F.greatest(F.col(one)[words], F.col(two)[words]) / SIMILARITY)
+    p = (1 - SIMILARITY) / 2
+    return differ <= p * filled + 5 * F.sqrt(p * (1 - p) * filled)
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs ``(x, y, one, two)`` whose lines' shingle sets reach ``SIMILARITY``, without the lines."""
+    for batch in batches:
+        for part in slices(batch, "one", _PAIR_BYTES):
+            first, second = (_distinct(part.column(c)) for c in ("one", "two"))
+            common = np.intersect1d(first, second, assume_unique=True)
+            n = [np.bincount(x >> 31, minlength=part.num_rows) for x in (first, second, common)]
+            good = (1 + SIMILARITY) * n[2] >= SIMILARITY * (n[0] + n[1]) - 1e-6
+            yield part.select(["x", "y"]).filter(pa.array(good))
+
+
+def _distinct(lines: pa.Array) -> np.ndarray:
+    """Distinct shingles of all lines, as line << 31 | hash, sorted."""
+    found = [(owner << 31) | h for owner, h in hashed(*string_buffers(lines))]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(x, y)`` of those pairs ``(a, b, c, d, x, y)`` whose lines are alike; ``texts`` has lines by ``(a, b)``."""
+    one = texts.select("a", "b", F.col("line").alias("one"))
+    two = texts.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("line").alias("two"))
+    both = pairs.join(one, ["a", "b"]).join(two, ["c", "d"]).select("x", "y", "one", "two")
+    return both.mapInArrow(_alike, pairs.select("x", "y").schema)
+
+
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(node, line)``: the \\n-separated lines that have a word, ``node`` being document and place (from 0)."""
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.posexplode(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n")).alias("at", "line"))
@@ -169,14 +226,6 @@ def _named(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"a": F.xxhash64("line"), "b": F.xxhash64("line", F.lit(1))})
 
 
-def _alike(one: str, two: str) -> Column:
-    """Whether two sets reach ``SIMILARITY``; sizes decide before the sets are compared."""
-    a, b = F.size(one), F.size(two)
-    common = F.size(F.array_intersect(one, two))
-    # common >= SIMILARITY * (a + b - common), with one evaluation of common
-    return (a >= SIMILARITY * b) & (b >= SIMILARITY * a) & ((1 + SIMILARITY) * common >= SIMILARITY * (a + b) - 1e-6)
-
-
 def _links(unique: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(node, root)`` in two steps, ``node`` being ``(a, b)``: of lines, and of the first step's roots.
 
@@ -185,6 +234,7 @@ def _links(unique: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     the second step compares all other pairs of each band, so that no pair is left out, and
     a cluster of lines that are alike doesn't give the square of its size.
 
+    Sketches are compared first, so that texts meet only for pairs that may be alike.
     Band keys alone are counted first. Bitmaps of 8 MiB, whatever the number of lines, keep
     rows of lone bands and texts of lone lines from travelling; what is left over is told
     apart exactly.
@@ -196,16 +246,17 @@ def _links(unique: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     node = F.struct("a", "b")
     near = banded.select("band", "a", "b", F.count("*").over(W.partitionBy("band")).alias("n"), F.first(node).over(order).alias("first"), F.lag(node).over(order).alias("last"))
     near = materialize(near.filter("n > 1"), "bands")
-    pairs = near.select("a", "b", F.explode(F.array("first", "last")).alias("x")).select("a", "b", F.col("x.a").alias("c"), F.col("x.b").alias("d"))
-    pairs = materialize(pairs.filter("a != c OR b != d").distinct(), "candidates")
-    # the sets of lines that share a band only: these are looked up in the documents again
+    # the texts of lines that share a band only: these are looked up in the documents again
     wanted = near.select("a", "b").distinct()
     once = maybe_wanted(rows, wanted, ["a", "b"]).groupBy("a", "b").agg(F.min("line").alias("line"))
-    sets = once.join(wanted, ["a", "b"], "left_semi")
-    sets = materialize(sets.select("a", "b", shingles(F.col("line")).alias("set")), "sets")
-    both = pairs.join(sets.withColumnRenamed("set", "one"), ["a", "b"])
-    both = both.join(sets.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("set").alias("two")), ["c", "d"])
-    roots = components(both.filter(_alike("one", "two")).select(node.alias("x"), F.struct(F.col("c").alias("a"), F.col("d").alias("b")).alias("y")), "x", "y")
+    texts = once.join(wanted, ["a", "b"], "left_semi").mapInArrow(_sketch, "a long, b long, line string, sketch array<long>")
+    texts = materialize(texts, "texts")
+    pairs = near.select("a", "b", F.explode(F.array("first", "last")).alias("x")).select("a", "b", F.col("x.a").alias("c"), F.col("x.b").alias("d"))
+    pairs = pairs.filter("a != c OR b != d").distinct()
+    sketches = texts.select("a", "b", F.col("sketch").alias("one"))
+    pairs = pairs.join(sketches, ["a", "b"]).join(texts.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("sketch").alias("two")), ["c", "d"])
+    pairs = pairs.filter(_may_be_alike("one", "two")).select("a", "b", "c", "d", node.alias("x"), F.struct(F.col("c").alias("a"), F.col("d").alias("b")).alias("y"))
+    roots = components(_linked(materialize(pairs, "candidates"), texts), "x", "y")
     roots = materialize(roots.select("node.a", "node.b", "root"), "roots")
     own = F.coalesce("root", node)
     placed = near.select("band", "a", "b", "n").join(roots, ["a", "b"], "left").select("band", "a", "b", "n", own.alias("root"))
@@ -214,16 +265,19 @@ def _links(unique: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     mixed = placed.groupBy("band").agg(*ends).filter("mina != maxa OR minb != maxb").select("band")
     parts = F.ceil(F.col("n") / PART).cast("int")
     dealt = placed.join(mixed, "band").withColumns({"parts": parts, "part": F.pmod(F.xxhash64("a", "b"), parts).cast("int")})
-    dealt = dealt.join(sets, ["a", "b"]).join(unique.select("a", "b", "bands"), ["a", "b"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("band", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "root", "a", "b", "bands", "set")
+    about = texts.select("a", "b", "sketch").join(unique.select("a", "b", "bands"), ["a", "b"])
+    dealt = dealt.join(about, ["a", "b"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("band", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "root", "a", "b", "bands", "sketch")
     dealt = materialize(dealt, "dealt")
-    left = dealt.select("band", "lo", "hi", *(F.col(c).alias(f"{c}1") for c in ("part", "root", "a", "b", "bands", "set")))
-    right = dealt.select("band", "lo", "hi", *(F.col(c).alias(f"{c}2") for c in ("part", "root", "a", "b", "bands", "set")))
+    columns = ("part", "root", "a", "b", "bands", "sketch")
+    left = dealt.select("band", "lo", "hi", *(F.col(c).alias(f"{c}1") for c in columns))
+    right = dealt.select("band", "lo", "hi", *(F.col(c).alias(f"{c}2") for c in columns))
     once = (F.col("lo") == F.col("hi")) | (F.col("part1") != F.col("part2"))
     order = (F.col("a1") < F.col("a2")) | ((F.col("a1") == F.col("a2")) & (F.col("b1") < F.col("b2")))
     once = once & (F.col("band") == F.array_intersect("bands1", "bands2")[0])  # the first band that two lines share
-    rest = left.join(right, ["band", "lo", "hi"]).filter(order & (F.col("root1") != F.col("root2")) & once & _alike("set1", "set2"))
-    return roots, components(rest.select("root1", "root2"), "root1", "root2")
+    rest = left.join(right, ["band", "lo", "hi"]).filter(order & (F.col("root1") != F.col("root2")) & _may_be_alike("sketch1", "sketch2") & once)
+    rest = rest.select(F.col("a1").alias("a"), F.col("b1").alias("b"), F.col("a2").alias("c"), F.col("b2").alias("d"), F.col("root1").alias("x"), F.col("root2").alias("y"))
+    return roots, components(_linked(rest, texts), "x", "y")
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
