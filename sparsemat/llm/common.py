@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from ..plans.scratch import scratch_path
 
+#: Whether files of a query's shuffles are removed as soon as it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Bytes of text that a task works on at once (a longer text is worked on by itself).
 SLICE_BYTES = 4 << 20
 
@@ -37,14 +40,22 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.RandomState(7).randint(0, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, shuffles: bool = True) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage with a copy that outlives executors, and gives the planner a true size.
+    Without ``shuffles`` the files of the shuffles behind ``df`` go as soon as it is written,
+    not when the driver next collects its garbage.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP)
+    if not shuffles:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def n_words(text: Column) -> Column:

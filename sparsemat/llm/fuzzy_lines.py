@@ -50,27 +50,53 @@ def shingles(line: Column) -> Column:
     return F.sort_array(F.array_distinct(found))
 
 
-def signed(rows: DataFrame) -> DataFrame:
-    """``(a, b, low, bands)`` for each distinct ``(a, b)`` of ``rows`` (``a, b, line``): least hash and band keys.
+def banded(rows: DataFrame) -> DataFrame:
+    """``(a, b, band)`` for each distinct ``(a, b)`` of ``rows`` (``a, b, line``) and each of its band keys.
 
     One permutation, cut into ``BINS`` equal ranges: a signature holds the least hash of
     each, -1 for an empty one; ``ROWS`` neighbouring bins make a band. A band of empty bins
     has no key. Equal lines meet first, once within their task and once by ``(a, b)``; there
-    the shingles are rows that meet in one minimum per bin, and bins in bands, in place.
+    the shingles are rows that meet in one minimum per bin of a band, in place.
     """
     once = rows.groupBy("a", "b").agg(F.min("line").alias("line"))
-    coded = once.select("a", "b", F.encode("line", "UTF-32").alias("code"))
+    hashed = _hashed(once).select("a", "b", "h", F.expr(f"h div {_WIDTH}").alias("bin"))
+    placed = hashed.select("a", "b", "h", F.expr(f"cast(bin div {ROWS} as int)").alias("place"), F.expr(f"cast(bin % {ROWS} as int)").alias("row"))
+    least = placed.groupBy("a", "b", "place").agg(*(F.min(F.when(F.col("row") == r, F.col("h"))).alias(f"m{r}") for r in range(ROWS)))
+    return least.select("a", "b", F.xxhash64("place", *(F.coalesce(f"m{r}", F.lit(-1)) for r in range(ROWS))).alias("band"))
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    """``(a, b, h)``: each shingle of each line as a row."""
+    coded = rows.select("a", "b", F.encode("line", "UTF-32").alias("code"))
     places = coded.select("a", "b", "code", F.explode_outer(_places(F.col("code"))).alias("place"))
-    hashed = places.select("a", "b", _hash(F.col("code"), F.col("place")).alias("h"))
-    binned = hashed.select("a", "b", "h", F.floor(F.col("h") / _WIDTH).cast("int").alias("bin"))
-    least = binned.groupBy("a", "b", "bin").agg(F.min("h").alias("h"))
-    found = least.groupBy("a", "b").agg(*(F.min(F.when(F.col("bin") == k, F.col("h"))).alias(f"m{k}") for k in range(BINS)))
-    keys = []
-    for band in range(_BANDS):
-        own = [F.col(f"m{band * ROWS + r}") for r in range(ROWS)]
-        keys.append(F.when(F.coalesce(*own).isNotNull(), F.xxhash64(F.lit(band), *(F.coalesce(m, F.lit(-1)) for m in own))))
-    low = F.coalesce(*(F.col(f"m{k}") for k in range(BINS)))
-    return found.select("a", "b", low.alias("low"), F.array_compact(F.array(*keys)).alias("bands"))
+    return places.select("a", "b", _hash(F.col("code"), F.col("place")).alias("h"))
+
+
+def sketched(rows: DataFrame) -> DataFrame:
+    """``(a, b, n, low, s0, s1, ..)`` of lines ``(a, b, line)``: number of shingles, least hash, and a bitmap per bin.
+
+    A shingle sets one of a bin's 64 bits, so two lines differ in at most as many bits as
+    there are shingles that one of them lacks. ``n`` counts repeated shingles, too.
+    """
+    hashed = _hashed(rows.repartition("a", "b"))
+    bins = hashed.select("a", "b", "h", F.expr(f"cast(h div {_WIDTH} as int)").alias("bin"), F.expr("shiftleft(1L, h & 63)").alias("bit"))
+    bins = bins.groupBy("a", "b", "bin").agg(F.min("h").alias("h"), F.count("*").alias("n"), F.bit_or("bit").alias("bits"))
+    words = (F.coalesce(F.max(F.when(F.col("bin") == k, F.col("bits"))), F.lit(0).cast("long")).alias(f"s{k}") for k in range(BINS))
+    return bins.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("h").alias("low"), *words)
+
+
+_SKETCH = ["n", *(f"s{k}" for k in range(BINS))]
+
+
+def _likely(one: str, two: str) -> Column:
+    """False only if sketches, columns with these endings, show that two lines are not alike."""
+    differ = sum((F.bit_count(F.col(f"s{k}{one}").bitwiseXOR(F.col(f"s{k}{two}"))) for k in range(BINS)), F.lit(0))
+    # sets of similarity S differ in at most (1 - S) / (1 + S) of the sum of their sizes
+    return (1 + SIMILARITY) * differ <= (1 - SIMILARITY) * (F.col(f"n{one}") + F.col(f"n{two}")) + 1e-6
+
+
+def _ended(rows: DataFrame, end: str, *columns: str) -> DataFrame:
+    return rows.select(*(F.col(c).alias(f"{c}{end}") for c in columns))
 
 
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -92,7 +118,14 @@ def _alike(one: str, two: str) -> Column:
     return (a >= SIMILARITY * b) & (b >= SIMILARITY * a) & ((1 + SIMILARITY) * common >= SIMILARITY * (a + b) - 1e-6)
 
 
-def _links(unique: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows of ``pairs`` (``a1, b1, a2, b2``) whose lines are alike. Texts travel, the sets are made where they meet."""
+    both = pairs.join(_ended(texts, "1", "a", "b", "line"), ["a1", "b1"]).join(_ended(texts, "2", "a", "b", "line"), ["a2", "b2"])
+    sets = F.array(F.struct(shingles(F.col("line1")).alias("one"), shingles(F.col("line2")).alias("two")))
+    return both.filter(F.exists(sets, lambda x: _alike(x["one"], x["two"]))).select(*pairs.columns)  # each set is made once
+
+
+def _links(bands: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(node, root)`` in two steps, ``node`` being ``(a, b)``: of lines, and of the first step's roots.
 
     The first step compares each line of a band with the band's first and with the one
@@ -102,43 +135,48 @@ def _links(unique: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Band keys alone are counted first. Bitmaps of 8 MiB, whatever the number of lines, keep
     rows of lone bands and texts of lone lines from travelling; what is left over is told
-    apart exactly.
+    apart exactly. Sketches tell most pairs that are not alike apart; sets are made only for
+    pairs that they leave, and neither kept nor shuffled.
     """
-    banded = unique.select(F.explode("bands").alias("band"), "low", "a", "b")
-    shared = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    banded = maybe_wanted(banded, shared, ["band"])
+    shared = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    near = maybe_wanted(bands, shared, ["band"])
+    near = near.select("band", "a", "b", F.count("*").over(W.partitionBy("band")).alias("n")).filter("n > 1")
+    near = materialize(near, "bands", shuffles=False)
+    # the texts of lines that share a band only: these are looked up in the documents again
+    wanted = near.select("a", "b").distinct()
+    texts = maybe_wanted(rows, wanted, ["a", "b"]).groupBy("a", "b").agg(F.min("line").alias("line"))
+    texts = materialize(texts.join(wanted, ["a", "b"], "left_semi"), "texts", shuffles=False)
+    sketches = materialize(sketched(texts), "sketches", shuffles=False)
     order = W.partitionBy("band").orderBy("low", "a", "b")
     node = F.struct("a", "b")
-    near = banded.select("band", "a", "b", F.count("*").over(W.partitionBy("band")).alias("n"), F.first(node).over(order).alias("first"), F.lag(node).over(order).alias("last"))
-    near = materialize(near.filter("n > 1"), "bands")
-    pairs = near.select("a", "b", F.explode(F.array("first", "last")).alias("x")).select("a", "b", F.col("x.a").alias("c"), F.col("x.b").alias("d"))
-    pairs = materialize(pairs.filter("a != c OR b != d").distinct(), "candidates")
-    # the sets of lines that share a band only: these are looked up in the documents again
-    wanted = near.select("a", "b").distinct()
-    once = maybe_wanted(rows, wanted, ["a", "b"]).groupBy("a", "b").agg(F.min("line").alias("line"))
-    sets = once.join(wanted, ["a", "b"], "left_semi")
-    sets = materialize(sets.select("a", "b", shingles(F.col("line")).alias("set")), "sets")
-    both = pairs.join(sets.withColumnRenamed("set", "one"), ["a", "b"])
-    both = both.join(sets.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("set").alias("two")), ["c", "d"])
-    roots = components(both.filter(_alike("one", "two")).select(node.alias("x"), F.struct(F.col("c").alias("a"), F.col("d").alias("b")).alias("y")), "x", "y")
-    roots = materialize(roots.select("node.a", "node.b", "root"), "roots")
+    pairs = near.join(sketches.select("a", "b", "low"), ["a", "b"])
+    pairs = pairs.select("a", "b", F.first(node).over(order).alias("first"), F.lag(node).over(order).alias("last"))
+    pairs = pairs.select("a", "b", F.explode(F.array("first", "last")).alias("x"))
+    pairs = pairs.select(F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("x.a").alias("a2"), F.col("x.b").alias("b2"))
+    pairs = pairs.filter("a1 != a2 OR b1 != b2").distinct()
+    for end in "12":
+        pairs = pairs.join(_ended(sketches, end, "a", "b", *_SKETCH), [f"a{end}", f"b{end}"])
+    pairs = materialize(pairs.filter(_likely("1", "2")).select("a1", "b1", "a2", "b2"), "candidates", shuffles=False)
+    alike = _verified(pairs, texts)
+    roots = components(alike.select(F.struct(F.col("a1").alias("a"), F.col("b1").alias("b")).alias("x"), F.struct(F.col("a2").alias("a"), F.col("b2").alias("b")).alias("y")), "x", "y")
+    roots = materialize(roots.select("node.a", "node.b", "root"), "roots", shuffles=False)
     own = F.coalesce("root", node)
-    placed = near.select("band", "a", "b", "n").join(roots, ["a", "b"], "left").select("band", "a", "b", "n", own.alias("root"))
-    placed = materialize(placed, "placed")
+    placed = near.join(roots, ["a", "b"], "left").select("band", "a", "b", "n", own.alias("root"))
+    placed = materialize(placed, "placed", shuffles=False)
     ends = [f(f"root.{c}").alias(f"{n}{c}") for c in "ab" for n, f in (("min", F.min), ("max", F.max))]
     mixed = placed.groupBy("band").agg(*ends).filter("mina != maxa OR minb != maxb").select("band")
     parts = F.ceil(F.col("n") / PART).cast("int")
-    dealt = placed.join(mixed, "band").withColumns({"parts": parts, "part": F.pmod(F.xxhash64("a", "b"), parts).cast("int")})
-    dealt = dealt.join(sets, ["a", "b"]).join(unique.select("a", "b", "bands"), ["a", "b"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("band", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "root", "a", "b", "bands", "set")
-    dealt = materialize(dealt, "dealt")
-    left = dealt.select("band", "lo", "hi", *(F.col(c).alias(f"{c}1") for c in ("part", "root", "a", "b", "bands", "set")))
-    right = dealt.select("band", "lo", "hi", *(F.col(c).alias(f"{c}2") for c in ("part", "root", "a", "b", "bands", "set")))
+    dealt = placed.join(mixed, "band").withColumns({"parts": parts, "part": F.pmod(F.xxhash64("a", "b"), parts).cast("int")}).drop("n")
+    dealt = dealt.join(sketches.drop("low"), ["a", "b"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    kept = ["part", "root", "a", "b", *_SKETCH]
+    dealt = dealt.select("band", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), *kept)
+    dealt = materialize(dealt, "dealt", shuffles=False)
+    left, right = (dealt.select("band", "lo", "hi", *(F.col(c).alias(f"{c}{end}") for c in kept)) for end in "12")
     once = (F.col("lo") == F.col("hi")) | (F.col("part1") != F.col("part2"))
     order = (F.col("a1") < F.col("a2")) | ((F.col("a1") == F.col("a2")) & (F.col("b1") < F.col("b2")))
-    once = once & (F.col("band") == F.array_intersect("bands1", "bands2")[0])  # the first band that two lines share
-    rest = left.join(right, ["band", "lo", "hi"]).filter(order & (F.col("root1") != F.col("root2")) & once & _alike("set1", "set2"))
-    return roots, components(rest.select("root1", "root2"), "root1", "root2")
+    rest = left.join(right, ["band", "lo", "hi"]).filter(order & (F.col("root1") != F.col("root2")) & once & _likely("1", "2"))
+    rest = materialize(rest.select("a1", "b1", "a2", "b2", "root1", "root2").distinct(), "candidates", shuffles=False)
+    return roots, components(_verified(rest, texts).select("root1", "root2"), "root1", "root2")
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -150,8 +188,8 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     hashes (``a, b``), not by ``node``, which rows that share an id share too.
     """
     rows = _named(lines(docs, key, text))
-    unique = materialize(signed(rows), "lines")
-    roots, higher = _links(unique, rows)
+    bands = materialize(banded(rows), "lines", shuffles=False)
+    roots, higher = _links(bands, rows)
     higher = higher.select(F.col("node").alias("root"), F.col("root").alias("top"))
     tops = roots.join(higher, "root", "left").select("a", "b", F.coalesce("top", "root").alias("class"))
     # roots of the first step that the second one put under others
