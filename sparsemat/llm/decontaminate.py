@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.skew import skew_join
-from .common import ALNUM, Words, gram_hashes, materialize, mix, ranges, slices, sliding_min, string_buffers
+from .common import ALNUM, Words, gram_hashes, materialize, mix, ranges, slices, sliding_min, string_buffers, without
 
 #: Words of a window: every shared span of so many words is found.
 WINDOW = 13
@@ -228,5 +228,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") ->
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated ones; rows that share a ``doc_id`` fall together, null ids stay."""
     gone = contamination(docs, benchmark).filter("contaminated AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, gone)
 

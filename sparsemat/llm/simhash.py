@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLAIN, Words, materialize, ranges, slices, string_buffers
+from .common import PLAIN, Words, materialize, ranges, slices, string_buffers, without
 from .components import components
 
 #: Fingerprints that differ in at most so many of their 64 bits are linked.
@@ -267,4 +267,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     groups = near_duplicates(docs)
     kept = F.max(F.col("component_id") == F.col("doc_id"))
     gone = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(kept.alias("kept")).filter("NOT kept")
-    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, gone)

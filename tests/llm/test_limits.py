@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
-from sparsemat.llm import fuzzy_lines
+from sparsemat.llm import common, decontaminate, fuzzy_lines, simhash
 
 
 def test_fuzzy_lines_keep_neither_sets_nor_shuffles(spark, monkeypatch):
@@ -40,3 +42,37 @@ def test_sketches_let_all_alike_lines_pass(spark):
     pairs = one.join(two, F.col("a1") < F.col("a2")).select(fuzzy_lines._likely("1", "2").alias("likely"), fuzzy_lines._alike("set1", "set2").alias("alike"))
     found = {(r["likely"], r["alike"]): r["count"] for r in pairs.groupBy("likely", "alike").count().collect()}
     assert found.get((False, True), 0) == 0 and found[True, True] > 20 and found[False, False] > 1000
+
+
+def test_documents_that_stay_are_not_shuffled(spark):
+    """Nulls, shared ids and odd key types are kept or dropped as an anti-join does; the texts of what stays don't travel."""
+    rng = random.Random(14)
+    rows = [(i, rng.randbytes(2000).hex()) for i in range(600)] + [(None, "a"), (None, "b"), (3, "c"), (4, "d")]
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(4)
+    df = common.materialize(df, "limits")
+    gone = spark.createDataFrame([(3,), (5,), (1000,)], "doc_id long")
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    size = lambda: sum(os.path.getsize(x) for x in files.getAllFiles().mkString("\n").split("\n") if "shuffle_" in x)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = size()
+        got = [tuple(r) for r in common.without(df, gone).collect()]
+        assert size() - before < 600 * 2000 / 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert Counter(got) == Counter(r for r in rows if r[0] not in (3, 5))
+    empty = gone.filter("doc_id < 0")
+    assert common.without(df, empty).count() == len(rows) and common.without(df.filter("false"), gone).count() == 0
+
+
+def test_stages_of_the_pipeline_do_not_shuffle_what_stays(spark):
+    rng = random.Random(15)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(300))
+    texts = [text() for _ in range(100)]
+    rows = [(i, x) for i, x in enumerate(texts)] + [(200, texts[7]), (None, texts[8])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([("q", " ".join(texts[3].split()[:60]))], "item_id string, text string")
+    for out, less in ((simhash.keep_one(df), {200}), (decontaminate.clean(df, bench), {3})):
+        assert Counter(tuple(r) for r in out.collect()) == Counter(r for r in rows if r[0] not in less)
+        assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
