@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +12,15 @@ import pyarrow as pa
 from .common import SPACE, ranges, string_buffers
 from .tokenizer import _ALNUM, _SIGN, load
 
-#: Pieces whose ids a task remembers before it starts over.
-REMEMBERED = 100_000
+#: Pieces whose ids a task remembers before it begins to forget those not met again.
+REMEMBERED = 50_000
 
 #: The byte-level alphabet's letter for a blank (fixed by that format).
 _BLANK = "Ġ"
 
+#: A blank and then no white space at all.
+_ONE_BLANK = re.compile(r" \S+").fullmatch
+
 #: Bytes that surely are no white space by themselves: ASCII without blanks and separators.
 _SOLID = np.zeros(256, bool)
 _SOLID[0x21:0x7F] = True
@@ -52,6 +56,7 @@ class BytePieces:
         self.first = np.zeros(max(vocab.values()) + 1, bool)
         self.first[[i for t, i in vocab.items() if t.startswith(_BLANK)]] = True
         self.seen: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _single(self, pieces: list[str]) -> None:
         for i in range(0, len(pieces), 10_000):
@@ -71,17 +76,28 @@ class BytePieces:
             for piece, a, b in zip(part, at, at[1:], strict=False):
                 self.seen[piece] = raw[a:b]
 
-    def _blank(self, piece: str) -> bool:
-        return piece[:1] == " " and piece.split() == [piece[1:]] and not any(s in piece for s in self.special)
-
     def _pieces(self, pieces: list[str]) -> list[bytes]:
+        # two generations: what isn't met again while the next one fills is forgotten
         if len(self.seen) > REMEMBERED:
-            self.seen = {}
-        new = [p for p in pieces if p not in self.seen]
-        together = [self._blank(p) for p in new]
-        self._many([p for p, t in zip(new, together, strict=True) if t])
-        self._single([p for p, t in zip(new, together, strict=True) if not t])
-        return [self.seen[p] for p in pieces]
+            self.before, self.seen = self.seen, {}
+        found = list(map(self.seen.get, pieces))
+        missed = [i for i, ids in enumerate(found) if ids is None]
+        lost = [pieces[i] for i in missed]
+        again = list(map(self.before.get, lost))
+        self.seen.update([(piece, ids) for piece, ids in zip(lost, again, strict=True) if ids is not None])
+        together, alone = [], []
+        for piece, ids in zip(lost, again, strict=True):
+            if ids is None:
+                (together if _ONE_BLANK(piece) else alone).append(piece)
+        joined = "".join(together)
+        if any(special in joined for special in self.special):
+            alone += [piece for piece in together if any(special in piece for special in self.special)]
+            together = [piece for piece in together if not any(special in piece for special in self.special)]
+        self._many(together)
+        self._single(alone)
+        for i in missed:
+            found[i] = self.seen[pieces[i]]
+        return found
 
     def _cut(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Where pieces start, texts' own starts included."""
@@ -102,7 +118,7 @@ class BytePieces:
         flat = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
         encoded = flat.dictionary_encode()
         index = encoded.indices.to_numpy(zero_copy_only=False)
-        known = self._pieces(encoded.dictionary.to_pylist())
+        known = self._pieces(encoded.dictionary.to_numpy(zero_copy_only=False).tolist())
         count = np.array([len(x) // 4 for x in known], np.int64)
         ids = np.frombuffer(b"".join(known), np.uint32)
         first = np.cumsum(count) - count

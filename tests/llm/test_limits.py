@@ -6,9 +6,12 @@ import os
 import random
 from collections import Counter
 
+import pyarrow as pa
+import public_tokenizers
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from sparsemat.llm import common, decontaminate, fuzzy_lines, simhash
+from sparsemat.llm import byte_pieces, catalog, common, decontaminate, fuzzy_lines, simhash
 
 
 def test_fuzzy_lines_keep_neither_sets_nor_shuffles(spark, monkeypatch):
@@ -76,3 +79,19 @@ def test_stages_of_the_pipeline_do_not_shuffle_what_stays(spark):
     for out, less in ((simhash.keep_one(df), {200}), (decontaminate.clean(df, bench), {3})):
         assert Counter(tuple(r) for r in out.collect()) == Counter(r for r in rows if r[0] not in less)
         assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pieces_met_again_are_not_encoded_again(monkeypatch):
+    """Words that every slice holds stay known while the words around them change."""
+    monkeypatch.setattr(byte_pieces, "REMEMBERED", 300)
+    path = public_tokenizers.path(catalog.COUNTS)
+    pieces, library = byte_pieces.BytePieces(path), Tokenizer.from_file(path)
+    often = [f"common{i}" for i in range(50)]
+    new: list[str] = []
+    for name in ("_many", "_single"):
+        monkeypatch.setattr(pieces, name, lambda part, f=getattr(pieces, name): (new.extend(part), f(part)))
+    for k in range(8):
+        texts = [" ".join([*often, *(f"only{k}x{i}" for i in range(200)), "a<|endoftext|>b", " nb sp"])]
+        ids, at = pieces.encode(pa.array(texts))
+        assert ids.tolist() == library.encode(texts[0], add_special_tokens=False).ids and at.tolist() == [0, len(ids)]
+    assert sum(piece.strip() in often for piece in new) <= 2 * len(often)
