@@ -16,6 +16,9 @@ from ..plans.scratch import scratch_path
 #: Whether files of a query's shuffles are removed as soon as it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Bytes after which an Arrow batch is full; one of 10,000 documents takes tens of MB on both sides.
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: Bytes of text that a task works on at once (a longer text is worked on by itself).
 SLICE_BYTES = 4 << 20
 
@@ -46,16 +49,18 @@ def materialize(df: DataFrame, name: str, shuffles: bool = True) -> DataFrame:
 
     Cuts the lineage with a copy that outlives executors, and gives the planner a true size.
     Without ``shuffles`` the files of the shuffles behind ``df`` go as soon as it is written,
-    not when the driver next collects its garbage.
+    not when the driver next collects its garbage. Arrow batches are full at ``SLICE_BYTES``.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    before = spark.conf.get(_CLEANUP)
-    if not shuffles:
-        spark.conf.set(_CLEANUP, "true")
+    own = {_BATCH: str(SLICE_BYTES)} | ({} if shuffles else {_CLEANUP: "true"})
+    before = {k: spark.conf.get(k) for k in own}
     try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -18,6 +18,9 @@ from .tokenizer import chunk_ids
 #: Ids of a block; a document with more is a block by itself.
 BLOCK_IDS = 1 << 19
 
+#: Bytes of text that are encoded at once; about 40 times as many are in use meanwhile.
+TEXT_BYTES = 1 << 20
+
 #: Rounds of a block's grammar, rules a round adds at most, and how often a pair must occur.
 ROUNDS, ROUND_RULES, LEAST = 6, 2048, 12
 
@@ -132,7 +135,7 @@ def _encoder(path: str):
         parts: list[np.ndarray] = []
         base = chunk_ids(path).size
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_BYTES):
                 flat, at = chunk_ids(path).encode(part.column("text"))
                 for d, doc in enumerate(part.column("doc_id").to_pylist()):
                     own = np.append(flat[at[d] : at[d + 1]], np.uint32(END))

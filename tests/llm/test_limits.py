@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sparsemat.llm import byte_pieces, catalog, common, decontaminate, fuzzy_lines, simhash
+from sparsemat.llm import byte_pieces, catalog, common, decontaminate, fuzzy_lines, simhash, token_ids, tokenizer
 
 
 def test_fuzzy_lines_keep_neither_sets_nor_shuffles(spark, monkeypatch):
@@ -95,3 +95,34 @@ def test_pieces_met_again_are_not_encoded_again(monkeypatch):
         ids, at = pieces.encode(pa.array(texts))
         assert ids.tolist() == library.encode(texts[0], add_special_tokens=False).ids and at.tolist() == [0, len(ids)]
     assert sum(piece.strip() in often for piece in new) <= 2 * len(often)
+
+
+def test_arrow_batches_of_kept_tables_are_bounded_by_bytes(spark):
+    """A task takes texts in batches of ``SLICE_BYTES``, not of 10,000 rows; the session's setting stays."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    before = spark.conf.get(common._BATCH)
+    long = spark.range(3000).coalesce(1).select(F.repeat(F.lit("words "), 700).alias("text"))
+    got = [r["n"] for r in common.materialize(long.mapInArrow(sizes, "n long"), "batches").collect()]
+    assert sum(got) > 12e6 and max(got) < 1.1 * common.SLICE_BYTES
+    assert spark.conf.get(common._BATCH) == before
+
+
+def test_token_files_encode_few_bytes_at_once(monkeypatch):
+    seen = []
+
+    class Counting(tokenizer.Chunks):
+        def encode(self, column):
+            seen.append(sum(len(x) for x in column.to_pylist()))
+            return super().encode(column)
+
+    chunks = Counting(public_tokenizers.path(catalog.IDS))
+    monkeypatch.setattr(token_ids, "chunk_ids", lambda path: chunks)
+    monkeypatch.setattr(token_ids.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(600)), "text": ["some words " * 600] * 600})
+    blocks = list(token_ids._encoder("")(iter([batch])))
+    assert sum(b.column("n_docs")[0].as_py() for b in blocks) == 600
+    assert sum(seen) == 600 * 6600 and max(seen) <= token_ids.TEXT_BYTES
