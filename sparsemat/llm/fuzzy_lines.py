@@ -20,6 +20,9 @@ SHINGLE = 12
 #: a bin with probability 0.8 and one of nine bands in all but 0.488 ** 9 = 0.16 % of cases.
 BINS, ROWS = 27, 3
 
+#: Words of 64 bits in a line's sketch.
+WORDS = 2 * BINS
+
 #: Lines that one part of a band has at most on average; larger bands are compared in pairs of parts.
 PART = 256
 
@@ -28,6 +31,7 @@ SIMILARITY = 0.8
 
 _BANDS = BINS // ROWS
 _WIDTH = -(-(1 << 31) // BINS)
+_WORD = -(-(1 << 31) // WORDS)
 
 
 def _places(code: Column) -> Column:
@@ -51,7 +55,7 @@ def shingles(line: Column) -> Column:
 
 
 def banded(rows: DataFrame) -> DataFrame:
-    """``(a, b, band)`` for each distinct ``(a, b)`` of ``rows`` (``a, b, line``) and each of its band keys.
+    """``(a, b, place, band)`` for each distinct ``(a, b)`` of ``rows`` (``a, b, line``) and each of its band keys.
 
     One permutation, cut into ``BINS`` equal ranges: a signature holds the least hash of
     each, -1 for an empty one; ``ROWS`` neighbouring bins make a band. A band of empty bins
@@ -62,7 +66,7 @@ def banded(rows: DataFrame) -> DataFrame:
     hashed = _hashed(once).select("a", "b", "h", F.expr(f"h div {_WIDTH}").alias("bin"))
     placed = hashed.select("a", "b", "h", F.expr(f"cast(bin div {ROWS} as int)").alias("place"), F.expr(f"cast(bin % {ROWS} as int)").alias("row"))
     least = placed.groupBy("a", "b", "place").agg(*(F.min(F.when(F.col("row") == r, F.col("h"))).alias(f"m{r}") for r in range(ROWS)))
-    return least.select("a", "b", F.xxhash64("place", *(F.coalesce(f"m{r}", F.lit(-1)) for r in range(ROWS))).alias("band"))
+    return least.select("a", "b", F.col("place").cast("byte").alias("place"), F.xxhash64("place", *(F.coalesce(f"m{r}", F.lit(-1)) for r in range(ROWS))).alias("band"))
 
 
 def _hashed(rows: DataFrame) -> DataFrame:
@@ -73,24 +77,25 @@ def _hashed(rows: DataFrame) -> DataFrame:
 
 
 def sketched(rows: DataFrame) -> DataFrame:
-    """``(a, b, n, low, s0, s1, ..)`` of lines ``(a, b, line)``: number of shingles, least hash, and a bitmap per bin.
+    """``(a, b, n, low, s0, s1, ..)`` of lines ``(a, b, line)``: number of shingles, least hash, and a bitmap in ``WORDS`` words.
 
-    A shingle sets one of a bin's 64 bits, so two lines differ in at most as many bits as
+    A shingle sets one of a word's 64 bits, so two lines differ in at most as many bits as
     there are shingles that one of them lacks. ``n`` counts repeated shingles, too.
     """
     hashed = _hashed(rows.repartition("a", "b"))
-    bins = hashed.select("a", "b", "h", F.expr(f"cast(h div {_WIDTH} as int)").alias("bin"), F.expr("shiftleft(1L, h & 63)").alias("bit"))
+    bins = hashed.select("a", "b", "h", F.expr(f"cast(h div {_WORD} as int)").alias("bin"), F.expr("shiftleft(1L, h & 63)").alias("bit"))
     bins = bins.groupBy("a", "b", "bin").agg(F.min("h").alias("h"), F.count("*").alias("n"), F.bit_or("bit").alias("bits"))
-    words = (F.coalesce(F.max(F.when(F.col("bin") == k, F.col("bits"))), F.lit(0).cast("long")).alias(f"s{k}") for k in range(BINS))
+    words = (F.coalesce(F.max(F.when(F.col("bin") == k, F.col("bits"))), F.lit(0).cast("long")).alias(f"s{k}") for k in range(WORDS))
     return bins.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("h").alias("low"), *words)
 
 
-_SKETCH = ["n", *(f"s{k}" for k in range(BINS))]
+_SKETCH = ["n", *(f"s{k}" for k in range(WORDS))]
+_KEYS = [f"k{p}" for p in range(_BANDS)]
 
 
 def _likely(one: str, two: str) -> Column:
     """False only if sketches, columns with these endings, show that two lines are not alike."""
-    differ = sum((F.bit_count(F.col(f"s{k}{one}").bitwiseXOR(F.col(f"s{k}{two}"))) for k in range(BINS)), F.lit(0))
+    differ = sum((F.bit_count(F.col(f"s{k}{one}").bitwiseXOR(F.col(f"s{k}{two}"))) for k in range(WORDS)), F.lit(0))
     # sets of similarity S differ in at most (1 - S) / (1 + S) of the sum of their sizes
     return (1 + SIMILARITY) * differ <= (1 - SIMILARITY) * (F.col(f"n{one}") + F.col(f"n{two}")) + 1e-6
 
@@ -128,10 +133,11 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _links(bands: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(node, root)`` in two steps, ``node`` being ``(a, b)``: of lines, and of the first step's roots.
 
-    The first step compares each line of a band with the band's first and with the one
-    before it, in the order of their least hashes. What it connects isn't compared again:
-    the second step compares all other pairs of each band, so that no pair is left out, and
-    a cluster of lines that are alike doesn't give the square of its size.
+    The first step compares each line of a band with the one whose bands are largest (of
+    near copies of one line that is the line itself) and with the one before it, in the order
+    of their least hashes. What it connects isn't compared again: the second step compares
+    all other pairs of each band, each pair in the first band that it shares, so that no pair
+    is left out, and a cluster of lines that are alike doesn't give the square of its size.
 
     Band keys alone are counted first. Bitmaps of 8 MiB, whatever the number of lines, keep
     rows of lone bands and texts of lone lines from travelling; what is left over is told
@@ -140,18 +146,20 @@ def _links(bands: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     shared = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
     near = maybe_wanted(bands, shared, ["band"])
-    near = near.select("band", "a", "b", F.count("*").over(W.partitionBy("band")).alias("n")).filter("n > 1")
+    near = near.select("place", "band", "a", "b", F.count("*").over(W.partitionBy("band")).alias("n")).filter("n > 1")
     near = materialize(near, "bands", shuffles=False)
     # the texts of lines that share a band only: these are looked up in the documents again
-    wanted = near.select("a", "b").distinct()
+    held = (F.max(F.when(F.col("place") == p, F.col("band"))).alias(k) for p, k in enumerate(_KEYS))
+    keys = near.groupBy("a", "b").agg(F.sum("n").alias("met"), *held)
+    wanted = keys.select("a", "b")
     texts = maybe_wanted(rows, wanted, ["a", "b"]).groupBy("a", "b").agg(F.min("line").alias("line"))
     texts = materialize(texts.join(wanted, ["a", "b"], "left_semi"), "texts", shuffles=False)
-    sketches = materialize(sketched(texts), "sketches", shuffles=False)
-    order = W.partitionBy("band").orderBy("low", "a", "b")
+    sketches = materialize(sketched(texts).join(keys, ["a", "b"]), "sketches", shuffles=False)
+    band = W.partitionBy("band")
     node = F.struct("a", "b")
-    pairs = near.join(sketches.select("a", "b", "low"), ["a", "b"])
-    pairs = pairs.select("a", "b", F.first(node).over(order).alias("first"), F.lag(node).over(order).alias("last"))
-    pairs = pairs.select("a", "b", F.explode(F.array("first", "last")).alias("x"))
+    pairs = near.join(sketches.select("a", "b", "low", "met"), ["a", "b"])
+    pairs = pairs.select("a", "b", F.max(F.struct("met", "a", "b")).over(band).alias("top"), F.lag(node).over(band.orderBy("low", "a", "b")).alias("last"))
+    pairs = pairs.select("a", "b", F.explode(F.array(F.struct("top.a", "top.b"), "last")).alias("x"))
     pairs = pairs.select(F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("x.a").alias("a2"), F.col("x.b").alias("b2"))
     pairs = pairs.filter("a1 != a2 OR b1 != b2").distinct()
     for end in "12":
@@ -167,15 +175,17 @@ def _links(bands: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     mixed = placed.groupBy("band").agg(*ends).filter("mina != maxa OR minb != maxb").select("band")
     parts = F.ceil(F.col("n") / PART).cast("int")
     dealt = placed.join(mixed, "band").withColumns({"parts": parts, "part": F.pmod(F.xxhash64("a", "b"), parts).cast("int")}).drop("n")
-    dealt = dealt.join(sketches.drop("low"), ["a", "b"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    kept = ["part", "root", "a", "b", *_SKETCH]
+    dealt = dealt.join(sketches.drop("low", "met"), ["a", "b"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    kept = ["part", "root", "a", "b", *_SKETCH, *_KEYS]
     dealt = dealt.select("band", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), *kept)
     dealt = materialize(dealt, "dealt", shuffles=False)
     left, right = (dealt.select("band", "lo", "hi", *(F.col(c).alias(f"{c}{end}") for c in kept)) for end in "12")
     once = (F.col("lo") == F.col("hi")) | (F.col("part1") != F.col("part2"))
     order = (F.col("a1") < F.col("a2")) | ((F.col("a1") == F.col("a2")) & (F.col("b1") < F.col("b2")))
-    rest = left.join(right, ["band", "lo", "hi"]).filter(order & (F.col("root1") != F.col("root2")) & once & _likely("1", "2"))
-    rest = materialize(rest.select("a1", "b1", "a2", "b2", "root1", "root2").distinct(), "candidates", shuffles=False)
+    shared = F.coalesce(*(F.when(F.col(f"{k}1") == F.col(f"{k}2"), F.col(f"{k}1")) for k in _KEYS))
+    apart = order & (F.col("root1") != F.col("root2")) & once & (shared == F.col("band"))
+    rest = left.join(right, ["band", "lo", "hi"]).filter(apart & _likely("1", "2"))
+    rest = materialize(rest.select("a1", "b1", "a2", "b2", "root1", "root2"), "candidates", shuffles=False)
     return roots, components(_verified(rest, texts).select("root1", "root2"), "root1", "root2")
 
 

@@ -126,3 +126,26 @@ def test_token_files_encode_few_bytes_at_once(monkeypatch):
     blocks = list(token_ids._encoder("")(iter([batch])))
     assert sum(b.column("n_docs")[0].as_py() for b in blocks) == 600
     assert sum(seen) == 600 * 6600 and max(seen) <= token_ids.TEXT_BYTES
+
+
+def test_fuzzy_lines_near_copies_of_a_line_meet_it_first(spark, monkeypatch):
+    """Copies that are alike to their original, but not to each other, leave no pairs to the second step."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    base = [word() for _ in range(70)]
+    texts = [" ".join(base)] + [" ".join(word() if i in (3 + k % 60, 66) else w for i, w in enumerate(base)) for k in range(60)]
+    counts, keep = [], fuzzy_lines.materialize
+
+    def kept(df, name, *args, **kwargs):
+        out = keep(df, name, *args, **kwargs)
+        if name == "candidates":
+            counts.append((out.count(), out.select("a1", "b1", "a2", "b2").distinct().count()))
+        return out
+
+    monkeypatch.setattr(fuzzy_lines, "materialize", kept)
+    monkeypatch.setattr(fuzzy_lines, "SIMILARITY", 0.84)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in fuzzy_lines.dedup_lines(df).collect()}
+    first, second = counts
+    assert got[0] == 0 and sum(got.values()) >= 55
+    assert second[0] == second[1] and second[0] <= 0.1 * 60 * 59 / 2, counts
