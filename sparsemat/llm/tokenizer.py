@@ -5,9 +5,12 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from tokenizers import normalizers, pre_tokenizers
 
 from .common import PLAIN, Words, ranges, string_buffers
 
@@ -29,6 +32,23 @@ _SIGN = np.zeros(256, bool)
 _SIGN[list(b".,;:!?")] = True
 
 
+def _unsplit(path: str, file: dict):
+    """The tokenizer for words of small Latin letters between single blanks, which need no normalizer or pattern; None if they might."""
+    steps = [x["type"] for x in (file["normalizer"] or {}).get("normalizers", [{"type": None}])]
+    split, *rest = (file["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    letters = split.get("type") == "Split" and r"|[\p{L}]+|" in split["pattern"].get("Regex", "")
+    if not letters or [x["type"] for x in rest] != ["ByteLevel"] or not set(steps) <= {"NFC", "Replace", "Lowercase"}:
+        return None
+    own = load(path)
+    own.normalizer = normalizers.Sequence([])
+    own.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return own
+
+
+#: Small Latin letters that no normalizer changes.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+
+
 class Chunks:
     """A lower-casing tokenizer that drops white space and never looks across it, piece by piece.
 
@@ -36,7 +56,7 @@ class Chunks:
     split before the merges always cuts. Pieces are lower-cased (A-Z) unless the text may
     hold a special token. The last token of a pre-token ends with the vocabulary's mark for
     word ends, so pieces of letters alone, a pre-token each, are encoded many at a time and
-    told apart by that mark.
+    told apart by that mark; small Latin letters even without normalizer and pattern.
     """
 
     def __init__(self, path: str):
@@ -45,43 +65,62 @@ class Chunks:
         self.seen: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as f:
-            mark = json.load(f)["model"]["end_of_word_suffix"]
+            file = json.load(f)
+        mark = file["model"]["end_of_word_suffix"]
+        self.plain = _unsplit(path, file)
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(mark)]] = True
 
-    def _single(self, pieces: list[str]) -> None:
-        for i in range(0, len(pieces), 10_000):
-            part = pieces[i : i + 10_000]
-            for piece, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.seen[piece] = np.array(got.ids, np.uint32).tobytes()
+    def _single(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids end to end, and how many each piece has."""
+        got = [x.ids for i in range(0, len(pieces), 10_000) for x in self.tokenizer.encode_batch_fast(pieces[i : i + 10_000], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
 
-    def _many(self, pieces: list[str]) -> None:
+    def _many(self, pieces: list[str], tokenizer) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of letters. Each has a pre-token or more; as many ends as pieces mean one each."""
+        flat, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for i in range(0, len(pieces), 1000):
             part = pieces[i : i + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            end = 4 * (np.flatnonzero(self.ends[ids]) + 1)
-            if len(end) != len(part) or end[-1] != 4 * len(ids):
-                self._single(part)
-                continue
-            raw, start = ids.tobytes(), 0
-            for piece, stop in zip(part, end.tolist(), strict=True):
-                self.seen[piece] = raw[start:stop]
-                start = stop
-
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            end = np.flatnonzero(self.ends[ids]) + 1
+            if len(end) == len(part) and end[-1] == len(ids):
+                own = np.diff(end, prepend=0)
+            else:
+                ids, own = self._single(part)
+            flat.append(ids)
+            counts.append(own)
+        return np.concatenate(flat), np.concatenate(counts)
+
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces, and where each one's begin and how many there are."""
         # two generations: what isn't met again while the next one fills is forgotten
         if len(self.seen) > REMEMBERED:
             self.before, self.seen = self.seen, {}
         found = list(map(self.seen.get, pieces))
         missed = [i for i, ids in enumerate(found) if ids is None]
-        self.seen.update([(pieces[i], self.before[pieces[i]]) for i in missed if pieces[i] in self.before])
-        new = [pieces[i] for i in missed if pieces[i] not in self.before]
-        self._many([c for c in new if c.isalpha()])
-        self._single([c for c in new if not c.isalpha()])
-        for i in missed:
-            found[i] = self.seen[pieces[i]]
-        return found
+        again = map(self.before.get, [pieces[i] for i in missed])
+        plain, letters, other = [], [], []
+        for i, ids in zip(missed, again, strict=True):
+            piece = pieces[i]
+            if ids is not None:
+                found[i] = self.seen[piece] = ids
+            elif self.plain is not None and _PLAIN(piece):
+                plain.append(i)
+            elif piece.isalpha():
+                letters.append(i)
+            else:
+                other.append(i)
+        new = plain + letters + other
+        words = [pieces[i] for i in new]
+        ways = [self._many(words[: len(plain)], self.plain), self._many(words[len(plain) : len(new) - len(other)], self.tokenizer), self._single(words[len(new) - len(other) :])]
+        ids, own = (np.concatenate(x) for x in zip(*ways, strict=True))
+        raw, end = ids.tobytes(), (4 * np.cumsum(own)).tolist()
+        made = [raw[x:y] for x, y in zip([0, *end], end, strict=False)]
+        self.seen.update(zip(words, made, strict=True))
+        for i, x in zip(new, made, strict=True):
+            found[i] = x
+        count = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.uint32), np.cumsum(count) - count, count
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and the n+1 places where texts begin."""
@@ -96,10 +135,8 @@ class Chunks:
         flat = pa.LargeStringArray.from_buffers(len(lens), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(own))
         encoded = flat.dictionary_encode()
         index = encoded.indices.to_numpy(zero_copy_only=False)
-        known = self._pieces(encoded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        count = np.array([len(x) // 4 for x in known], np.int64)
-        ids = np.frombuffer(b"".join(known), np.uint32)
-        first = np.cumsum(count) - count
+        pieces = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids, first, count = self._pieces(pieces)
         per = count[index]
         total = np.concatenate([[0], np.cumsum(per)])
         return ids[ranges(first[index], per)], total[words.of]
