@@ -25,15 +25,16 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
-#: ASCII letters and digits, and signs that end a piece when they follow one.
+#: ASCII letters and digits, and signs that end a piece when they follow one: neither the apostrophe,
+#: which may belong to the letters after it, nor what special tokens have.
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _SIGN = np.zeros(256, bool)
-_SIGN[list(b".,;:!?")] = True
+_SIGN[list(b'.,;:!?#$%&*+-/=@_()[]{}"')] = True
 
 
 def _unsplit(path: str, file: dict):
-    """The tokenizer for words of small Latin letters between single blanks, which need no normalizer or pattern; None if they might."""
+    """The tokenizer for words of small Latin letters, spelled by ``_SPELLED``, between single blanks; None if they might need normalizer or pattern."""
     steps = [x["type"] for x in (file["normalizer"] or {}).get("normalizers", [{"type": None}])]
     split, *rest = (file["pre_tokenizer"] or {}).get("pretokenizers", [{}])
     letters = split.get("type") == "Split" and r"|[\p{L}]+|" in split["pattern"].get("Regex", "")
@@ -41,13 +42,17 @@ def _unsplit(path: str, file: dict):
         return None
     own = load(path)
     own.normalizer = normalizers.Sequence([])
-    own.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    own.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
     return own
 
 
 #: Small Latin letters that no normalizer changes.
 _PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
 
+#: What the byte level makes of those beyond ASCII; it leaves the others as they are.
+_LEVEL = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+_SPELLED = {c: _LEVEL.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if _PLAIN(c)}
+
 
 class Chunks:
     """A lower-casing tokenizer that drops white space and never looks across it, piece by piece.
@@ -56,7 +61,7 @@ class Chunks:
     split before the merges always cuts. Pieces are lower-cased (A-Z) unless the text may
     hold a special token. The last token of a pre-token ends with the vocabulary's mark for
     word ends, so pieces of letters alone, a pre-token each, are encoded many at a time and
-    told apart by that mark; small Latin letters even without normalizer and pattern.
+    told apart by that mark; small Latin letters even without normalizer, pattern and byte level.
     """
 
     def __init__(self, path: str):
@@ -79,9 +84,13 @@ class Chunks:
     def _many(self, pieces: list[str], tokenizer) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of letters. Each has a pre-token or more; as many ends as pieces mean one each."""
         flat, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for i in range(0, len(pieces), 1000):
-            part = pieces[i : i + 1000]
-            ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+        for i in range(0, len(pieces), 200):
+            part = pieces[i : i + 200]
+            text = " ".join(part)
+            if tokenizer is self.plain and not text.isascii():
+                for letter, spelled in _SPELLED.items():  # none of which has such a letter
+                    text = text.replace(letter, spelled)
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             end = np.flatnonzero(self.ends[ids]) + 1
             if len(end) == len(part) and end[-1] == len(ids):
                 own = np.diff(end, prepend=0)
