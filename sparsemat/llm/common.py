@@ -44,15 +44,16 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.RandomState(7).randint(0, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def materialize(df: DataFrame, name: str, shuffles: bool = True) -> DataFrame:
+def materialize(df: DataFrame, name: str, shuffles: bool = True, conf: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage with a copy that outlives executors, and gives the planner a true size.
     Without ``shuffles`` the files of the shuffles behind ``df`` go as soon as it is written,
     not when the driver next collects its garbage. Arrow batches are full at ``SLICE_BYTES``.
+    ``conf`` holds for this write alone.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    own = {_BATCH: str(SLICE_BYTES)} | ({} if shuffles else {_CLEANUP: "true"})
+    own = {_BATCH: str(SLICE_BYTES)} | ({} if shuffles else {_CLEANUP: "true"}) | (conf or {})
     before = {k: spark.conf.get(k) for k in own}
     try:
         for k, v in own.items():

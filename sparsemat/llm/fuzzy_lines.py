@@ -33,6 +33,9 @@ LARGE, MET = 32, 4
 #: Least Jaccard similarity of the sets of shingles.
 SIMILARITY = 0.8
 
+#: The JVM never compiles methods of more than 8,000 bytes. Rows of one or two sketches make such, unless Spark holds its code to that.
+_METHODS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 _BANDS = BINS // ROWS
 _WIDTH = -(-(1 << 31) // BINS)
 _WORD = -(-(1 << 31) // WORDS)
@@ -141,6 +144,11 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.filter(_alike("sets.one", "sets.two")).select(*pairs.columns)
 
 
+def _keep(df: DataFrame, name: str) -> DataFrame:
+    """``df`` kept; large methods of the code that makes it are cut into ones that the JVM compiles."""
+    return materialize(df, name, shuffles=False, conf=_METHODS)
+
+
 def _under(rows: DataFrame, tops: DataFrame) -> DataFrame:
     """``rows`` with each ``root`` that ``tops`` (``node, root``) puts under another replaced by that."""
     tops = tops.select(F.col("node").alias("root"), F.col("root").alias("_top"))
@@ -172,14 +180,14 @@ def _links(bands: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
     near = maybe_wanted(bands, shared, ["band"])
     near = near.select("place", "band", "a", "b", F.count("*").over(W.partitionBy("band")).alias("n")).filter("n > 1")
-    near = materialize(near, "bands", shuffles=False)
+    near = _keep(near, "bands")
     # the texts of lines that share a band only: these are looked up in the documents again
     held = (F.max(F.when(F.col("place") == p, F.col("band"))).alias(k) for p, k in enumerate(_KEYS))
     keys = near.groupBy("a", "b").agg(F.sum("n").alias("met"), *held)
     wanted = keys.select("a", "b")
     texts = maybe_wanted(rows, wanted, ["a", "b"]).groupBy("a", "b").agg(F.min("line").alias("line"))
-    texts = materialize(texts.join(wanted, ["a", "b"], "left_semi"), "texts", shuffles=False)
-    sketches = materialize(sketched(texts).join(keys, ["a", "b"]), "sketches", shuffles=False)
+    texts = _keep(texts.join(wanted, ["a", "b"], "left_semi"), "texts")
+    sketches = _keep(sketched(texts).join(keys, ["a", "b"]), "sketches")
     band = W.partitionBy("band")
     node = F.struct("a", "b")
     pairs = near.join(sketches.select("a", "b", "low", "met"), ["a", "b"])
@@ -189,13 +197,13 @@ def _links(bands: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = pairs.filter("a1 != a2 OR b1 != b2").distinct()
     for end in "12":
         pairs = pairs.join(_ended(sketches, end, "a", "b", *_SKETCH), [f"a{end}", f"b{end}"])
-    pairs = materialize(pairs.filter(_likely("1", "2")).select("a1", "b1", "a2", "b2"), "candidates", shuffles=False)
+    pairs = _keep(pairs.filter(_likely("1", "2")).select("a1", "b1", "a2", "b2"), "candidates")
     alike = _verified(pairs, texts)
     roots = components(alike.select(F.struct(F.col("a1").alias("a"), F.col("b1").alias("b")).alias("x"), F.struct(F.col("a2").alias("a"), F.col("b2").alias("b")).alias("y")), "x", "y")
-    roots = materialize(roots.select("node.a", "node.b", "root"), "roots", shuffles=False)
+    roots = _keep(roots.select("node.a", "node.b", "root"), "roots")
     own = F.coalesce("root", node)
     placed = near.join(roots, ["a", "b"], "left").select("band", "a", "b", "n", own.alias("root"))
-    placed = materialize(placed, "placed", shuffles=False)
+    placed = _keep(placed, "placed")
     # large bands: each line and some of other roots, in an order of its own for each band
     some = placed.filter(F.col("n") > LARGE)
     some = some.join(_mixed(some), "band")
@@ -206,26 +214,26 @@ def _links(bands: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     for end in "12":
         some = some.join(_ended(sketches, end, "a", "b", *_SKETCH), [f"a{end}", f"b{end}"])
     some = some.filter(_likely("1", "2")).select("a1", "b1", "a2", "b2", "root1", "root2")
-    some = materialize(_verified(some, texts).select("root1", "root2").distinct(), "met", shuffles=False)
-    between = materialize(components(some, "root1", "root2"), "between", shuffles=False)
+    some = _keep(_verified(some, texts).select("root1", "root2").distinct(), "met")
+    between = _keep(components(some, "root1", "root2"), "between")
     # roots of the first step that are under others now are nodes, too
     roots = _under(roots, between).unionAll(between.select("node.a", "node.b", "root"))
-    roots = materialize(roots, "roots", shuffles=False)
-    placed = materialize(_under(placed, between), "placed", shuffles=False)
+    roots = _keep(roots, "roots")
+    placed = _keep(_under(placed, between), "placed")
     mixed = _mixed(placed)
     parts = F.ceil(F.col("n") / PART).cast("int")
     dealt = placed.join(mixed, "band").withColumns({"parts": parts, "part": F.pmod(F.xxhash64("a", "b"), parts).cast("int")}).drop("n")
     dealt = dealt.join(sketches.drop("low", "met"), ["a", "b"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     kept = ["part", "root", "a", "b", *_SKETCH, *_KEYS]
     dealt = dealt.select("band", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), *kept)
-    dealt = materialize(dealt, "dealt", shuffles=False)
+    dealt = _keep(dealt, "dealt")
     left, right = (dealt.select("band", "lo", "hi", *(F.col(c).alias(f"{c}{end}") for c in kept)) for end in "12")
     once = (F.col("lo") == F.col("hi")) | (F.col("part1") != F.col("part2"))
     order = (F.col("a1") < F.col("a2")) | ((F.col("a1") == F.col("a2")) & (F.col("b1") < F.col("b2")))
     shared = F.coalesce(*(F.when(F.col(f"{k}1") == F.col(f"{k}2"), F.col(f"{k}1")) for k in _KEYS))
     apart = order & (F.col("root1") != F.col("root2")) & once & (shared == F.col("band"))
     rest = left.join(right, ["band", "lo", "hi"]).filter(apart & _likely("1", "2"))
-    rest = materialize(rest.select("a1", "b1", "a2", "b2", "root1", "root2"), "candidates", shuffles=False)
+    rest = _keep(rest.select("a1", "b1", "a2", "b2", "root1", "root2"), "candidates")
     return roots, components(_verified(rest, texts).select("root1", "root2"), "root1", "root2")
 
 
