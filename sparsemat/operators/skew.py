@@ -226,16 +226,17 @@ def slice_factors(
     right_cells: Column,
     left_split: Sequence[str],
     right_split: Sequence[str],
+    task: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides as :func:`skew_join` slices them, with the slice in ``_ls`` and ``_rs``, to be stored.
 
     An inner join on `on`, ``_ls`` and ``_rs`` is the join on `on`. Keys of one side only may
-    be left out.
+    be left out. `task` names a further column, the number of the task that has the row.
     """
     for key in on:
         left, right = left.where(F.col(key).isNotNull()), right.where(F.col(key).isNotNull())
     hot = hot_keys(left, right, on, left_cells, right_cells)
-    ls = _spread(left, hot, on, "_ls", "_rs", F.col("_nl"), F.col("_nr"), left_split)
-    rs = _spread(right, hot, on, "_rs", "_ls", F.col("_nr"), F.col("_nl"), right_split)
+    ls = _spread(left, hot, on, "_ls", "_rs", F.col("_nl"), F.col("_nr"), left_split, task)
+    rs = _spread(right, hot, on, "_rs", "_ls", F.col("_nr"), F.col("_nl"), right_split, task)
     met = F.coalesce("_both", F.lit(True))
     return ls.where(met).drop("_both"), rs.where(met).drop("_both")
