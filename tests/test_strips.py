@@ -15,6 +15,7 @@ from test_stored import as_dict, product
 PRODUCTS = {
     "summed": lambda a, b: sm.block_matmul(a, b, 32, 256, 7),
     "large tiles": lambda a, b: sm.block_matmul(a, b, 64, 512, 8, duplicates="unique", kernel="tiles"),
+    "small tiles": lambda a, b: sm.block_matmul(a, b, 17, 70, 4, duplicates="unique"),
 }
 
 
