@@ -17,6 +17,7 @@ PRODUCTS = {
     "large tiles": lambda a, b: sm.block_matmul(a, b, 64, 512, 8, duplicates="unique", kernel="tiles"),
     "small tiles": lambda a, b: sm.block_matmul(a, b, 17, 70, 4, duplicates="unique"),
     "repeated": lambda a, b: sm.block_matmul(a, b, 32, 256, 7, duplicates="unique"),
+    "grid": lambda a, b: sm.grid_matmul(a, b, 64, 512, 8, (4, 1, 2), duplicates="unique"),
 }
 
 
