@@ -14,6 +14,7 @@ place.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -35,11 +36,31 @@ def planned_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def is_unfolded(df: DataFrame) -> bool:
+    """Whether `df` makes rows out of rows, whose number Catalyst's size estimate leaves out."""
+    try:
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+    except AttributeError:  # as above
+        return False
+    return re.search(r"^\W*Generate ", text, re.MULTILINE) is not None
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size check would let it broadcast `df`."""
+    """Whether Spark's own size check would let it broadcast `df`, and has counted all of its rows."""
     limit = _to_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
     size = planned_bytes(df)
-    return size is not None and size <= limit
+    return size is not None and size <= limit and not is_unfolded(df)
+
+
+def _sized(left: DataFrame, right: DataFrame, how: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides so that none is broadcast because of an estimate that leaves out rows."""
+    if not (is_unfolded(left) or is_unfolded(right)):
+        return left, right
+    if how != "full" and fits_broadcast(right):
+        return left, F.broadcast(right)
+    if how == "inner" and fits_broadcast(left):
+        return F.broadcast(left), right
+    return left.hint("merge"), right
 
 
 def _to_bytes(text: str) -> int:
@@ -175,6 +196,7 @@ def skew_join(
         plain = (how != "full" and fits_broadcast(right)) or (how == "inner" and fits_broadcast(left))
     tasks = shuffle_tasks(left)
     if plain and task is None:
+        left, right = _sized(left, right, how)
         return left.join(right, on, "full_outer" if how == "full" else how)
     if plain:
         out = [*on, *(c for c in left.columns if c not in on), *(c for c in right.columns if c not in on), task]
@@ -206,6 +228,8 @@ def skew_join(
         # A hot key of one side only has no partner: its rows need not travel.
         ls = ls.where(F.coalesce("_both", F.lit(True))).drop("_both")
         rs = rs.where(F.coalesce("_both", F.lit(True))).drop("_both")
+        if is_unfolded(left) or is_unfolded(right):
+            ls = ls.hint("merge")
         return ls.join(rs, keys).select(*out)
     ls = ls.withColumnRenamed("_both", "_bl").withColumn("_pl", F.lit(True))
     rs = rs.withColumnRenamed("_both", "_br").withColumn("_pr", F.lit(True))

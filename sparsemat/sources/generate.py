@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import shuffle_tasks
+
 _HASH_RANGE = 4294967296  # numbers that 8 hex digits can hold
 
 
@@ -91,6 +93,8 @@ def sample_rows(
     last = (n - 1) // width  # number of the last block, which may be narrower
     # numbered in chunks, so that no array grows with n
     zero = F.lit(0).cast("bigint")
+    # A row's number is a few bytes, its cells are the work: one file of numbers is work for many tasks.
+    rows = rows.repartition(shuffle_tasks(rows), row)
     chunks = rows.select(row, F.explode(F.sequence(zero, F.lit(last // _CHUNK))).alias("_chunk"))
     start = F.col("_chunk") * _CHUNK
     blocks = chunks.select(row, F.explode(F.sequence(start, F.least(start + _CHUNK - 1, F.lit(last)))).alias("_b"))
