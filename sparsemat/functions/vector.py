@@ -51,11 +51,12 @@ def vec_to_dense(vec: _Col, n: Column | int, offset: Column | int = 0) -> Column
         def step(e: Column, at: Column) -> Column:
             before = F.coalesce(F.get(s, at - 1)["x"], offset)
             gap = (e["x"] - before - 1).cast("int")
-            return F.concat(F.array_repeat(zero, gap), F.array(e["v"]))
+            return F.array(F.array_repeat(zero, gap), F.array(e["v"]))
 
         last = F.coalesce(F.get(s, F.size(s) - 1)["x"], offset)
         tail = F.array_repeat(zero, (offset + n - last).cast("int"))
-        dense = F.flatten(F.concat(F.transform(s, step), F.array(tail)))
+        # runs of zeros and values by turns, put together in one copy
+        dense = F.flatten(F.concat(F.flatten(F.transform(s, step)), F.array(tail)))
         first = F.coalesce(F.get(s, F.lit(0))["x"], offset + 1)
         inside = (first > offset) & (last <= offset + n)
         failure = F.raise_error(F.lit("vector index outside the dense range")).cast("array<bigint>")
@@ -69,10 +70,11 @@ def vec_to_dense(vec: _Col, n: Column | int, offset: Column | int = 0) -> Column
 def vec_from_dense(values: _Col, offset: Column | int = 0) -> Column:
     """Sparse form of a dense array; zeros are left out."""
     offset = (offset if isinstance(offset, Column) else F.lit(offset)).cast("bigint")
-    indexed = F.transform(
-        _col(values), lambda v, at: _entry(at.cast("bigint") + 1 + offset, v.cast("bigint"))
+    # Nearly all of a dense array may be zeros, so an entry is made for the others alone.
+    found = F.transform(
+        _col(values), lambda v, at: F.when(v != 0, _entry(at.cast("bigint") + 1 + offset, v.cast("bigint")))
     )
-    return vec_drop_zeros(indexed)
+    return F.array_compact(found)
 
 
 def _merge(u: Column, w: Column, combine) -> Column:
