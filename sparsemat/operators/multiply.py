@@ -380,12 +380,12 @@ def segmented_matmul(
 ) -> DataFrame:
     """Outer products of segments: no record expands to more than ``la * lb`` products.
 
-    `by` is that of :func:`segment_pairs`. Segments by range name a block of C, and their
-    pairs are gathered by block: best where C's blocks are dense. Segments by degree are as
-    few as the cells allow and are multiplied in the task that joins them: best where
-    columns are short but for some.
+    `by` is that of :func:`segment_pairs`: segments by degree are as few as the cells allow,
+    best where columns are short but for some. Pairs are multiplied in the task that joins
+    them: a pair repeats both of its segments, which is more than its products as soon as
+    segments are short.
     """
-    task = None if by == "range" else "_task"
+    task = "_task"
     pairs = segment_pairs(a, b, la, lb, duplicates=duplicates, skew=skew, by=by, task=task)
     return outer_matmul(pairs, result=result, zeros=zeros, wrap_int32=wrap_int32, width=width, task=task)
 
