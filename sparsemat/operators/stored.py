@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.writers import write_partials
+from ..sources.writers import bucket_of, write_summed_partials
 from .multiply import merge_partials, operand, partial_products, _product
 from .skew import one_cell, slice_factors
 
@@ -73,13 +73,12 @@ def update_partials(
     overwrite): a lost executor leaves the store as it was, other files stay untouched.
     Their numbers, at most `buckets`, are all that comes to the driver.
     """
-    bucket = F.pmod("k", F.lit(int(buckets))).alias("k_bucket")
+    bucket = bucket_of(buckets)
     touched = da.select(bucket).union(db.select(bucket)).distinct()
     numbers = sorted(r[0] for r in touched.collect())
     if not numbers:
         return []
     stored = spark.read.parquet(path).where(F.col("k_bucket").isin(numbers)).select("k", "i", "j", "p")
     change = delta_products(a, b, da, db).select("k", "i", "j", "p")
-    merged = stored.unionByName(change).groupBy("k", "i", "j").agg(F.sum("p").alias("p"))
-    write_partials(merged, path, buckets, mode="overwrite", replace="touched")
+    write_summed_partials(stored.unionByName(change), path, buckets)
     return numbers

@@ -14,17 +14,35 @@ output over all files with range partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import contextlib
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vec_text
 from ..operators.layout import sorted_by, split_halves
+from ..operators.skew import SLICES_PER_TASK, deal, shuffle_tasks
 from ..schema import require
 
 STYLES = ("tab", "pair")
 
 _TAB = "\t"
 
+# Whether files of a query's shuffles are removed as soon as it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_go(spark: SparkSession):
+    """What is written meanwhile leaves no files of its shuffles until the driver collects its garbage."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
 
 def _text(name: str):
     return F.col(name).cast("string")
@@ -119,6 +137,27 @@ def write_partials(
     The rebalance hint gathers a bucket's rows before the write, so tasks do not each open
     a file per bucket, and splits a bucket that is too large for one task.
     """
-    bucketed = df.select("k", "i", "j", "p", F.pmod("k", F.lit(int(buckets))).alias("k_bucket"))
-    writer = bucketed.hint("rebalance", "k_bucket").write.mode(mode).partitionBy("k_bucket")
-    writer.option("partitionOverwriteMode", "dynamic" if replace == "touched" else "static").parquet(path)
+    _save_buckets(df.select("k", "i", "j", "p", bucket_of(buckets)).hint("rebalance", "k_bucket"), path, mode, replace)
+
+
+def bucket_of(buckets: int) -> Column:
+    return F.pmod("k", F.lit(int(buckets))).alias("k_bucket")
+
+
+def _save_buckets(bucketed: DataFrame, path: str, mode: str, replace: str) -> None:
+    writer = bucketed.write.mode(mode).partitionBy("k_bucket")
+    with shuffles_go(bucketed.sparkSession):
+        writer.option("partitionOverwriteMode", "dynamic" if replace == "touched" else "static").parquet(path)
+
+
+def write_summed_partials(df: DataFrame, path: str, buckets: int) -> None:
+    """Sums of partial products by (k, i, j) in place of the folders that `df` has rows for.
+
+    They are dealt out once, to tasks that each have rows of one bucket, and summed and
+    written there. A bucket is several tasks and so is a hot k in it.
+    """
+    slices = max(1, math.ceil(SLICES_PER_TASK * shuffle_tasks(df) / buckets))
+    place = F.pmod("k", F.lit(int(buckets))) * slices + F.pmod(F.xxhash64("k", "i"), F.lit(slices))
+    dealt = deal(df, int(buckets) * slices, "_task", place)
+    summed = dealt.groupBy("_task", "k", "i", "j").agg(F.sum("p").alias("p"))
+    _save_buckets(summed.select("k", "i", "j", "p", bucket_of(buckets)), path, "overwrite", "touched")
