@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 
 import sparsemat as sm
-from test_plans import plan
+from sparsemat.plans import catalog
+from test_plans import SF_DIR, plan
 from test_sizes import cells
 from test_stored import as_dict, product
 
@@ -25,6 +26,12 @@ def test_a_change_is_dealt_out_once(spark, tmp_path, monkeypatch):
     assert as_dict(sm.merge_partials(sm.read_partials(spark, path))) == product(new_a, b)
 
 
+def test_products_are_sized_one_after_the_other(spark):
+    """The shuffle files of each product are gone before the next one is computed."""
+    found = catalog.product_sizes(spark, SF_DIR)
+    assert "Exchange" not in plan(found, "simple") and found.count() == 5
+
+
 def test_stores_leave_no_shuffle_files(spark, tmp_path):
     tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
     before = set(spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(tracker.shuffleStatuses().keySet()))
