@@ -435,6 +435,48 @@ def surely_unwanted(rows: DataFrame, wanted: DataFrame, on: Sequence[str] = ("i"
     return _beside_mask(rows, wanted, on, "left").where(f"NOT coalesce({_BIT_IS_SET}, false)").select(*rows.columns)
 
 
+# Bits of a column's place in a list of wanted cells, which is a SMALLINT of two bytes.
+_PLACE_BITS = 15
+
+
+def _fill_listed(c: DataFrame, a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The cells of C that `pairs` lists, and zeros where C lacks one whose row and column are non-empty.
+
+    Listed cells may be as many as a dense result has. They are shuffled once, as sets of
+    places per row and range of columns; what C has there meets the sets, and zeros are made
+    in the last step.
+    """
+    tasks = shuffle_tasks(c)
+    width = 1 << _PLACE_BITS
+    place = (F.col("j") - 1).bitwiseAND(F.lit(width - 1)).cast("smallint")
+
+    def ranged(cells: DataFrame) -> DataFrame:
+        return cells.withColumn("seg", F.shiftright(F.col("j") - 1, _PLACE_BITS))
+
+    wanted = ranged(pairs).groupBy("i", "seg").agg(F.collect_set(place).alias("js"))
+    found = ranged(c).groupBy("i", "seg").agg(F.collect_list(F.struct(place.alias("x"), "v")).alias("vec"))
+    columns = ranged(b.select("j")).groupBy("seg").agg(F.collect_set(place).alias("own"))
+    # Of a range with most of its columns the others are kept: each record looks up the shorter list.
+    most = F.size("own") > width // 2
+    others = F.array_except(F.sequence(*(F.lit(n).cast("smallint") for n in (0, width - 1, 1))), "own")
+    columns = columns.select("seg", most.alias("most"), F.when(most, others).otherwise(F.col("own")).alias("own"))
+    rows = wanted.join(a.select("i").distinct(), "i", "left_semi").join(found, ["i", "seg"], "left")
+    # As in _fill_support: few ranges must keep all tasks busy, and bytes say nothing of the zeros.
+    count = F.greatest(columns.agg(F.count("seg").alias("n")).scalar(), F.lit(1))
+    salts = F.ceil(F.lit(SLICES_PER_TASK * tasks) / count)
+    rows = rows.withColumn("_s", F.pmod(F.xxhash64("i"), salts)).repartition(tasks, "seg", "_s")
+    columns = columns.withColumn("_s", _numbers_to(salts)).repartition(tasks, "seg", "_s")
+    vec = F.coalesce("vec", F.array().cast("array<struct<x:smallint,v:bigint>>"))
+    js = F.when(F.col("most"), F.array_except("js", "own")).otherwise(F.array_intersect("js", "own"))
+    met = rows.join(columns, ["seg", "_s"]).select("i", "seg", js.alias("js"), vec.alias("vec"))
+    met = met.withColumn("hit", F.array_intersect(F.transform("vec", lambda e: e["x"]), "js"))
+    cells = F.filter("vec", lambda e: F.array_contains("hit", e["x"]))
+    zero = F.lit(0).cast("bigint")
+    zeros = F.transform(F.array_except("js", "hit"), lambda x: F.struct(x.alias("x"), zero.alias("v")))
+    flat = met.select("i", "seg", F.inline(F.concat(cells, zeros)))
+    return flat.select("i", (F.col("seg") * width + F.col("x") + 1).alias("j"), "v")
+
+
 def masked_matmul(
     a: DataFrame,
     b: DataFrame,
@@ -459,20 +501,24 @@ def masked_matmul(
     is fixed, and exactly after the sum. `mask` (``auto``, ``list``, ``bitmap``) chooses.
 
     ``structural`` and ``drop`` as in :func:`matmul`; ``dense_support`` returns every
-    listed pair whose row of A and column of B are non-empty.
+    listed pair whose row of A and column of B are non-empty. A list that is no broadcast is
+    as long as that result, and then meets the sums alone (unless `mask` says ``bitmap``).
     """
     require(zeros, ZEROS, "zeros")
     require(via, ("products", "probes"), "via")
     require(mask, ("auto", "list", "bitmap"), "mask")
     a, b = _operands(a, b, duplicates, None, wrap_int32)
-    wanted = pairs.select(F.col("i").cast("bigint"), F.col("j").cast("bigint")).distinct()
+    pairs = pairs.select(F.col("i").cast("bigint"), F.col("j").cast("bigint"))
+    wanted = pairs.distinct()
     kept = "structural" if zeros == "structural" else "drop"
     if via == "products":
         products = _join_cells(
-            a.join(wanted.select("i").distinct(), "i", "left_semi"),
-            b.join(wanted.select("j").distinct(), "j", "left_semi"),
+            a.join(pairs.select("i").distinct(), "i", "left_semi"),
+            b.join(pairs.select("j").distinct(), "j", "left_semi"),
             skew,
         ).select("i", "j", _product("av", "bv", wrap_int32).alias("p"))
+        if zeros == "dense_support" and mask == "auto" and not fits_broadcast(wanted):
+            return _fill_listed(merge_partials(products, zeros=kept, wrap_int32=wrap_int32), a, b, pairs)
         if mask == "list" or (mask == "auto" and fits_broadcast(wanted)):
             # Products that nobody asked for need not be summed, let alone shuffled.
             products = products.join(wanted, ["i", "j"], "left_semi")
