@@ -119,6 +119,19 @@ def _numbers_to(n: Column) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
 
 
+def _rows_by_range(a: DataFrame, lists: DataFrame, tasks: int) -> DataFrame:
+    """``(i, seg)`` for each row of A and each ``seg`` of `lists`."""
+    # Rows and ranges are spread over a grid of tasks; each pair meets in one place of it.
+    side = F.lit(math.isqrt(tasks - 1) + 1).cast("bigint")
+    rows = a.select("i").distinct().withColumn("_r", F.pmod(F.xxhash64("i"), side))
+    ranges = lists.select("seg").withColumn("_c", F.pmod(F.xxhash64("seg"), side))
+    return (
+        rows.withColumn("_c", _numbers_to(side))
+        .join(ranges.withColumn("_r", _numbers_to(side)), ["_r", "_c"])
+        .select("i", "seg")
+    )
+
+
 def _fill_support(c: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     """C with a zero for each missing (i, j) whose row i of A and column j of B are non-empty.
 
@@ -135,16 +148,7 @@ def _fill_support(c: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
         .groupBy("seg")
         .agg(F.collect_list("j").alias("js"))
     )
-    # Rows and ranges are spread over a grid of tasks; each pair meets in one place of it.
-    side = F.lit(math.isqrt(tasks - 1) + 1).cast("bigint")
-    rows = a.select("i").distinct().withColumn("_r", F.pmod(F.xxhash64("i"), side))
-    ranges = lists.select("seg").withColumn("_c", F.pmod(F.xxhash64("seg"), side))
-    grid = (
-        rows.withColumn("_c", _numbers_to(side))
-        .join(ranges.withColumn("_r", _numbers_to(side)), ["_r", "_c"])
-        .select("i", "seg")
-    )
-    filled = grid.join(
+    filled = _rows_by_range(a, lists, tasks).join(
         to_row_vectors(c, "i", "j", duplicates="unique", width=DEFAULT_SEGMENT), ["i", "seg"], "left"
     )
     # Few ranges must still keep all tasks busy: each is then split by a salt of the row, and
@@ -442,9 +446,9 @@ _PLACE_BITS = 15
 def _fill_listed(c: DataFrame, a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame:
     """The cells of C that `pairs` lists, and zeros where C lacks one whose row and column are non-empty.
 
-    Listed cells may be as many as a dense result has. They are shuffled once, as sets of
-    places per row and range of columns; what C has there meets the sets, and zeros are made
-    in the last step.
+    Listed cells may be as many as a dense result has. They are shuffled as sets of places
+    per row and range of columns, to be united and to meet the list of B's columns there;
+    what C has comes to the sets, and zeros are made in the last step.
     """
     tasks = shuffle_tasks(c)
     width = 1 << _PLACE_BITS
@@ -454,21 +458,25 @@ def _fill_listed(c: DataFrame, a: DataFrame, b: DataFrame, pairs: DataFrame) ->
         return cells.withColumn("seg", F.shiftright(F.col("j") - 1, _PLACE_BITS))
 
     wanted = ranged(pairs).groupBy("i", "seg").agg(F.collect_set(place).alias("js"))
-    found = ranged(c).groupBy("i", "seg").agg(F.collect_list(F.struct(place.alias("x"), "v")).alias("vec"))
     columns = ranged(b.select("j")).groupBy("seg").agg(F.collect_set(place).alias("own"))
     # Of a range with most of its columns the others are kept: each record looks up the shorter list.
     most = F.size("own") > width // 2
     others = F.array_except(F.sequence(*(F.lit(n).cast("smallint") for n in (0, width - 1, 1))), "own")
     columns = columns.select("seg", most.alias("most"), F.when(most, others).otherwise(F.col("own")).alias("own"))
-    rows = wanted.join(a.select("i").distinct(), "i", "left_semi").join(found, ["i", "seg"], "left")
+    # What C has per row of A and range of B's columns, be it nothing: a semi-join on i would
+    # move the sets once more.
+    none = F.lit(None)
+    marks = _rows_by_range(a, columns, tasks).select("i", "seg", none.cast("smallint").alias("x"), none.cast("bigint").alias("v"))
+    cells = ranged(c).select("i", "seg", place.alias("x"), "v").unionByName(marks)
+    entry = F.when(F.col("x").isNotNull(), F.struct("x", "v"))
+    rows = wanted.join(cells.groupBy("i", "seg").agg(F.collect_list(entry).alias("vec")), ["i", "seg"])
     # As in _fill_support: few ranges must keep all tasks busy, and bytes say nothing of the zeros.
     count = F.greatest(columns.agg(F.count("seg").alias("n")).scalar(), F.lit(1))
     salts = F.ceil(F.lit(SLICES_PER_TASK * tasks) / count)
     rows = rows.withColumn("_s", F.pmod(F.xxhash64("i"), salts)).repartition(tasks, "seg", "_s")
     columns = columns.withColumn("_s", _numbers_to(salts)).repartition(tasks, "seg", "_s")
-    vec = F.coalesce("vec", F.array().cast("array<struct<x:smallint,v:bigint>>"))
     js = F.when(F.col("most"), F.array_except("js", "own")).otherwise(F.array_intersect("js", "own"))
-    met = rows.join(columns, ["seg", "_s"]).select("i", "seg", js.alias("js"), vec.alias("vec"))
+    met = rows.join(columns, ["seg", "_s"]).select("i", "seg", js.alias("js"), "vec")
     met = met.withColumn("hit", F.array_intersect(F.transform("vec", lambda e: e["x"]), "js"))
     cells = F.filter("vec", lambda e: F.array_contains("hit", e["x"]))
     zero = F.lit(0).cast("bigint")
